@@ -33,7 +33,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field, replace
 
-from pyspark import StorageLevel  # noqa: F401  (documented alternative to checkpoint)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -115,6 +114,11 @@ class Series:
     def __post_init__(self):
         object.__setattr__(self, "keys", tuple(self.keys))
         object.__setattr__(self, "order", tuple(self.order))
+        if self.strategy.startswith("split:"):     # "split:N" = split with N-row chunks
+            object.__setattr__(self, "chunk_rows", int(self.strategy.split(":", 1)[1]))
+            object.__setattr__(self, "strategy", "split")
+        if self.strategy not in ("auto", "window", "split"):
+            raise ValueError(f"unknown series strategy {self.strategy!r}")
 
     def checked(self, df: DataFrame) -> "Series":
         """Resolve ``auto`` once for a DataFrame so several calls share the decision."""

@@ -57,8 +57,34 @@ def _events(spark, sf_dir) -> DataFrame:
     return e.withColumn("session_key", F.floor((F.dayofmonth("ts") - 1) / 10).cast("int"))
 
 
+class LazyTables(dict):
+    """Race tables built on first access (building ``laps`` profiles its keys)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, lap_strategy: str = "auto"):
+        super().__init__()
+        self._spark, self._sf, self._lap_strategy = spark, sf_dir, lap_strategy
+        self._all = None
+
+    def __missing__(self, name):
+        if self._all is None:
+            self._all = _race_tables(self._spark, self._sf, self._lap_strategy)
+        df = self._all[name]() if callable(self._all[name]) else self._all[name]
+        self[name] = df
+        return df
+
+
 def race_tables(spark: SparkSession, sf_dir: str, lap_strategy: str = "auto") -> dict[str, DataFrame]:
-    """All race tables as lazy DataFrames (``laps`` runs one ordinal series job)."""
+    """All race tables as DataFrames."""
+    t = LazyTables(spark, sf_dir, lap_strategy)
+    return {name: t[name] for name in RACE_TABLES}
+
+
+RACE_TABLES = ("sessions", "drivers", "laps", "stints", "car_data", "location", "intervals", "pit", "overtakes",
+               "position")
+
+
+def _race_tables(spark: SparkSession, sf_dir: str, lap_strategy: str = "auto") -> dict:
+    """Race tables; ``laps`` and ``stints`` are thunks so the lap ordinal runs only when used."""
     region = read(spark, sf_dir, "region")
     customer = read(spark, sf_dir, "customer")
     li = read(spark, sf_dir, "lineitem")
@@ -75,27 +101,15 @@ def race_tables(spark: SparkSession, sf_dir: str, lap_strategy: str = "auto") ->
                        F.col("user_id").alias("driver_number"), F.col("c_name").alias("full_name"),
                        F.col("c_mktsegment").alias("team_name")))
 
-    nulled = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
-    lap_rows = li.select(
-        F.col("l_suppkey").alias("driver_number"),
-        F.least(F.lit(4), F.year("l_shipdate") - 1995).cast("int").alias("session_key"),
-        *LAP_ORDER)
-    lap_rows = Series(("driver_number", "session_key"), LAP_ORDER, strategy=lap_strategy).apply(
-        lap_rows, lap_number=row_number())
-    laps = lap_rows.select(
-        "session_key", "driver_number", "lap_number",
-        F.when(nulled, F.lit(None)).otherwise(cents(F.col("l_extendedprice"))).alias("lap_duration"),
-        F.col("l_quantity").alias("duration_sector_1"),
-        cents(F.col("l_discount")).alias("duration_sector_2"),
-        F.when(nulled, F.lit(None)).otherwise(cents(F.col("l_tax"))).alias("duration_sector_3"),
-        F.round("l_extendedprice").cast("bigint").alias("st_speed"))
+    cache = {}
 
-    stint_no = (F.floor((F.col("lap_number") - 1) / STINT_LAPS) + 1).cast("int")
-    compounds = F.array(*[F.lit(c) for c in COMPOUNDS])
-    stints = (laps.groupBy("driver_number", "session_key", stint_no.alias("stint_number"))
-              .agg(F.min("lap_number").alias("lap_start"), F.max("lap_number").alias("lap_end"))
-              .filter(F.col("stint_number") != SKIPPED_STINT)
-              .withColumn("compound", F.element_at(compounds, (F.col("stint_number") % 3 + 1).cast("int"))))
+    def laps_df():
+        if "laps" not in cache:
+            cache["laps"] = _laps(li, lap_strategy)
+        return cache["laps"]
+
+    def stints_df():
+        return _stints(laps_df())
 
     base = ev.select("session_key", F.col("user_id").alias("driver_number"), F.col("ts").alias("date"),
                      "event_id", "event_type", "value")
@@ -119,10 +133,40 @@ def race_tables(spark: SparkSession, sf_dir: str, lap_strategy: str = "auto") ->
     position = base.filter(F.col("event_type").isin("view", "click")).select(
         "session_key", "driver_number", "date", (F.col("event_id") % 20 + 1).alias("position"))
 
-    return dict(sessions=sessions, drivers=drivers, laps=laps, stints=stints, car_data=car_data,
+    return dict(sessions=sessions, drivers=drivers, laps=laps_df, stints=stints_df, car_data=car_data,
                 location=location, intervals=intervals, pit=pit, overtakes=overtakes, position=position)
 
 
+def _laps(li: DataFrame, lap_strategy: str) -> DataFrame:
+    """Laps: an ordinal per (supplier, session) by ship date (a series job of its own)."""
+    nulled = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
+    lap_rows = li.select(
+        F.col("l_suppkey").alias("driver_number"),
+        F.least(F.lit(4), F.year("l_shipdate") - 1995).cast("int").alias("session_key"),
+        *LAP_ORDER)
+    lap_rows = Series(("driver_number", "session_key"), LAP_ORDER, strategy=lap_strategy).apply(
+        lap_rows, lap_number=row_number())
+    laps = lap_rows.select(
+        "session_key", "driver_number", "lap_number",
+        F.when(nulled, F.lit(None)).otherwise(cents(F.col("l_extendedprice"))).alias("lap_duration"),
+        F.col("l_quantity").alias("duration_sector_1"),
+        cents(F.col("l_discount")).alias("duration_sector_2"),
+        F.when(nulled, F.lit(None)).otherwise(cents(F.col("l_tax"))).alias("duration_sector_3"),
+        F.round("l_extendedprice").cast("bigint").alias("st_speed"))
+
+    return laps
+
+
+def _stints(laps: DataFrame) -> DataFrame:
+    stint_no = (F.floor((F.col("lap_number") - 1) / STINT_LAPS) + 1).cast("int")
+    compounds = F.array(*[F.lit(c) for c in COMPOUNDS])
+    stints = (laps.groupBy("driver_number", "session_key", stint_no.alias("stint_number"))
+              .agg(F.min("lap_number").alias("lap_start"), F.max("lap_number").alias("lap_end"))
+              .filter(F.col("stint_number") != SKIPPED_STINT)
+              .withColumn("compound", F.element_at(compounds, (F.col("stint_number") % 3 + 1).cast("int"))))
+    return stints
+
+
 # The same derivation as SQL (DuckDB dialect) for the oracle. ``epoch`` is floored
 # like Spark's unix_seconds.
 RACE_CTES = f"""
