@@ -46,13 +46,14 @@ def scope_to_session(fact: DataFrame, sessions_f: DataFrame, key: str = "session
                      keys: list | None = None) -> DataFrame:
     """Inner join of a fact table with the filtered session dimension.
 
-    The resolved key list is also applied as an ``isin`` filter on the fact so
-    Parquet row groups and ``session_key`` partitions outside the scope are
-    never read; the semi-join itself stays for correctness.
+    When the scope resolves to at most ``MAX_SCOPE_KEYS`` keys the semi-join is
+    an ``isin`` filter on the fact, which Parquet row groups and ``session_key``
+    partitions outside the scope are pruned by; otherwise it is a left-semi
+    join with the (size-checked) session keys.
     """
     keys = keys if keys is not None else scope_keys(sessions_f, key)
-    if keys is not None:
-        fact = fact.filter(F.col(key).isin(keys))
+    if keys is not None:       # the literal list is exactly the semi-join
+        return fact.filter(F.col(key).isin(keys))
     return fact.join(sized_broadcast(sessions_f.select(key).distinct()), key, "left_semi")
 
 
@@ -68,11 +69,11 @@ def one_row_per_driver(drivers: DataFrame, key: str = "driver_number",
 
 
 def session_drivers(drivers: DataFrame, sessions_f: DataFrame | None = None, meeting_key: int | None = None,
-                    cols=("full_name", "team_name")) -> DataFrame:
+                    cols=("full_name", "team_name"), keys: list | None = None) -> DataFrame:
     """Driver dimension restricted to the scoped sessions (or a meeting, or unscoped), one row per driver."""
     d = drivers
     if sessions_f is not None:
-        d = d.join(sized_broadcast(sessions_f.select("session_key").distinct()), "session_key", "left_semi")
+        d = scope_to_session(d, sessions_f, keys=keys)
     if meeting_key is not None:
         d = d.filter(F.col("meeting_key") == meeting_key)
     return one_row_per_driver(d.select("driver_number", *cols), "driver_number", cols)

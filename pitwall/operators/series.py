@@ -137,6 +137,37 @@ class Series:
         return _split_path(df, s, specs)
 
 
+def resolve(df: DataFrame, *series: "Series") -> list:
+    """Resolve several series against one (cheap, ancestor) DataFrame in a single job.
+
+    Group sizes only shrink through later filters and de-duplicated dimension
+    joins, so profiling the scoped fact before enrichment bounds every later
+    group. All key sets are counted together with ``groupingSets``.
+    """
+    todo = [s for s in series if s.strategy != "window" and s.profile is None]
+    if not todo:
+        return list(series)
+    sets = list(dict.fromkeys(tuple(s.keys) for s in todo))
+    cols = list(dict.fromkeys(c for ks in sets for c in ks))
+    gid = F.grouping_id(*cols).alias("_gid")
+    counts = df.groupingSets([[F.col(c) for c in ks] for ks in sets], *[F.col(c) for c in cols]).agg(
+        gid, F.count(F.lit(1)).alias("_n"))
+    stats = {r["_gid"]: r for r in counts.groupBy("_gid").agg(
+        F.count(F.lit(1)).alias("g"), F.max("_n").alias("m"), F.sum("_n").alias("n")).collect()}
+    hot = conf_int(df.sparkSession, HOT_KEY_ROWS)
+    out = []
+    for s in series:
+        if s.strategy == "window" or s.profile is not None:
+            out.append(s)
+            continue
+        bits = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s.keys)
+        r = stats.get(bits)
+        prof = Profile(int(r["g"]), int(r["m"]), int(r["n"])) if r else Profile(0, 0, 0)
+        strategy = s.strategy if s.strategy == "split" else ("split" if prof.max_rows > hot else "window")
+        out.append(replace(s, strategy=strategy, profile=prof))
+    return out
+
+
 def profile(df: DataFrame, keys) -> Profile:
     """Number of groups, largest group and total rows (partial aggregation, one job)."""
     r = (df.groupBy(*keys).count()

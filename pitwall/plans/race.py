@@ -15,6 +15,8 @@ time plus tie-breaks (H5, H7), so results are deterministic.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,7 +30,9 @@ from pitwall.operators.joins import containment_join, join_on_time_bucket, neare
 from pitwall.operators.scope import (
     as_role, left_join_renamed, race_sessions, scope_keys, scope_to_session, session_drivers, with_driver,
 )
-from pitwall.operators.series import Series, first, lag, last, lead, rolling, row_number, running, whole
+from pitwall.operators.series import (
+    Series, first, lag, last, lead, resolve, rolling, row_number, running, whole,
+)
 
 DRIVER_SESSION = ("driver_number", "session_key")
 
@@ -49,7 +53,7 @@ class Scope:
         """by = session | meeting | all (unscoped but one row per driver) | raw (as stored)."""
         d = self.t["drivers"]
         if by == "session":
-            return session_drivers(d, sessions_f=self.sessions)
+            return session_drivers(d, sessions_f=self.sessions, keys=self.keys)
         if by == "meeting":
             return session_drivers(d, meeting_key=self.meeting_key)
         if by == "all":
@@ -74,11 +78,12 @@ def lap_time(t: dict, meeting_key: int = 1268, team: str = "Ferrari", preceding:
     a trailing ``preceding+1``-lap rolling average."""
     sc = Scope(t, meeting_key)
     dim = sc.drivers("session" if driver_scope == "session" else "raw")
-    laps = with_driver(sc.fact("laps"), dim).filter(F.col("lap_duration").isNotNull())
-    peer = Series(("session_key", "lap_number"), (), strategy=strategy)
+    fact = sc.fact("laps").filter(F.col("lap_duration").isNotNull())
+    peer, drv = resolve(fact, Series(("session_key", "lap_number"), (), strategy=strategy),
+                        Series(DRIVER_SESSION, ("lap_number",), strategy=strategy))
+    laps = with_driver(fact, dim)
     df = peer.apply(laps, session_avg_lap_time=whole("avg", "lap_duration"))
     df = df.withColumn("delta_to_session", F.col("lap_duration") - F.col("session_avg_lap_time"))
-    drv = Series(DRIVER_SESSION, ("lap_number",), strategy=strategy).checked(df)
     df = drv.apply(df, driver_rolling_avg=rolling("avg", "lap_duration", preceding))
     df = drv.apply(df, final_rolling=last("driver_rolling_avg"))
     # The team filter comes after the field-wide window on purpose.
@@ -127,9 +132,11 @@ def pit_intervals(t: dict, meeting_key: int = 1270, tol_seconds: int = 30, offse
     within ``tol_seconds`` of the stop, and of the samples ``offset_rows`` before and after them."""
     sc = Scope(t, meeting_key)
     dim = sc.drivers("session")
-    iv = with_driver(sc.fact("intervals"), dim)
+    fact = sc.fact("intervals")
+    (series,) = resolve(fact, Series(DRIVER_SESSION, ("date", "gap_to_leader"), strategy=strategy))
+    iv = with_driver(fact, dim)
     pit = with_driver(sc.fact("pit"), dim)
-    iv = Series(DRIVER_SESSION, ("date", "gap_to_leader"), strategy=strategy).apply(
+    iv = series.apply(
         iv, gap_5_before=lag("gap_to_leader", offset_rows), gap_5_after=lead("gap_to_leader", offset_rows))
     j = proximity_join(pit, iv, DRIVER_SESSION, tol_seconds,
                        right_cols={"gap_to_leader": "i_gap", "gap_5_before": "i_before", "gap_5_after": "i_after"})
@@ -152,12 +159,15 @@ def rpm_zones(t: dict, meeting_key: int = 1266, team: str = "Ferrari", half_widt
     """RPM against speed by track zone: car samples joined to locations of the same
     second, binned by x, smoothed over +-``half_width`` samples."""
     sc = Scope(t, meeting_key)
-    car = with_driver(sc.fact("car_data"), sc.drivers("session")).filter(F.col("team_name") == team)
+    fact = sc.fact("car_data")
+    (series,) = resolve(fact, Series(DRIVER_SESSION, ("date", "x", "y", "rpm", "speed", "throttle", "drs"),
+                                     strategy=strategy))
+    car = with_driver(fact, sc.drivers("session")).filter(F.col("team_name") == team)
     loc = sc.fact("location")
     j = join_on_time_bucket(car, loc, ["session_key", "driver_number"], right_cols={"x": "x", "y": "y"},
                             seconds=bucket_seconds)
     j = j.withColumn("x_bin", bin_floor("x", bin_width))
-    j = Series(DRIVER_SESSION, ("date", "x", "y", "rpm", "speed", "throttle", "drs"), strategy=strategy).apply(
+    j = series.apply(
         j, smoothed_speed=rolling("avg", "speed", half_width, half_width),
         smoothed_rpm=rolling("avg", "rpm", half_width, half_width))
     zones = j.groupBy("driver_number", "full_name", "x_bin").agg(
@@ -215,10 +225,12 @@ def gap_enriched(t: dict, meeting_key: int = 1274, teams=("Ferrari", "Red Bull R
                  preceding: int = 10, offset_rows: int = 5, strategy: str = "auto") -> tuple[DataFrame, Scope]:
     """Shared parent of the gap timeline and the gap summary."""
     sc = Scope(t, meeting_key)
-    iv = with_driver(sc.fact("intervals"), sc.drivers("session")).filter(F.col("team_name").isin(*teams))
+    fact = sc.fact("intervals")
+    (series,) = resolve(fact, Series(DRIVER_SESSION, ("date",), strategy=strategy))
+    iv = with_driver(fact, sc.drivers("session")).filter(F.col("team_name").isin(*teams))
     iv = dedupe_ordered(iv, ("driver_number", "session_key", "date"), ("gap_to_leader",))
     iv = iv.withColumn("gap_to_leader", null_as("gap_to_leader", 0))   # null gap = leader (H9)
-    iv = Series(DRIVER_SESSION, ("date",), strategy=strategy).apply(
+    iv = series.apply(
         iv, avg_gap_last10=rolling("avg", "gap_to_leader", preceding),
         gap_5_ago=lag("gap_to_leader", offset_rows), gap_at_start=first("gap_to_leader"))
     return iv, sc
@@ -254,8 +266,9 @@ def overtake_totals(t: dict, meeting_key: int = 1267, drivers=(16, 44), strategy
     sc = Scope(t, meeting_key)
     dim = sc.drivers("session").select("driver_number", "full_name")
     ov = sc.fact("overtakes").filter(F.col("overtaking_driver_number").isin(*drivers))
+    (series,) = resolve(ov, Series(("overtaking_driver_number", "session_key"), ("date",), strategy=strategy))
     ov = left_join_renamed(ov, dim, "overtaking_driver_number", "driver_number")
-    ov = Series(("overtaking_driver_number", "session_key"), ("date",), strategy=strategy).apply(
+    ov = series.apply(
         ov, cumulative_overtakes=running("sum", F.lit(1)))
     out = ov.groupBy("overtaking_driver_number", "full_name", "session_key").agg(
         F.max("cumulative_overtakes").alias("total_overtakes"))
@@ -266,8 +279,10 @@ def position_change(t: dict, meeting_key: int = 1267, drivers=(16, 44), strategy
     """Positions gained and lost over a race from consecutive position samples."""
     sc = Scope(t, meeting_key)
     dim = sc.drivers("session").select("driver_number", "full_name")
-    pos = with_driver(sc.fact("position"), dim).filter(F.col("driver_number").isin(*drivers))
-    pos = Series(DRIVER_SESSION, ("date", "position"), strategy=strategy).apply(
+    fact = sc.fact("position").filter(F.col("driver_number").isin(*drivers))
+    (series,) = resolve(fact, Series(DRIVER_SESSION, ("date", "position"), strategy=strategy))
+    pos = with_driver(fact, dim)
+    pos = series.apply(
         pos, prev_position=lag("position", 1))
     pos = pos.withColumn("position_change", step_change("prev_position", "position"))
     out = pos.groupBy("driver_number", "full_name").agg(
@@ -284,12 +299,14 @@ def sector_loss(t: dict, meeting_key: int = 1265, team: str = "Ferrari", precedi
     """Per lap: trailing average of each sector against the driver's best sector."""
     sc = Scope(t, meeting_key)
     dim = sc.drivers("session" if driver_scope == "session" else "all")
-    laps = with_driver(sc.fact("laps"), dim).filter(F.col("team_name") == team)
+    fact = sc.fact("laps")
+    (series,) = resolve(fact, Series(DRIVER_SESSION, ("lap_number",), strategy=strategy))
+    laps = with_driver(fact, dim).filter(F.col("team_name") == team)
     sectors = ("duration_sector_1", "duration_sector_2", "duration_sector_3")
     specs = {f"rolling_avg_s{i}": rolling("avg", c, preceding) for i, c in enumerate(sectors, 1)}
     specs.update({f"best_s{i}": whole("min", c) for i, c in enumerate(sectors, 1)})
     specs["best_lap"] = whole("min", "lap_duration")
-    df = Series(DRIVER_SESSION, ("lap_number",), strategy=strategy).apply(laps, **specs)
+    df = series.apply(laps, **specs)
     loss = {f"loss_s{i}": half_up(F.col(f"rolling_avg_s{i}") - F.col(f"best_s{i}"), 3) for i in (1, 2, 3)}
     df = df.withColumns(loss)
     df = df.withColumn("total_loss", half_up(F.col("loss_s1") + F.col("loss_s2") + F.col("loss_s3"), 3))
@@ -308,11 +325,12 @@ def drs_correlation(t: dict, meeting_key: int = 1265, team: str = "Ferrari", hal
                     strategy: str = "auto", sort: bool = True) -> DataFrame:
     """Correlation of DRS use (1 open, 0.5 eligible, 0 closed) with speed, moving samples only."""
     sc = Scope(t, meeting_key)
-    car = (with_driver(sc.fact("car_data"), sc.drivers("session"))
-           .filter(F.col("team_name") == team).filter(F.col("speed") > 0))
+    fact = sc.fact("car_data").filter(F.col("speed") > 0)
+    (series,) = resolve(fact, Series(DRIVER_SESSION, ("date",), strategy=strategy))
+    car = with_driver(fact, sc.drivers("session")).filter(F.col("team_name") == team)
     car = dedupe_ordered(car, ("driver_number", "session_key", "date"), ("drs", "speed", "rpm", "throttle"))
     car = car.filter(F.col("drs").isin(*DRS_VALID)).withColumn("drs_on", drs_weight("drs"))
-    car = Series(DRIVER_SESSION, ("date",), strategy=strategy).apply(
+    car = series.apply(
         car, speed_moving_avg=rolling("avg", "speed", half_width, half_width))
     on = F.col("drs_on")
     out = car.groupBy("driver_number", "full_name").agg(
@@ -344,12 +362,13 @@ def stint_length(t: dict, meeting_key: int = 1269, team: str = "Ferrari", bucket
     sc = Scope(t, meeting_key)
     dim = sc.drivers("meeting")
     stints = with_driver(sc.fact("stints"), dim).filter(F.col("team_name") == team)
-    laps = (with_driver(sc.fact("laps"), dim).filter(F.col("team_name") == team)
-            .filter(F.col("lap_duration").isNotNull()))
+    fact = sc.fact("laps").filter(F.col("lap_duration").isNotNull())
+    (stint,) = resolve(fact, Series(("driver_number", "session_key"), ("lap_number",), strategy=strategy))
+    stint = replace(stint, keys=("driver_number", "session_key", "stint_number"))
+    laps = with_driver(fact, dim).filter(F.col("team_name") == team)
     j = containment_join(laps, stints, DRIVER_SESSION, "lap_number", "lap_start", "lap_end",
                          right_cols={"stint_number": "stint_number", "compound": "compound"},
                          bucket_width=bucket_width)
-    stint = Series(("driver_number", "session_key", "stint_number"), ("lap_number",), strategy=strategy)
     j = stint.apply(j, lap_in_stint=row_number(), _first=first("lap_duration"), last_lap_time=last("lap_duration"))
     j = j.withColumn("time_loss_vs_stint_start", F.col("lap_duration") - F.col("_first"))
     out = j.groupBy("driver_number", "full_name", "stint_number", "compound").agg(
