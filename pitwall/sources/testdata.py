@@ -27,10 +27,15 @@ position       views and clicks: position 1..20
 
 from __future__ import annotations
 
+import hashlib
+import os
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.operators.series import Series, row_number
+from pitwall.session import ensure_checkpoint_dir
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -57,18 +62,51 @@ def _events(spark, sf_dir) -> DataFrame:
     return e.withColumn("session_key", F.floor((F.dayofmonth("ts") - 1) / 10).cast("int"))
 
 
+def _store(spark: SparkSession, sf_dir: str) -> str:
+    """Folder for the curated race tables of one source folder, below the checkpoint dir."""
+    parts = [os.path.abspath(sf_dir)]
+    for t in TABLES:
+        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        if os.path.exists(p):
+            st = os.stat(p)
+            parts.append(f"{t}:{st.st_size}:{int(st.st_mtime)}")
+    tag = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/race-tables-{tag}"
+
+
 class LazyTables(dict):
-    """Race tables built on first access (building ``laps`` profiles its keys)."""
+    """Race tables built on first access.
+
+    With ``materialize`` (the default) a table is derived once, written as
+    Parquet to the session's checkpoint folder (the shared folder on a
+    cluster) and read back, like the curated zone the ingest job writes;
+    later queries of the same session read the written table. Without it
+    every query re-derives the tables from the source files.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, lap_strategy: str = "auto"):
+    def __init__(self, spark: SparkSession, sf_dir: str, lap_strategy: str = "auto", materialize: bool = True):
         super().__init__()
         self._spark, self._sf, self._lap_strategy = spark, sf_dir, lap_strategy
+        self._materialize = materialize
         self._all = None
 
-    def __missing__(self, name):
+    def derive(self, name: str) -> DataFrame:
+        if name == "stints":                 # from the (written) laps table
+            return _stints(self["laps"])
         if self._all is None:
             self._all = _race_tables(self._spark, self._sf, self._lap_strategy)
-        df = self._all[name]() if callable(self._all[name]) else self._all[name]
+        return self._all[name]() if callable(self._all[name]) else self._all[name]
+
+    def __missing__(self, name):
+        if not self._materialize:
+            df = self.derive(name)
+        else:
+            path = f"{_store(self._spark, self._sf)}/{name}.parquet"
+            try:
+                df = self._spark.read.parquet(path)
+            except AnalysisException:
+                self.derive(name).write.mode("overwrite").parquet(path)
+                df = self._spark.read.parquet(path)
         self[name] = df
         return df
 
