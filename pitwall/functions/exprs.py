@@ -78,6 +78,28 @@ def safe_corr(a, b) -> Column:
     return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
 
 
+def exact_corr(a, b) -> Column:
+    """Pearson correlation of two integer-valued columns from exact moments.
+
+    n, sums, sums of squares and of products are accumulated as decimal(38,0),
+    so accumulation is exact and independent of row order and partitioning;
+    only the final ratio is a double. Pairs with a null on either side are
+    skipped (as ``corr`` does); a constant column or a single pair gives NULL.
+    Telemetry speed, rpm and DRS codes are integers; use ``safe_corr`` for
+    fractional inputs.
+    """
+    a, b = _c(a), _c(b)
+    both = a.isNotNull() & b.isNotNull()
+    x = F.when(both, a).cast("decimal(38,0)")
+    y = F.when(both, b).cast("decimal(38,0)")
+    n = F.count(F.when(both, F.lit(1))).cast("decimal(38,0)")
+    sx, sy = F.sum(x), F.sum(y)
+    cov = (n * F.sum(x * y) - sx * sy).cast("double")
+    vx = (n * F.sum(x * x) - sx * sx).cast("double")
+    vy = (n * F.sum(y * y) - sy * sy).cast("double")
+    return F.try_divide(cov, F.sqrt(vx * vy))
+
+
 def arg_max(value, payload) -> Column:
     """payload at the largest non-null value; ties -> larger payload."""
     v = _c(value)

@@ -184,6 +184,13 @@ def _col(c) -> Column:
 
 
 def _window_path(df: DataFrame, s: Series, specs: dict) -> DataFrame:
+    if s.profile is not None and specs and all(sp.kind == "whole" for sp in specs.values()) \
+            and s.profile.groups <= conf_int(df.sparkSession, BROADCAST_ROWS):
+        # Group values only, and the profile proved the groups few: aggregate
+        # map-side and broadcast the per-group table back instead of shuffling
+        # every row to its group (no exchange of the fact at all).
+        per_key = df.groupBy(*s.keys).agg(*[_AGG[sp.fn](_col(sp.col)).alias(n) for n, sp in specs.items()])
+        return _join_back(df, per_key, list(s.keys), s.profile.groups)
     part = Window.partitionBy(*s.keys)
     ordered = part.orderBy(*s.order)
     cols = {}

@@ -59,6 +59,16 @@ def CORR(a: str, b: str) -> str:
     return NANNULL(f"covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b}))")
 
 
+def XCORR(a: str, b: str) -> str:
+    """Correlation from exact integer moments (same formula as ``exact_corr``)."""
+    x, y = f"CAST({a} AS HUGEINT)", f"CAST({b} AS HUGEINT)"
+    n = f"CAST(count({x} * {y}) AS HUGEINT)"
+    cov = f"CAST({n} * sum({x} * {y}) - sum({x} * CASE WHEN {y} IS NOT NULL THEN 1 END) * sum({y} * CASE WHEN {x} IS NOT NULL THEN 1 END) AS DOUBLE)"
+    vx = f"CAST({n} * sum({x} * {x} * CASE WHEN {y} IS NOT NULL THEN 1 END) - sum({x} * CASE WHEN {y} IS NOT NULL THEN 1 END) * sum({x} * CASE WHEN {y} IS NOT NULL THEN 1 END) AS DOUBLE)"
+    vy = f"CAST({n} * sum({y} * {y} * CASE WHEN {x} IS NOT NULL THEN 1 END) - sum({y} * CASE WHEN {x} IS NOT NULL THEN 1 END) * sum({y} * CASE WHEN {x} IS NOT NULL THEN 1 END) AS DOUBLE)"
+    return NANNULL(f"{cov} / sqrt({vx} * {vy})")
+
+
 def _in(vals) -> str:
     return ", ".join(repr(v) for v in vals)
 
@@ -581,7 +591,7 @@ s AS (SELECT *, CAST(floor(x / 100) * 100 AS INTEGER) AS x_bin,
                             throttle NULLS FIRST, drs NULLS FIRST
                    ROWS BETWEEN 8 PRECEDING AND 8 FOLLOWING)),
 z AS (SELECT driver_number, full_name, x_bin, avg(ss) AS avg_speed, avg(sr) AS avg_rpm,
-             {CORR('rpm', 'speed')} AS rpm_speed_corr, avg(throttle) AS avg_throttle
+             {XCORR('rpm', 'speed')} AS rpm_speed_corr, avg(throttle) AS avg_throttle
       FROM s GROUP BY driver_number, full_name, x_bin)
 SELECT driver_number, full_name, avg_speed, avg_rpm, rpm_speed_corr, avg_throttle, {MEETING} AS meeting_key,
        CAST(dense_rank() OVER (PARTITION BY driver_number ORDER BY x_bin NULLS FIRST) AS INTEGER) AS zone_index
@@ -691,7 +701,8 @@ c2 AS (SELECT *, CASE WHEN drs IN (10, 12, 14) THEN 1.0 WHEN drs = 8 THEN 0.5 EL
        FROM c1 WHERE drs IN (0, 1, 8, 10, 12, 14)),
 w AS (SELECT *, avg(speed) OVER (PARTITION BY driver_number, session_key ORDER BY date
                                  ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS sma FROM c2)
-SELECT driver_number, full_name, {CORR('drs_on', 'speed')} AS drs_speed_correlation, avg(speed) AS avg_speed,
+SELECT driver_number, full_name, {XCORR('CAST(drs_on * 2 AS BIGINT)', 'speed')} AS drs_speed_correlation,
+       avg(speed) AS avg_speed,
        avg(sma) AS avg_speed_moving, count(CASE WHEN drs_on > 0 THEN 1 END) AS drs_activations,
        avg(CASE WHEN drs_on > 0 THEN speed END) AS avg_speed_when_drs_on,
        avg(CASE WHEN drs_on = 0 THEN speed END) AS avg_speed_when_drs_off, count(*) AS total_samples,

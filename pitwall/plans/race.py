@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pitwall.functions.exprs import (
-    DRS_VALID, arg_max, arg_min, bin_floor, drs_open, drs_weight, guarded_pct, half_up, null_as, safe_corr,
+    DRS_VALID, arg_max, arg_min, bin_floor, drs_open, drs_weight, exact_corr, guarded_pct, half_up, null_as,
     step_change,
 )
 from pitwall.operators.aggs import avg_if, count_if, dedupe_ordered, negative_sum, positive_sum
@@ -172,7 +172,7 @@ def rpm_zones(t: dict, meeting_key: int = 1266, team: str = "Ferrari", half_widt
         smoothed_rpm=rolling("avg", "rpm", half_width, half_width))
     zones = j.groupBy("driver_number", "full_name", "x_bin").agg(
         F.avg("smoothed_speed").alias("avg_speed"), F.avg("smoothed_rpm").alias("avg_rpm"),
-        safe_corr("rpm", "speed").alias("rpm_speed_corr"), F.avg("throttle").alias("avg_throttle"))
+        exact_corr("rpm", "speed").alias("rpm_speed_corr"), F.avg("throttle").alias("avg_throttle"))
     # dense_rank runs on the aggregated zones: one row per (driver, bin), at most
     # track length / bin width rows per driver, so a plain window is bounded.
     zones = zones.withColumn("zone_index", F.dense_rank().over(Window.partitionBy("driver_number").orderBy("x_bin")))
@@ -334,7 +334,7 @@ def drs_correlation(t: dict, meeting_key: int = 1265, team: str = "Ferrari", hal
         car, speed_moving_avg=rolling("avg", "speed", half_width, half_width))
     on = F.col("drs_on")
     out = car.groupBy("driver_number", "full_name").agg(
-        safe_corr("drs_on", "speed").alias("drs_speed_correlation"),
+        exact_corr(F.col("drs_on") * 2, "speed").alias("drs_speed_correlation"),   # 2*drs_on is 0/1/2
         F.avg("speed").alias("avg_speed"), F.avg("speed_moving_avg").alias("avg_speed_moving"),
         count_if(on > 0).alias("drs_activations"),
         avg_if(on > 0, F.col("speed")).alias("avg_speed_when_drs_on"),

@@ -31,6 +31,10 @@ def session(app: str = "pitwall", master: str | None = None, shuffle_partitions:
     * ANSI mode on (the 4.x default): bad casts fail loudly instead of nulling.
     * AQE on, with partition coalescing and skew-join splitting, so shuffle
       sizing adapts at run time and a hot join key is split across tasks.
+    * No broadcast from plan-time size *estimates* (they ignore explodes and
+      filters): a side is broadcast only by an explicit hint placed behind a
+      counted row bound, or by AQE after the side's stage has run and its
+      real size is known (``adaptive.autoBroadcastJoinThreshold``).
     * No web UI.
     """
     b = SparkSession.builder.appName(app)
@@ -43,6 +47,8 @@ def session(app: str = "pitwall", master: str | None = None, shuffle_partitions:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -56,3 +56,24 @@ def test_step_change_first_row_zero(spark):
     r = spark.range(1).select(step_change(F.lit(None).cast("int"), F.lit(5)).alias("a"),
                               step_change(F.lit(5), F.lit(3)).alias("b")).first()
     assert (r.a, r.b) == (0, 2)
+
+
+def test_exact_corr_matches_corr_and_guards(spark):
+    from pitwall.functions.exprs import exact_corr
+    rows = [(1, r, s) for r, s in [(11000, 301), (10900, 0), (12000, 320), (None, 5), (9000, None), (9500, 250)]]
+    rows += [(2, 7, v) for v in (1, 2, 3)] + [(3, 4, 9)]
+    df = spark.createDataFrame(rows, "g int, rpm int, speed int")
+    got = {r.g: (r.x, r.c) for r in df.groupBy("g").agg(exact_corr("rpm", "speed").alias("x"),
+                                                       safe_corr("rpm", "speed").alias("c")).collect()}
+    assert abs(got[1][0] - got[1][1]) < 1e-12
+    assert got[2][0] is None and got[3][0] is None     # constant column; single pair
+
+
+def test_exact_corr_is_order_free(spark):
+    from pitwall.functions.exprs import exact_corr
+    import random
+    rnd = random.Random(5)
+    rows = [(rnd.randint(0, 12000), rnd.randint(0, 350)) for _ in range(2000)]
+    a = spark.createDataFrame(rows, "x int, y int").agg(exact_corr("x", "y")).first()[0]
+    b = spark.createDataFrame(list(reversed(rows)), "x int, y int").repartition(7).agg(exact_corr("x", "y")).first()[0]
+    assert a == b
