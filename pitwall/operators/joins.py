@@ -50,20 +50,35 @@ def proximity_join(left: DataFrame, right: DataFrame, keys, tol_seconds: int, le
 
     Bucket width is 2*tol. A left row sits in one bucket; each right row is
     copied to the (at most two) buckets whose left rows it can match, so every
-    matching pair meets exactly once and an unmatched left row yields exactly
-    one null-extended row: the result equals the plain residual join.
+    matching pair meets exactly once.
+
+    For ``how="left"`` the matches are an *inner* join (AQE may split a skewed
+    partition on either side) and the left rows without any match come from a
+    left-anti join against the right side's distinct (keys, second, bucket)
+    rows, at most 2*tol per key and bucket however hot the key is. Their union
+    is exactly the residual left outer join.
     """
     right_cols = right_cols or {}
     w = 2 * tol_seconds
-    ls = epoch_seconds(left_ts)
-    l = left.withColumn("_ls", ls).withColumn("_lb", F.floor(F.col("_ls") / w))
-    rs = epoch_seconds(right_ts)
-    r = _right_side(right, keys, right_cols, {"_rs": rs})
+    l = left.withColumn("_ls", epoch_seconds(left_ts)).withColumn("_lb", F.floor(F.col("_ls") / w))
+    r = _right_side(right, keys, right_cols, {"_rs": epoch_seconds(right_ts)})
     r = r.withColumn("_rb", F.explode(F.array_distinct(F.array(
         F.floor((F.col("_rs") - tol_seconds + 1) / w), F.floor((F.col("_rs") + tol_seconds - 1) / w)))))
-    cond = _key_match(l, r, keys) & (l["_lb"] == r["_rb"]) & (F.abs(l["_ls"] - r["_rs"]) < tol_seconds)
-    out = l.join(r, cond, how)
-    return out.drop("_ls", "_lb", "_rs", "_rb", *[f"_r_{k}" for k in keys])
+
+    def cond(lf, rf):
+        return _key_match(lf, rf, keys) & (lf["_lb"] == rf["_rb"]) & (F.abs(lf["_ls"] - rf["_rs"]) < tol_seconds)
+
+    helpers = ["_ls", "_lb", "_rs", "_rb", *[f"_r_{k}" for k in keys]]
+    matched = l.join(r, cond(l, r), "inner").drop(*helpers)
+    if how == "inner":
+        return matched
+    if how != "left":
+        raise ValueError("proximity_join supports how='left' or 'inner'")
+    seconds = r.select(*[f"_r_{k}" for k in keys], "_rs", "_rb").distinct()
+    alone = l.join(seconds, cond(l, seconds), "left_anti").drop("_ls", "_lb")
+    for src, dst in right_cols.items():
+        alone = alone.withColumn(dst, F.lit(None).cast(right.schema[src].dataType))
+    return matched.unionByName(alone)
 
 
 def containment_join(left: DataFrame, right: DataFrame, keys, x: str, lo: str, hi: str,

@@ -24,7 +24,9 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early).
     """
     bound = max_rows if max_rows is not None else conf_int(df.sparkSession, BROADCAST_ROWS)
-    n = df.limit(bound + 1).count()
+    checked = getattr(df, "_pitwall_rows", None)           # one count per DataFrame object
+    n = checked if checked is not None else df.limit(bound + 1).count()
+    df._pitwall_rows = n
     return F.broadcast(df) if n <= bound else df
 
 

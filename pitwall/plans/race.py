@@ -45,20 +45,25 @@ class Scope:
         self.meeting_key = meeting_key
         self.sessions = race_sessions(t["sessions"], meeting_key, session_name)
         self.keys = scope_keys(self.sessions)
+        self._dims = {}
 
     def fact(self, name: str) -> DataFrame:
         return scope_to_session(self.t[name], self.sessions, keys=self.keys)
 
     def drivers(self, by: str = "session") -> DataFrame:
         """by = session | meeting | all (unscoped but one row per driver) | raw (as stored)."""
-        d = self.t["drivers"]
-        if by == "session":
-            return session_drivers(d, sessions_f=self.sessions, keys=self.keys)
-        if by == "meeting":
-            return session_drivers(d, meeting_key=self.meeting_key)
-        if by == "all":
-            return session_drivers(d)
-        return d.select("driver_number", "full_name", "team_name")
+        if by not in self._dims:
+            d = self.t["drivers"]
+            if by == "session":
+                dim = session_drivers(d, sessions_f=self.sessions, keys=self.keys)
+            elif by == "meeting":
+                dim = session_drivers(d, meeting_key=self.meeting_key)
+            elif by == "all":
+                dim = session_drivers(d)
+            else:
+                dim = d.select("driver_number", "full_name", "team_name")
+            self._dims[by] = dim
+        return self._dims[by]
 
     def stamp(self, df: DataFrame) -> DataFrame:
         return df.withColumn("meeting_key", F.lit(self.meeting_key))
