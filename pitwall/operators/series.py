@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pitwall.session import BROADCAST_ROWS, CHUNK_ROWS, HOT_KEY_ROWS, conf_int, ensure_checkpoint_dir
+from pitwall.session import BROADCAST_ROWS, CHUNK_ROWS, HOT_KEY_ROWS, RANGE_ROWS, conf_int, ensure_checkpoint_dir
 
 _AGG = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 _UNB_P, _UNB_F = Window.unboundedPreceding, Window.unboundedFollowing
@@ -101,6 +101,9 @@ class Profile:
     groups: int
     max_rows: int
     rows: int
+    hot_groups: int = 0       # groups above the hot-key bound at profiling time
+    hot_rows: int = 0         # rows in those groups
+    hot_bound: int = 0
 
 
 @dataclass(frozen=True)
@@ -110,6 +113,8 @@ class Series:
     strategy: str = "auto"            # auto | window | split
     chunk_rows: int | None = None
     profile: Profile | None = field(default=None, compare=False)
+    isolate: bool = False             # split only the hot keys, window the rest (set by auto)
+    hot_key_rows: int | None = None   # hot-key bound; default spark.pitwall.series.hotKeyRows
 
     def __post_init__(self):
         object.__setattr__(self, "keys", tuple(self.keys))
@@ -117,6 +122,9 @@ class Series:
         if self.strategy.startswith("split:"):     # "split:N" = split with N-row chunks
             object.__setattr__(self, "chunk_rows", int(self.strategy.split(":", 1)[1]))
             object.__setattr__(self, "strategy", "split")
+        if self.strategy.startswith("auto:"):      # "auto:N" = auto with an N-row hot-key bound
+            object.__setattr__(self, "hot_key_rows", int(self.strategy.split(":", 1)[1]))
+            object.__setattr__(self, "strategy", "auto")
         if self.strategy not in ("auto", "window", "split"):
             raise ValueError(f"unknown series strategy {self.strategy!r}")
 
@@ -124,19 +132,50 @@ class Series:
         """Resolve ``auto`` once for a DataFrame so several calls share the decision."""
         if self.strategy == "window" or (self.strategy == "split" and self.profile is not None):
             return self
-        prof = profile(df, self.keys)
+        prof = profile(df, self.keys, self.hot_key_rows)
         if self.strategy == "split":
             return replace(self, profile=prof)
-        hot = conf_int(df.sparkSession, HOT_KEY_ROWS)
-        return replace(self, strategy="split" if prof.max_rows > hot else "window", profile=prof)
+        return _decide(self, prof)
 
     def apply(self, df: DataFrame, **specs: Spec) -> DataFrame:
         s = self.checked(df)
         if s.strategy == "window":
             return _window_path(df, s, specs)
+        if s.isolate and 0 < s.profile.hot_groups < s.profile.groups:
+            return _isolated(df, s, specs)
         return _split_path(df, s, specs)
 
 
+def _decide(s: "Series", prof: Profile) -> "Series":
+    if prof.max_rows > prof.hot_bound:
+        return replace(s, strategy="split", profile=prof, isolate=True)
+    return replace(s, strategy="window", profile=prof)
+
+
+def _isolated(df: DataFrame, s: "Series", specs: dict) -> DataFrame:
+    """Hot keys through the split path, every other key through one plain window.
+
+    The hot-key table is lazy (no collect) and has at most rows / hotKeyRows
+    entries, a proven bound for its broadcast.
+    """
+    keys = list(s.keys)
+    p = s.profile
+    hot = (df.groupBy(*keys).count().filter(F.col("count") > p.hot_bound).drop("count")
+           .select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
+    hot = _bounded(hot, p.rows // max(p.hot_bound, 1) + 1)
+    cond = None
+    for k in keys:
+        e = df[k].eqNullSafe(hot[f"_h_{k}"])
+        cond = e if cond is None else cond & e
+    hot_rows = df.join(hot, cond, "left_semi")
+    cold_rows = df.join(hot, cond, "left_anti")
+    hot_prof = Profile(p.hot_groups, p.max_rows, p.hot_rows, p.hot_groups, p.hot_rows, p.hot_bound)
+    cold_prof = Profile(p.groups - p.hot_groups, p.hot_bound, p.rows - p.hot_rows, 0, 0, p.hot_bound)
+    hot_out = _split_path(hot_rows, replace(s, profile=hot_prof), specs)
+    cold_out = _window_path(cold_rows, replace(s, strategy="window", profile=cold_prof), specs)
+    return cold_out.unionByName(hot_out)
+
+
 def resolve(df: DataFrame, *series: "Series") -> list:
     """Resolve several series against one (cheap, ancestor) DataFrame in a single job.
 
@@ -144,6 +183,8 @@ def resolve(df: DataFrame, *series: "Series") -> list:
     joins, so profiling the scoped fact before enrichment bounds every later
     group. All key sets are counted together with ``groupingSets``.
     """
+    if any(s.hot_key_rows for s in series):
+        return [s.checked(df) for s in series]
     todo = [s for s in series if s.strategy != "window" and s.profile is None]
     if not todo:
         return list(series)
@@ -152,28 +193,37 @@ def resolve(df: DataFrame, *series: "Series") -> list:
     gid = F.grouping_id(*cols).alias("_gid")
     counts = df.groupingSets([[F.col(c) for c in ks] for ks in sets], *[F.col(c) for c in cols]).agg(
         gid, F.count(F.lit(1)).alias("_n"))
-    stats = {r["_gid"]: r for r in counts.groupBy("_gid").agg(
-        F.count(F.lit(1)).alias("g"), F.max("_n").alias("m"), F.sum("_n").alias("n")).collect()}
     hot = conf_int(df.sparkSession, HOT_KEY_ROWS)
+    stats = {r["_gid"]: r for r in _summary(counts, "_n", hot, ["_gid"]).collect()}
     out = []
     for s in series:
         if s.strategy == "window" or s.profile is not None:
             out.append(s)
             continue
         bits = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s.keys)
-        r = stats.get(bits)
-        prof = Profile(int(r["g"]), int(r["m"]), int(r["n"])) if r else Profile(0, 0, 0)
-        strategy = s.strategy if s.strategy == "split" else ("split" if prof.max_rows > hot else "window")
-        out.append(replace(s, strategy=strategy, profile=prof))
+        prof = _profile_of(stats.get(bits), hot)
+        out.append(replace(s, profile=prof) if s.strategy == "split" else _decide(s, prof))
     return out
 
 
-def profile(df: DataFrame, keys) -> Profile:
-    """Number of groups, largest group and total rows (partial aggregation, one job)."""
-    r = (df.groupBy(*keys).count()
-         .agg(F.count(F.lit(1)).alias("g"), F.max("count").alias("m"), F.sum("count").alias("n"))
-         .first())
-    return Profile(int(r["g"] or 0), int(r["m"] or 0), int(r["n"] or 0))
+def _summary(counts: DataFrame, n: str, hot: int, by=()):
+    c = F.col(n)
+    return counts.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("g"), F.max(c).alias("m"), F.sum(c).alias("n"),
+        F.count(F.when(c > hot, F.lit(1))).alias("hg"), F.sum(F.when(c > hot, c).otherwise(0)).alias("hn"))
+
+
+def _profile_of(r, hot: int) -> Profile:
+    if r is None:
+        return Profile(0, 0, 0, 0, 0, hot)
+    return Profile(int(r["g"] or 0), int(r["m"] or 0), int(r["n"] or 0), int(r["hg"] or 0), int(r["hn"] or 0), hot)
+
+
+def profile(df: DataFrame, keys, hot: int | None = None) -> Profile:
+    """Groups, largest group, rows, and the groups/rows above the hot-key bound
+    (partial aggregation, one job, one summary row to the driver)."""
+    hot = hot or conf_int(df.sparkSession, HOT_KEY_ROWS)
+    return _profile_of(_summary(df.groupBy(*keys).count(), "count", hot).first(), hot)
 
 
 def _col(c) -> Column:
@@ -245,8 +295,8 @@ def ordinal(df: DataFrame, keys, order, name: str = "_rn", prof: Profile | None
     """
     spark = df.sparkSession
     prof = prof or profile(df, keys)
-    chunk = conf_int(spark, CHUNK_ROWS)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(prof.rows / chunk))
+    per_part = conf_int(spark, RANGE_ROWS)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(prof.rows / per_part))
     ensure_checkpoint_dir(spark)
     sort_cols = [*keys, *order]
     numbered = (df.repartitionByRange(parts, *sort_cols)

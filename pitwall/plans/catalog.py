@@ -38,6 +38,7 @@ DRIVERS = (16, 44)
 TOL_SECONDS = 43200                 # events are sparse: +-12 h instead of +-30 s
 BUCKET_SECONDS = 86400              # one day instead of one second
 SPLIT = "split:64"                  # hot-key strategy forced with 64-row chunks
+ISOLATE = "auto:150"                # keys above 150 rows split, the rest windowed
 
 D = "driver_number"
 DS = ("driver_number", "session_key")
@@ -316,10 +317,12 @@ def dedupe_ordered_q(spark, sf):
 
 # ============================================================== series windows
 
-def _series_query(name, sql, build, split_too=True):
+def _series_query(name, sql, build, split_too=True, isolate_too=False):
     register(name, sql)(lambda spark, sf: build(spark, sf, "auto"))
     if split_too:
         register(f"{name}_split", sql)(lambda spark, sf: build(spark, sf, SPLIT))
+    if isolate_too:
+        register(f"{name}_isolated", sql)(lambda spark, sf: build(spark, sf, ISOLATE))
 
 
 def _peer_delta(spark, sf, strategy):
@@ -350,7 +353,7 @@ SELECT session_key, driver_number, lap_number, lap_duration,
                                ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS rolling6,
        count(lap_duration) OVER (PARTITION BY driver_number, session_key ORDER BY lap_number
                                  ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) AS rolling11_n
-FROM laps"""), _rolling_trailing)
+FROM laps"""), _rolling_trailing, isolate_too=True)
 
 
 def _rolling_centered(spark, sf, strategy):
@@ -419,7 +422,7 @@ SELECT session_key, driver_number, lap_number, lap_duration,
        lap_duration - first_value(lap_duration) OVER w AS change_since_start
 FROM laps
 WINDOW w AS (PARTITION BY driver_number, session_key ORDER BY lap_number
-             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""), _full_frame)
+             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""), _full_frame, isolate_too=True)
 
 
 def _lag_lead(spark, sf, strategy):
@@ -482,7 +485,7 @@ w AS (SELECT session_key, driver_number, lap_number, lap_duration,
                                      ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS rolling6 FROM laps)
 SELECT *, last_value(rolling6) OVER (PARTITION BY driver_number, session_key ORDER BY lap_number
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS final_rolling
-FROM w"""), _nested_window)
+FROM w"""), _nested_window, isolate_too=True)
 
 
 # ============================================================= sorts and scalars

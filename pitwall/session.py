@@ -11,11 +11,13 @@ from pyspark.sql import SparkSession
 HOT_KEY_ROWS = "spark.pitwall.series.hotKeyRows"      # group size above which series ops split a key
 CHUNK_ROWS = "spark.pitwall.series.chunkRows"          # rows per chunk when a key is split
 BROADCAST_ROWS = "spark.pitwall.broadcast.maxRows"     # row bound for explicit broadcasts
+RANGE_ROWS = "spark.pitwall.series.rangeRows"          # rows per range partition of a split key
 
 DEFAULTS = {
     HOT_KEY_ROWS: 4_000_000,
     CHUNK_ROWS: 1_000_000,
     BROADCAST_ROWS: 2_000_000,
+    RANGE_ROWS: 4_000_000,
 }
 
 

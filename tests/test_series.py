@@ -109,3 +109,19 @@ def test_position_sequence_gained_lost(spark):
         p = p.withColumn("pc", step_change("prev", "position"))
         r = p.groupBy("d").agg(positive_sum("pc").alias("g"), negative_sum("pc").alias("l")).first()
         assert (r.g, r.l) == (2, -3)
+
+
+def test_auto_isolates_hot_keys_and_matches_model(spark):
+    spark.conf.set("spark.pitwall.series.hotKeyRows", "100")
+    spark.conf.set("spark.pitwall.series.chunkRows", "16")
+    try:
+        df = _fixture(spark)
+        s = Series(("k",), ("t", "tie")).checked(df)
+        assert s.strategy == "split" and s.isolate and s.profile.hot_groups == 1 and s.profile.hot_rows == 200
+        out = s.apply(df, **SPECS)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "_cc" in plan and "Union" in plan          # hot key chunked, the rest windowed
+        assert _norm(out.toPandas().to_dict("records")) == _norm(_model(df.toPandas()))
+    finally:
+        spark.conf.unset("spark.pitwall.series.hotKeyRows")
+        spark.conf.unset("spark.pitwall.series.chunkRows")
