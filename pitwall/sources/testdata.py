@@ -111,6 +111,18 @@ class LazyTables(dict):
         return df
 
 
+    def build_all(self, names=None, threads: int = 4) -> "LazyTables":
+        """Derive and write several tables at once: independent Spark jobs submitted
+        from a few driver threads share the executors (``laps`` first: ``stints`` reads it)."""
+        from concurrent.futures import ThreadPoolExecutor
+        names = [n for n in (names or RACE_TABLES) if n not in self]
+        if "laps" in names:
+            self["laps"]
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            list(pool.map(self.__getitem__, [n for n in names if n != "laps"]))
+        return self
+
+
 def race_tables(spark: SparkSession, sf_dir: str, lap_strategy: str = "auto") -> dict[str, DataFrame]:
     """All race tables as DataFrames."""
     t = LazyTables(spark, sf_dir, lap_strategy)
