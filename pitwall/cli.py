@@ -29,7 +29,7 @@ def _param(s: str):
         return k, v
 
 
-def main(argv=None) -> int:
+def main(argv=None, stop: bool = True) -> int:
     p = argparse.ArgumentParser(prog="pitwall")
     sub = p.add_subparsers(dest="cmd", required=True)
     i = sub.add_parser("ingest")
@@ -64,7 +64,8 @@ def main(argv=None) -> int:
         tables = Lake(spark, a.base, a.zone).tables()
         for name, target in run(tables, a.job, fmt=a.format, base=a.out, options=opts, **params).items():
             print(f"{name} -> {target}")
-    spark.stop()
+    if stop:
+        spark.stop()
     return 0
 
 

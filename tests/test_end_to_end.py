@@ -186,3 +186,21 @@ def test_stints_and_pits(results):
     pits = _by(results["f1_pit_intervals"][1], "driver_number")
     assert pits[16]["stop_duration"] == 2.5 and pits[16]["gap_at_pit"] is not None
     assert pits[44]["gap_at_pit"] is None          # no interval sample within 30 s of 44's stop at 10:00
+
+
+def test_cli_run_and_landing(spark, lake, capsys):
+    from pitwall.cli import main
+    out = os.path.join(lake, "cli-results")
+    assert main(["run", "max_speed", "--base", lake, "--out", out, "--format", "parquet",
+                 "--param", f"meeting_key={M}", "--param", "teams=('Ferrari',)"], stop=False) == 0
+    got = spark.read.parquet(os.path.join(out, "f1_max_speed"))
+    assert sorted(r.driver_number for r in got.collect()) == [16, 44]
+    assert main(["landing", "--raw", os.path.join(lake, "raw")], stop=False) == 0
+    assert "12 files landed" in capsys.readouterr().out
+
+
+def test_preview_prints_rows(spark, capsys):
+    from pitwall.sources.sinks import preview
+    preview(spark.range(70), 60)
+    text = capsys.readouterr().out
+    assert "only showing top 60 rows" in text and "|59 |" in text
