@@ -65,3 +65,19 @@ def test_stream_ingest_is_incremental(spark, tmp_dir):
     stream_ingest(spark, raw, cur, "position_race_only_2025", cols, checkpoint=ck)
     got = spark.read.parquet(f"{cur}/position_race_only_2025.parquet")
     assert sorted(r.position for r in got.collect()) == [3, 5]
+
+
+def test_partitioned_telemetry_prunes_by_session(spark, tmp_dir):
+    raw, cur = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "transformed", "f1_2025")
+    os.makedirs(raw)
+    _write(f"{raw}/position_race_only_2025.csv", "session_key,driver_number,date,position\n"
+           "1,16,2025-01-01T00:00:00Z,5\n2,16,2025-01-02T00:00:00Z,3\n3,44,2025-01-03T00:00:00Z,1\n")
+    ingest(spark, raw, cur, stems=("position_race_only_2025",),
+           partition_by={"position_race_only_2025": ["session_key"]})
+    from pitwall.operators.scope import scope_to_session
+    sessions = spark.createDataFrame([(2, 1266)], "session_key int, meeting_key int")
+    df = scope_to_session(Lake(spark, tmp_dir).table("position"), sessions)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(session_key" in plan and "session_key#" in plan
+    assert [r.position for r in df.collect()] == [3]
+    assert len(os.listdir(f"{cur}/position_race_only_2025.parquet")) >= 3      # one directory per session
