@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pitwall.functions.exprs import (
-    arg_max, arg_min, bin_floor, drs_open, drs_weight, epoch_seconds, guarded_pct, half_up, null_as, safe_corr,
-    step_change,
+    arg_max, arg_min, bin_floor, drs_open, drs_weight, guarded_pct, half_up, safe_corr, step_change,
 )
 from pitwall.operators.aggs import avg_if, count_if, dedupe_ordered, negative_sum, positive_sum
 from pitwall.operators.joins import containment_join, join_on_time_bucket, nearest_join, proximity_join

@@ -3,7 +3,6 @@ import random
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from pitwall.operators.series import (
     Series, fill, first, lag, last, lead, resolve, rolling, row_number, running, whole,
