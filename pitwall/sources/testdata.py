@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +75,9 @@ def _store(spark: SparkSession, sf_dir: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/race-tables-{tag}"
 
 
+_LOCKS: dict = {}
+
+
 class LazyTables(dict):
     """Race tables built on first access.
 
@@ -102,11 +106,12 @@ class LazyTables(dict):
             df = self.derive(name)
         else:
             path = f"{_store(self._spark, self._sf)}/{name}.parquet"
-            try:
-                df = self._spark.read.parquet(path)
-            except AnalysisException:
-                self.derive(name).write.mode("overwrite").parquet(path)
-                df = self._spark.read.parquet(path)
+            with _LOCKS.setdefault(path, threading.Lock()):     # concurrent queries of one session
+                try:
+                    df = self._spark.read.parquet(path)
+                except AnalysisException:
+                    self.derive(name).write.mode("overwrite").parquet(path)
+                    df = self._spark.read.parquet(path)
         self[name] = df
         return df
 
