@@ -21,6 +21,22 @@ DEFAULTS = {
 }
 
 
+# Settings every plan relies on; applied to a session the engine did not build (e.g. a caller's).
+ENGINE_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
+def apply_engine_conf(spark: SparkSession) -> SparkSession:
+    for k, v in ENGINE_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def conf_int(spark: SparkSession, key: str) -> int:
     return int(spark.conf.get(key, str(DEFAULTS[key])))
 
@@ -43,14 +59,10 @@ def session(app: str = "pitwall", master: str | None = None, shuffle_partitions:
     if master:
         b = b.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
+        **ENGINE_CONF,
         "spark.sql.ansi.enabled": "true",
-        "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
