@@ -8,8 +8,9 @@ and prints ONE JSON line:
 
 Each query is timed from plan construction (which includes its profile and
 scope-resolution jobs) to the end of a full ``noop`` write, so every row is
-computed and nothing is collected to the driver. One warm-up query runs first
-so JVM start-up is not charged to the first query. ``race_tables`` is the
+computed and nothing is collected to the driver. Two warm-up queries run first
+(one on the sf0.001 data) so JVM start-up and first-use code generation are not
+charged to the first timed query. ``race_tables`` is the
 one-off derivation of the race tables from the driver data (written once to
 the checkpoint folder, as the ingest job writes the curated zone); the
 analyses then read those tables.
@@ -29,6 +30,7 @@ from pitwall.plans import catalog  # noqa: E402
 from pitwall.session import session  # noqa: E402
 from pitwall.sources.testdata import RACE_TABLES, LazyTables  # noqa: E402
 
+WARMUP_DIR = "/root/testdata/sf0.001"
 HEADLINE = [
     "lap_time", "max_speed", "pit_intervals", "rpm_zones", "drs_overtakes", "gap_timeline", "gap_summary",
     "overtake_totals", "position_change", "sector_loss", "drs_correlation", "stint_length",
@@ -43,7 +45,9 @@ def main():
     spark = session(app="pitwall-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
                     conf={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
-    catalog.QUERIES["group_stats"](spark, sf_dir).write.format("noop").mode("overwrite").save()   # warm-up
+    # JVM warm-up (class loading, code generation of window/join operators) on the smallest data set
+    catalog.QUERIES["group_stats"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    catalog.QUERIES["lap_time"](spark, WARMUP_DIR).write.format("noop").mode("overwrite").save()
     times = {}
     # Derive the race tables from the driver data once (the curated zone), timed on its own.
     t0 = time.perf_counter()
