@@ -234,7 +234,10 @@ def gap_enriched(t: dict, meeting_key: int = 1274, teams=("Ferrari", "Red Bull R
     (series,) = resolve(fact, Series(DRIVER_SESSION, ("date",), strategy=strategy))
     iv = with_driver(fact, sc.drivers("session")).filter(F.col("team_name").isin(*teams))
     iv = dedupe_ordered(iv, ("driver_number", "session_key", "date"), ("gap_to_leader",))
-    iv = iv.withColumn("gap_to_leader", null_as("gap_to_leader", 0))   # null gap = leader (H9)
+    # A null gap is the leader (H9) unless the feed marked the sample (a lapped car),
+    # which keeps a null gap: averages skip it and it does not count as leading.
+    leader = F.col("gap_to_leader_marker").isNull() if "gap_to_leader_marker" in iv.columns else F.lit(True)
+    iv = iv.withColumn("gap_to_leader", F.when(leader, null_as("gap_to_leader", 0)).otherwise(F.col("gap_to_leader")))
     iv = series.apply(
         iv, avg_gap_last10=rolling("avg", "gap_to_leader", preceding),
         gap_5_ago=lag("gap_to_leader", offset_rows), gap_at_start=first("gap_to_leader"))

@@ -42,6 +42,10 @@ COLLECTIONS = {
     "sector_loss": "f1_sector_loss", "drs_correlation": "f1_drs_correlation", "stint_length": "f1_stint_length",
 }
 
+# Numeric columns whose raw feed uses text markers (a lapped car's "+1 LAP"): the marker is
+# kept in <column>_marker so it is not mistaken for a missing value.
+MARKED = {"intervals_race_only_2025": ("gap_to_leader",)}
+
 # Curated column types (columns not listed keep their raw string form).
 TS = "timestamp"
 SCHEMAS = {

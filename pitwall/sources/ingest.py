@@ -13,7 +13,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.sources.catalog import DROPS, HEAVY, LIGHT, SCHEMAS
+from pitwall.sources.catalog import DROPS, HEAVY, LIGHT, MARKED, SCHEMAS
 
 
 def read_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
@@ -42,9 +42,18 @@ def drop_if_present(df: DataFrame, cols) -> DataFrame:
     return df.drop(*present) if present else df
 
 
-def apply_types(df: DataFrame, types: dict) -> DataFrame:
-    """Cast declared columns with ``try_cast``: an unparsable value is NULL, not a job failure."""
-    return df.select(*[(F.col(c).try_cast(types[c]) if c in types else F.col(c)).alias(c) for c in df.columns])
+def apply_types(df: DataFrame, types: dict, marked=()) -> DataFrame:
+    """Cast declared columns with ``try_cast``: an unparsable value is NULL, not a job failure.
+
+    For a ``marked`` column the unparsable non-empty text is kept in ``<column>_marker``.
+    """
+    cols = [(F.col(c).try_cast(types[c]) if c in types else F.col(c)).alias(c) for c in df.columns]
+    for c in marked:
+        if c in df.columns:
+            raw = F.trim(F.col(c))
+            cols.append(F.when((raw != "") & F.col(c).try_cast(types.get(c, "double")).isNull(), raw)
+                        .alias(f"{c}_marker"))
+    return df.select(*cols)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=None) -> None:
@@ -59,7 +68,7 @@ def curate(spark: SparkSession, raw_path: str, stem: str, typed: bool = True, in
     """The lazy curated DataFrame of one raw table."""
     df = normalize_names(read_csv(spark, raw_path, infer=infer and not typed))
     df = drop_if_present(df, DROPS.get(stem, ()))
-    return apply_types(df, SCHEMAS.get(stem, {})) if typed else df
+    return apply_types(df, SCHEMAS.get(stem, {}), MARKED.get(stem, ())) if typed else df
 
 
 def ingest(spark: SparkSession, raw_dir: str, curated_dir: str, stems=HEAVY + LIGHT, typed: bool = True,

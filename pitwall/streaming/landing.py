@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from pitwall.session import ensure_checkpoint_dir
-from pitwall.sources.catalog import DROPS, SCHEMAS
+from pitwall.sources.catalog import DROPS, MARKED, SCHEMAS
 from pitwall.sources.ingest import apply_types, drop_if_present, normalize_names
 
 
@@ -29,7 +29,7 @@ def curated_stream(spark: SparkSession, raw_dir: str, stem: str, raw_columns) ->
     s = (spark.readStream.schema(raw_schema(raw_columns)).option("header", True)
          .option("pathGlobFilter", f"{stem}*.csv").csv(raw_dir))
     s = drop_if_present(normalize_names(s), DROPS.get(stem, ()))
-    return apply_types(s, SCHEMAS.get(stem, {}))
+    return apply_types(s, SCHEMAS.get(stem, {}), MARKED.get(stem, ()))
 
 
 def stream_ingest(spark: SparkSession, raw_dir: str, curated_dir: str, stem: str, raw_columns,

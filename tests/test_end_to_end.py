@@ -173,9 +173,9 @@ def test_gap_summary_leader_and_lapped(results):
     g = _by(results["f1_gap_to_leader"][1], "driver_number")
     assert g[16]["records_as_leader"] == 1         # the empty gap counts as leader (0.0)
     assert g[16]["gap_race_start"] == 0.0
-    # A lapped marker ("+1 LAP") is NULL after typed ingest, and the gap analyses
-    # read NULL as the leader (0.0): counted once. Known limitation (README, open items).
-    assert g[44]["records_as_leader"] == 1
+    # A lapped marker ("+1 LAP") is kept as gap_to_leader_marker at ingest: that sample
+    # keeps a null gap and is not counted as leading (unlike the empty gap of 16's first sample).
+    assert g[44]["records_as_leader"] == 0
 
 
 def test_stints_and_pits(results):

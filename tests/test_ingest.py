@@ -36,8 +36,8 @@ def test_ingest_round_trip(spark, tmp_dir):
     lake = Lake(spark, tmp_dir)
     car = lake.table("car_data")
     assert dict(car.dtypes)["date"] == "timestamp" and dict(car.dtypes)["speed"] == "int"
-    gaps = sorted((r.driver_number, r.gap_to_leader) for r in lake.table("intervals").collect())
-    assert gaps == [(1, None), (16, 0.0), (44, None)]
+    gaps = sorted((r.driver_number, r.gap_to_leader, r.gap_to_leader_marker) for r in lake.table("intervals").collect())
+    assert gaps == [(1, None, None), (16, 0.0, None), (44, None, "+1 LAP")]
     # rerun replaces the table
     ingest(spark, raw, cur, stems=("car_data_race_only_2025",))
     assert lake.table("car_data").count() == 2
