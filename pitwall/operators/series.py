@@ -138,12 +138,37 @@ class Series:
         return _decide(self, prof)
 
     def apply(self, df: DataFrame, **specs: Spec) -> DataFrame:
+        """Add one column per spec. A spec whose column names another spec of the
+        same call (a window over a window, W15) runs in a later stage; on the split
+        route all stages share one distributed ordinal."""
         s = self.checked(df)
+        stages = _stages(specs)
         if s.strategy == "window":
-            return _window_path(df, s, specs)
+            for st in stages:
+                df = _window_path(df, s, st)
+            return df
         if s.isolate and 0 < s.profile.hot_groups < s.profile.groups:
-            return _isolated(df, s, specs)
-        return _split_path(df, s, specs)
+            return _isolated(df, s, stages)
+        return _split_stages(df, s, stages)
+
+
+def _stages(specs: dict) -> list:
+    pending, stages = dict(specs), []
+    while pending:
+        ready = {n: sp for n, sp in pending.items()
+                 if not (isinstance(sp.col, str) and sp.col in pending and sp.col != n)}
+        if not ready:
+            raise ValueError("specs refer to each other in a cycle")
+        stages.append(ready)
+        for n in ready:
+            pending.pop(n)
+    return stages
+
+
+def _split_stages(df: DataFrame, s: "Series", stages: list) -> DataFrame:
+    for i, st in enumerate(stages):
+        df = _split_path(df, s, st, keep_rn=i < len(stages) - 1)
+    return df
 
 
 def _decide(s: "Series", prof: Profile) -> "Series":
@@ -152,7 +177,7 @@ def _decide(s: "Series", prof: Profile) -> "Series":
     return replace(s, strategy="window", profile=prof)
 
 
-def _isolated(df: DataFrame, s: "Series", specs: dict) -> DataFrame:
+def _isolated(df: DataFrame, s: "Series", stages: list) -> DataFrame:
     """Hot keys through the split path, every other key through one plain window.
 
     The hot-key table is lazy (no collect) and has at most rows / hotKeyRows
@@ -171,9 +196,11 @@ def _isolated(df: DataFrame, s: "Series", specs: dict) -> DataFrame:
     cold_rows = df.join(hot, cond, "left_anti")
     hot_prof = Profile(p.hot_groups, p.max_rows, p.hot_rows, p.hot_groups, p.hot_rows, p.hot_bound)
     cold_prof = Profile(p.groups - p.hot_groups, p.hot_bound, p.rows - p.hot_rows, 0, 0, p.hot_bound)
-    hot_out = _split_path(hot_rows, replace(s, profile=hot_prof), specs)
-    cold_out = _window_path(cold_rows, replace(s, strategy="window", profile=cold_prof), specs)
-    return cold_out.unionByName(hot_out)
+    hot_out = _split_stages(hot_rows, replace(s, profile=hot_prof), stages)
+    cold = replace(s, strategy="window", profile=cold_prof)
+    for st in stages:
+        cold_rows = _window_path(cold_rows, cold, st)
+    return cold_rows.unionByName(hot_out)
 
 
 def resolve(df: DataFrame, *series: "Series") -> list:
@@ -325,19 +352,22 @@ def _join_back(left: DataFrame, right: DataFrame, on: list, rows: int) -> DataFr
     return left.join(r, cond, "left").drop(*[f"_j_{c}" for c in on])
 
 
-def _split_path(df: DataFrame, s: Series, specs: dict) -> DataFrame:
+def _split_path(df: DataFrame, s: Series, specs: dict, keep_rn: bool = False) -> DataFrame:
     spark = df.sparkSession
     prof = s.profile or profile(df, s.keys)
     keys = list(s.keys)
     if all(sp.kind == "whole" for sp in specs.values()):
         per_key = df.groupBy(*keys).agg(*[_AGG[sp.fn](_col(sp.col)).alias(n) for n, sp in specs.items()])
-        return _join_back(df, per_key, keys, prof.groups)
+        out = _join_back(df, per_key, keys, prof.groups)
+        return out if keep_rn or "_rn" not in out.columns else out.drop("_rn")
     bounded = [sp for sp in specs.values() if sp.kind in ("rolling", "lag", "lead")]
     a = max([sp.lo for sp in bounded], default=0)
     b = max([sp.hi for sp in bounded], default=0)
     C = max(s.chunk_rows or conf_int(spark, CHUNK_ROWS), a, b, 1)
 
-    base = ordinal(df, keys, s.order, "_rn", prof).withColumn("_ck", F.floor((F.col("_rn") - 1) / C))
+    # an earlier stage of the same call left its ordinal on the rows: reuse it
+    base = df if "_rn" in df.columns else ordinal(df, keys, s.order, "_rn", prof)
+    base = base.withColumn("_ck", F.floor((F.col("_rn") - 1) / C))
     pos = (F.col("_rn") - 1) % C
     copies = [F.col("_ck")]
     if a > 0:   # my tail is the preceding halo of the next chunk
@@ -428,4 +458,4 @@ def _split_path(df: DataFrame, s: Series, specs: dict) -> DataFrame:
         per_key = base.groupBy(*keys).agg(*aggs)
         out = _join_back(out, per_key, keys, prof.groups)
 
-    return out.drop("_rn", "_ck", "_cc")
+    return out.drop("_ck", "_cc") if keep_rn else out.drop("_rn", "_ck", "_cc")

@@ -473,9 +473,8 @@ FROM location"""), _ordinal_zone)
 def _nested_window(spark, sf, strategy):
     t = _t(spark, sf)
     laps = t["laps"].select("session_key", D, "lap_number", "lap_duration")
-    s = Series(DS, ("lap_number",), strategy=strategy)
-    df = s.apply(laps, rolling6=rolling("avg", "lap_duration", 5))
-    return s.apply(df, final_rolling=last("rolling6"))
+    return Series(DS, ("lap_number",), strategy=strategy).apply(
+        laps, rolling6=rolling("avg", "lap_duration", 5), final_rolling=last("rolling6"))
 
 
 _series_query("nested_window", W("""

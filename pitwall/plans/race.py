@@ -89,8 +89,8 @@ def lap_time(t: dict, meeting_key: int = 1268, team: str = "Ferrari", preceding:
     laps = with_driver(fact, dim)
     df = peer.apply(laps, session_avg_lap_time=whole("avg", "lap_duration"))
     df = df.withColumn("delta_to_session", F.col("lap_duration") - F.col("session_avg_lap_time"))
-    df = drv.apply(df, driver_rolling_avg=rolling("avg", "lap_duration", preceding))
-    df = drv.apply(df, final_rolling=last("driver_rolling_avg"))
+    df = drv.apply(df, driver_rolling_avg=rolling("avg", "lap_duration", preceding),
+                   final_rolling=last("driver_rolling_avg"))       # a window over a window (W15)
     # The team filter comes after the field-wide window on purpose.
     out = (df.filter(F.col("team_name") == team)
            .groupBy("driver_number", "full_name")
