@@ -15,7 +15,7 @@ import __spark_entry__ as E
 SF = os.environ.get("PITWALL_ORACLE_SF", "/root/testdata/sf0.001")
 DEFAULT = ["project_filter", "left_join_renamed", "proximity_join", "containment_join", "nearest_join_split",
            "conditional_aggs", "arg_extrema", "safe_corr", "rolling_centered_split", "running_total_split",
-           "full_frame_split", "lag_lead", "ordinal_zone", "lap_time", "max_speed", "pit_intervals", "rpm_zones",
+           "full_frame_split", "lag_lead", "ordinal_zone", "nested_window_split", "lap_time", "max_speed", "pit_intervals", "rpm_zones",
            "drs_overtakes_window", "gap_summary", "overtake_totals", "position_change", "sector_loss",
            "drs_correlation", "stint_length_split"]
 NAMES = sorted(E.oracle_sql()) if os.environ.get("PITWALL_ORACLE_ALL") else DEFAULT
