@@ -123,7 +123,9 @@ def nearest_join(left: DataFrame, right: DataFrame, keys, left_ts: str = "date",
             .unionByName(lrows.select(*keys, "_s", F.lit(1).alias("_side"),
                                       F.lit(None).cast(samples.schema["_p"].dataType).alias("_p"), "_left")))
     hit = F.when(F.col("_side") == 0, F.struct(F.col("_s").alias("s"), F.col("_p").alias("p")))
-    series = Series(keys, ("_s", "_side", "_left"), strategy=strategy)
+    # Order by (second, side): samples precede left rows of their second. Left rows tied on
+    # (keys, second) get identical fills whatever their order, so no further tie-break is needed.
+    series = Series(keys, ("_s", "_side"), strategy=strategy)
     filled = series.apply(both, _bwd=fill(hit, forward=True), _fwd=fill(hit, forward=False))
     bwd, fwd = F.col("_bwd"), F.col("_fwd")
     take_bwd = fwd.isNull() | (bwd.isNotNull() & ((F.col("_s") - bwd["s"]) <= (fwd["s"] - F.col("_s"))))
