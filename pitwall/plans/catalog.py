@@ -329,13 +329,13 @@ def _peer_delta(spark, sf, strategy):
     laps = t["laps"].filter(F.col("lap_duration").isNotNull()).select("session_key", D, "lap_number", "lap_duration")
     df = Series(("session_key", "lap_number"), (), strategy=strategy).apply(laps, peer_avg=whole("avg", "lap_duration"))
     df = df.withColumn("delta", F.col("lap_duration") - F.col("peer_avg"))
-    return df.filter(F.col(D) % 2 == 0)      # filter after the field-wide value (F7)
+    return df.filter(F.col("delta") > 0)      # laps slower than the field: a filter after the field-wide value (F7)
 
 
 _series_query("peer_delta", W("""
 l AS (SELECT session_key, driver_number, lap_number, lap_duration FROM laps WHERE lap_duration IS NOT NULL),
 w AS (SELECT *, avg(lap_duration) OVER (PARTITION BY session_key, lap_number) AS peer_avg FROM l)
-SELECT *, lap_duration - peer_avg AS delta FROM w WHERE driver_number % 2 = 0"""), _peer_delta)
+SELECT *, lap_duration - peer_avg AS delta FROM w WHERE lap_duration - peer_avg > 0"""), _peer_delta)
 
 
 def _rolling_trailing(spark, sf, strategy):
