@@ -86,7 +86,9 @@ dimm AS (SELECT driver_number, full_name, team_name FROM (
 
 
 def W(body: str) -> str:
-    return f"WITH {RACE_CTES}, {SCOPE_SQL},\n{body}"
+    """Adapter and scope CTEs, then the query's own CTEs (if any) and its SELECT."""
+    sep = "\n" if body.lstrip().upper().startswith("SELECT") else ",\n"
+    return f"WITH {RACE_CTES}, {SCOPE_SQL}{sep}{body}"
 
 
 def _t(spark, sf):
@@ -163,7 +165,6 @@ def left_join_renamed_q(spark, sf):
 
 
 @register("time_bucket_join", W(f"""
-x AS (SELECT 1)
 SELECT c.session_key, c.driver_number, c.date, c.speed,
        CAST(floor({SEC('c.date')} / {BUCKET_SECONDS}) AS BIGINT) AS date_sec, l.x, l.y
 FROM car_data c LEFT JOIN location l
@@ -178,7 +179,6 @@ def time_bucket_join(spark, sf):
 
 
 @register("proximity_join", W(f"""
-x AS (SELECT 1)
 SELECT p.session_key, p.driver_number, p.date, p.lap_number, i.date AS i_date, i.gap_to_leader AS i_gap
 FROM pit p LEFT JOIN intervals i
   ON p.session_key = i.session_key AND p.driver_number = i.driver_number
@@ -192,7 +192,6 @@ def proximity_join_q(spark, sf):
 
 
 @register("containment_join", W("""
-x AS (SELECT 1)
 SELECT l.session_key, l.driver_number, l.lap_number, l.lap_duration, s.stint_number, s.compound
 FROM laps l LEFT JOIN stints s
   ON l.driver_number = s.driver_number AND l.session_key = s.session_key
@@ -278,7 +277,6 @@ def conditional_aggs(spark, sf):
 
 
 @register("arg_extrema", W("""
-x AS (SELECT 1)
 SELECT driver_number, session_key,
        struct_extract(max(CASE WHEN st_speed IS NOT NULL THEN {'v': st_speed, 'p': lap_number} END), 'p') AS lap_best_speed,
        struct_extract(min(CASE WHEN duration_sector_3 IS NOT NULL THEN {'v': duration_sector_3, 'p': lap_number} END), 'p') AS lap_best_s3
@@ -292,7 +290,6 @@ def arg_extrema(spark, sf):
 
 
 @register("safe_corr", W(f"""
-x AS (SELECT 1)
 SELECT driver_number, session_key, {R(CORR('rpm', 'speed'), 6)} AS rpm_speed_corr,
        {CORR('throttle * 0', 'speed')} AS constant_corr, count(*) AS n
 FROM car_data GROUP BY driver_number, session_key"""))
@@ -346,7 +343,6 @@ def _rolling_trailing(spark, sf, strategy):
 
 
 _series_query("rolling_trailing", W("""
-x AS (SELECT 1)
 SELECT session_key, driver_number, lap_number, lap_duration,
        avg(lap_duration) OVER (PARTITION BY driver_number, session_key ORDER BY lap_number
                                ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS rolling6,
@@ -363,7 +359,6 @@ def _rolling_centered(spark, sf, strategy):
 
 
 _series_query("rolling_centered", W("""
-x AS (SELECT 1)
 SELECT session_key, driver_number, date, speed, rpm,
        avg(speed) OVER (PARTITION BY driver_number, session_key ORDER BY date
                         ROWS BETWEEN 8 PRECEDING AND 8 FOLLOWING) AS smoothed_speed,
@@ -380,7 +375,6 @@ def _rolling_flag(spark, sf, strategy):
 
 
 _series_query("rolling_flag", W("""
-x AS (SELECT 1)
 SELECT session_key, driver_number, date, drs,
        max(CASE WHEN drs IN (10, 12, 14) THEN 1 ELSE 0 END) OVER (PARTITION BY driver_number, session_key ORDER BY date
                       ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING) AS drs_in_window
@@ -413,7 +407,6 @@ def _full_frame(spark, sf, strategy):
 
 
 _series_query("full_frame", W("""
-x AS (SELECT 1)
 SELECT session_key, driver_number, lap_number, lap_duration,
        min(lap_duration) OVER (PARTITION BY driver_number, session_key) AS best_lap,
        first_value(lap_duration) OVER w AS first_lap, last_value(lap_duration) OVER w AS last_lap,
@@ -432,7 +425,6 @@ def _lag_lead(spark, sf, strategy):
 
 
 _series_query("lag_lead", W("""
-x AS (SELECT 1)
 SELECT session_key, driver_number, date, gap_to_leader,
        lag(gap_to_leader, 1) OVER w AS gap_prev, lag(gap_to_leader, 5) OVER w AS gap_5_before,
        lead(gap_to_leader, 5) OVER w AS gap_5_after
@@ -447,7 +439,6 @@ def _step_change(spark, sf, strategy):
 
 
 _series_query("step_change", W("""
-x AS (SELECT 1)
 SELECT session_key, driver_number, date, position, prev_position,
        coalesce(prev_position - position, 0) AS position_change
 FROM (SELECT *, lag(position, 1) OVER (PARTITION BY driver_number, session_key ORDER BY date, position) AS prev_position
@@ -462,7 +453,6 @@ def _ordinal_zone(spark, sf, strategy):
 
 
 _series_query("ordinal_zone", W("""
-x AS (SELECT 1)
 SELECT session_key, driver_number, date, x, y, CAST(floor(x / 100) * 100 AS INTEGER) AS x_bin,
        CAST(row_number() OVER (PARTITION BY driver_number, session_key ORDER BY date, x, y) AS INTEGER) AS sample_no,
        CAST(dense_rank() OVER (PARTITION BY driver_number ORDER BY CAST(floor(x / 100) * 100 AS INTEGER) NULLS FIRST)
@@ -489,7 +479,6 @@ FROM w"""), _nested_window, isolate_too=True)
 # ============================================================= sorts and scalars
 
 @register("sorted_output", W("""
-x AS (SELECT 1)
 SELECT driver_number, count(*) AS laps, max(st_speed) AS top_speed FROM laps GROUP BY driver_number"""))
 def sorted_output(spark, sf):
     """O1/O2: global sorts (ascending, descending); the check is order-insensitive, unit tests assert order."""
