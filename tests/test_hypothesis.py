@@ -42,3 +42,29 @@ def test_containment_equals_residual_join(spark, laps, ranges, width):
     exp = a.join(b, (F.col("a.d") == F.col("b.d")) & (F.col("a.x") >= F.col("b.lo")) & (F.col("a.x") <= F.col("b.hi")),
                  "left").select("a.id", "b.sid")
     assert sorted(got.select("id", "sid").collect(), key=repr) == sorted(exp.collect(), key=repr)
+
+
+@SETTINGS
+@given(left=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 40)), min_size=1, max_size=25, unique=True),
+       right=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 40), st.integers(0, 999), st.integers(0, 5)),
+                      min_size=0, max_size=40),
+       strategy=st.sampled_from(["window", "split:3"]))
+def test_nearest_equals_pairwise_rank(spark, left, right, strategy):
+    import datetime as dt
+    from pyspark.sql.window import Window
+    from pitwall.operators.joins import nearest_join
+    t0 = dt.datetime(2025, 1, 1)
+
+    def ts(s, us=0):
+        return t0 + dt.timedelta(seconds=s, microseconds=us)
+    lo = spark.createDataFrame([(d, ts(s)) for d, s in left], "d int, date timestamp")
+    ro = spark.createDataFrame([(d, ts(s, us * 1000), v) for d, s, us, v in right] or [(9, ts(0), 0)],
+                               "d int, date timestamp, v int")
+    got = nearest_join(lo, ro, ("d",), right_cols={"date": "cd", "v": "v"}, strategy=strategy)
+    a, b = lo.alias("a"), ro.alias("b")
+    pairs = a.join(b, F.col("a.d") == F.col("b.d"), "left").select(
+        F.col("a.d"), F.col("a.date"), F.col("b.date").alias("cd"), F.col("b.v"),
+        F.abs(F.unix_seconds("a.date") - F.unix_seconds("b.date")).alias("dist"))
+    w = Window.partitionBy("d", "date").orderBy("dist", "cd", "v")
+    exp = pairs.withColumn("rn", F.row_number().over(w)).filter("rn = 1").select("d", "date", "cd", "v")
+    assert sorted(got.select("d", "date", "cd", "v").collect(), key=repr) == sorted(exp.collect(), key=repr)
