@@ -1,6 +1,7 @@
 """Command-line entry point (S10), e.g. under spark-submit:
 
     spark-submit pitwall/cli.py ingest  --raw hdfs:///f1/raw --curated hdfs:///f1/transformed/f1_2025
+    python -m pitwall run max_speed --base /data/f1 --out /data/f1/results   (same CLI)
     spark-submit pitwall/cli.py landing --raw hdfs:///f1/raw
     spark-submit pitwall/cli.py run lap_time --base hdfs:///f1 --format parquet --out hdfs:///f1/results \
         --param meeting_key=1268 --param team=Ferrari
