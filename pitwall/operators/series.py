@@ -35,9 +35,10 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
 
-from pitwall.session import BROADCAST_ROWS, CHUNK_ROWS, HOT_KEY_ROWS, RANGE_ROWS, conf_int, ensure_checkpoint_dir
+from pitwall.session import BROADCAST_ROWS, CHUNK_ROWS, HOT_KEY_ROWS, ORDINAL, RANGE_ROWS, conf_int, ensure_checkpoint_dir
 
 _AGG = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 _UNB_P, _UNB_F = Window.unboundedPreceding, Window.unboundedFollowing
@@ -307,9 +308,70 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= conf_int(df.sparkSession, BROADCAST_ROWS) else df
 
 
-def ordinal(df: DataFrame, keys, order, name: str = "_rn", prof: Profile | None = None) -> DataFrame:
+def ordinal(df: DataFrame, keys, order, name: str = "_rn", prof: Profile | None = None,
+            chunk: int | None = None) -> DataFrame:
     """Dense 1-based ordinal of each row inside its key, without one task per key.
 
+    ``spark.pitwall.series.ordinal``: ``auto`` (default) tries the time route and
+    falls back to the range route; ``time`` / ``range`` force one.
+    """
+    spark = df.sparkSession
+    prof = prof or profile(df, keys)
+    mode = spark.conf.get(ORDINAL, "auto")
+    if mode != "range" and order:
+        out = _time_ordinal(df, keys, order, name, prof, chunk or conf_int(spark, CHUNK_ROWS), strict=mode == "time")
+        if out is not None:
+            return out
+    return _range_ordinal(df, keys, order, name, prof)
+
+
+def _time_ordinal(df: DataFrame, keys, order, name: str, prof: Profile, chunk: int, strict: bool):
+    """Ordinal from time sub-buckets: deterministic, no sampling, no materialisation.
+
+    The first ordering column (a time or a number) cuts each key into
+    sub-buckets of width (span * C / rows), about C rows each when the key is
+    sampled at a steady rate. Per-(key, sub-bucket) counts give offsets (prefix
+    over the small counts table); a ``row_number`` inside each sub-bucket (a
+    window partition of about C rows) completes the ordinal. Every step is a
+    function of the data, so branches that re-read it agree, provided the order
+    is total. Returns None (caller falls back to the range route) when the
+    first ordering column is not a time or number, or when a burst puts more
+    than 4*C rows into one sub-bucket (checked on the counts, one small job).
+    """
+    first = order[0]
+    if not isinstance(first, str) or first not in df.columns:
+        return None
+    dt = df.schema[first].dataType
+    if isinstance(dt, (TimestampType, TimestampNTZType)):
+        t = F.unix_micros(F.col(first).cast("timestamp")).cast("double")
+    elif isinstance(dt, DateType):
+        t = F.unix_date(F.col(first)).cast("double")
+    elif isinstance(dt, NumericType):
+        t = F.col(first).cast("double")
+    else:
+        return None
+    keys = list(keys)
+    tdf = df.withColumn("_t", t)
+    stats = tdf.groupBy(*keys).agg(F.min("_t").alias("_t0"), F.max("_t").alias("_t1"), F.count(F.lit(1)).alias("_kn"))
+    width = F.greatest(F.lit(1.0), F.ceil((F.col("_t1") - F.col("_t0") + 1) * float(chunk) / F.col("_kn")).cast("double"))
+    stats = stats.select(*keys, "_t0", width.alias("_w"))
+    sub = _join_back(tdf, stats, keys, prof.groups)
+    sub = sub.withColumn("_sb", F.coalesce(F.floor((F.col("_t") - F.col("_t0")) / F.col("_w")),
+                                           F.lit(-1).cast("bigint"))).drop("_t", "_t0", "_w")
+    counts = sub.groupBy(*keys, "_sb").agg(F.count(F.lit(1)).alias("_nb"))
+    biggest = counts.agg(F.max("_nb")).first()[0] or 0
+    if biggest > 4 * chunk and not strict:
+        return None
+    before = Window.partitionBy(*keys).orderBy("_sb").rowsBetween(_UNB_P, -1)
+    offsets = counts.select(*keys, "_sb", F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_off"))
+    numbered = _join_back(sub, offsets, [*keys, "_sb"], prof.rows // max(chunk, 1) + 2 * prof.groups + 1)
+    local = F.row_number().over(Window.partitionBy(*keys, "_sb").orderBy(*order))
+    return numbered.withColumn(name, F.col("_off") + local).drop("_sb", "_off")
+
+
+def _range_ordinal(df: DataFrame, keys, order, name: str, prof: Profile) -> DataFrame:
+    """Ordinal from a range partitioning (any orderable columns, any distribution).
+
     Rows are range-partitioned on (keys, order) into ``P`` partitions with an
     explicit count, so AQE keeps the partitioning, and a hot key lands in many
     partitions. Within a partition rows are sorted and numbered with
@@ -321,7 +383,6 @@ def ordinal(df: DataFrame, keys, order, name: str = "_rn", prof: Profile | None
     row bound.
     """
     spark = df.sparkSession
-    prof = prof or profile(df, keys)
     per_part = conf_int(spark, RANGE_ROWS)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(prof.rows / per_part))
     ensure_checkpoint_dir(spark)
@@ -366,7 +427,7 @@ def _split_path(df: DataFrame, s: Series, specs: dict, keep_rn: bool = False) ->
     C = max(s.chunk_rows or conf_int(spark, CHUNK_ROWS), a, b, 1)
 
     # an earlier stage of the same call left its ordinal on the rows: reuse it
-    base = df if "_rn" in df.columns else ordinal(df, keys, s.order, "_rn", prof)
+    base = df if "_rn" in df.columns else ordinal(df, keys, s.order, "_rn", prof, C)
     base = base.withColumn("_ck", F.floor((F.col("_rn") - 1) / C))
     pos = (F.col("_rn") - 1) % C
     copies = [F.col("_ck")]

@@ -15,8 +15,17 @@ rows_st = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)),      # key
 
 
 @SETTINGS
-@given(rows=rows_st, a=st.integers(0, 6), b=st.integers(0, 6), n=st.integers(1, 4), chunk=st.integers(1, 9))
-def test_split_equals_window(spark, rows, a, b, n, chunk):
+@given(rows=rows_st, a=st.integers(0, 6), b=st.integers(0, 6), n=st.integers(1, 4), chunk=st.integers(1, 9),
+       route=st.sampled_from(["auto", "time", "range"]))
+def test_split_equals_window(spark, rows, a, b, n, chunk, route):
+    spark.conf.set("spark.pitwall.series.ordinal", route)
+    try:
+        _check_split(spark, rows, a, b, n, chunk)
+    finally:
+        spark.conf.unset("spark.pitwall.series.ordinal")
+
+
+def _check_split(spark, rows, a, b, n, chunk):
     data = [(k, t, i, v) for i, (k, t, v) in enumerate(rows)]        # i makes the order total
     df = spark.createDataFrame(data, "k int, t int, i int, v int")
     specs = dict(r=rolling("sum", "v", a, b), c=rolling("count", "v", a, b), lg=lag("v", n), ld=lead("v", n),
