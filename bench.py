@@ -42,7 +42,8 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = sys.argv[1:]
-    spark = session(app="pitwall-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2))
+    spark = session(app="pitwall-bench", master=f"local[{cpus}]", shuffle_partitions=partitions,
                     conf={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     # JVM warm-up (class loading, code generation of window/join operators) on the smallest data set
