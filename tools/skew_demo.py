@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -21,12 +22,15 @@ from pyspark.sql import functions as F  # noqa: E402
 from pitwall.operators.series import Series, rolling  # noqa: E402
 from pitwall.session import session  # noqa: E402
 from pitwall.sources.testdata import LazyTables  # noqa: E402
+from tools.stage_times import summarize  # noqa: E402
 
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    log_dir = tempfile.mkdtemp(prefix="pitwall-eventlog-")
     spark = session(master="local[8]", shuffle_partitions=16,
-                    conf={"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+                    conf={"spark.sql.adaptive.coalescePartitions.enabled": "false",
+                          "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir})
     spark.sparkContext.setLogLevel("ERROR")
     car = LazyTables(spark, sf)["car_data"]
     third = F.unix_micros(F.col("date").cast("timestamp")) % 3 == 0
@@ -37,6 +41,7 @@ def main():
     print(f"rows={n} hot_key_rows={hot} ({hot / n:.0%})")
     results = {}
     for strategy in ("window", f"split:{max(hot // 32, 64)}"):
+        spark.sparkContext.setJobGroup(strategy, strategy)
         t0 = time.perf_counter()
         out = Series(("driver_number", "session_key"), ("date", "speed", "rpm"), strategy=strategy).apply(
             skewed, smoothed=rolling("avg", "speed", 8, 8))
@@ -48,7 +53,13 @@ def main():
         results[strategy] = out
         print(f"{strategy:12s} largest task: {per_task} rows   wall: {dt:.1f}s")
     a, b = results.values()
+    spark.sparkContext.setJobGroup("compare", "compare")
     print("equal results:", a.exceptAll(b.select(a.columns)).count() == 0 and b.count() == a.count())
+    spark.stop()
+    for group, st in summarize(log_dir).items():
+        if group and group != "compare":
+            print(f"{group:12s} longest task: {st['max_task_ms']} ms   task time: {st['task_ms']} ms   "
+                  f"tasks: {st['tasks']}")
 
 
 if __name__ == "__main__":
