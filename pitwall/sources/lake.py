@@ -12,8 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pitwall.sources.catalog import SHORT
 
 
+# fixed value: the curated zone's folder below the lake base
+CURATED_ZONE = "transformed/f1_2025"
+
+
 class Lake:
-    def __init__(self, spark: SparkSession, base: str, zone: str = "transformed/f1_2025"):
+    def __init__(self, spark: SparkSession, base: str, zone: str = CURATED_ZONE):
         self.spark = spark
         self.root = f"{base.rstrip('/')}/{zone.strip('/')}" if zone else base.rstrip("/")
 
