@@ -35,24 +35,17 @@ def join_on_time_bucket(left: DataFrame, right: DataFrame, keys, left_ts: str =
                         how: str = "left") -> DataFrame:
     """Equi-join on (keys, whole ``seconds``-wide time bucket), n:m within a bucket.
 
-    ``bucket_col`` (floor(epoch / seconds)) is kept on the output. For
-    ``how="left"`` the matches are an inner join (AQE may split a skewed
-    partition on either side) and left rows without a match come from a
-    left-anti join against the right side's distinct (keys, bucket) rows, where
-    every key occurs once; the union equals the left outer join.
+    ``bucket_col`` (floor(epoch / seconds)) is kept on the output. The bucket is
+    part of the join key, so a hot driver is spread over as many partitions as
+    it has seconds, and AQE can split a skewed left partition. Both sides are
+    large here, so unlike ``proximity_join`` (small left side) there is no
+    separate anti-join pass, which would shuffle the left side a second time.
     """
     right_cols = right_cols or {}
     l = left.withColumn(bucket_col, F.floor(epoch_seconds(left_ts) / seconds))
     r = right.select(*keys, F.floor(epoch_seconds(right_ts) / seconds).alias(bucket_col),
                      *[F.col(s).alias(d) for s, d in right_cols.items()])
-    on = [*keys, bucket_col]
-    if how != "left":
-        return l.join(r, on, how)
-    matched = l.join(r, on, "inner")
-    alone = l.join(r.select(*on).distinct(), on, "left_anti")
-    for src, dst in right_cols.items():
-        alone = alone.withColumn(dst, F.lit(None).cast(right.schema[src].dataType))
-    return matched.unionByName(alone)
+    return l.join(r, [*keys, bucket_col], how)
 
 
 def proximity_join(left: DataFrame, right: DataFrame, keys, tol_seconds: int, left_ts: str = "date",
