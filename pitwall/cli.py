@@ -14,8 +14,13 @@ from __future__ import annotations
 
 import argparse
 import ast
+import os
 import sys
 
+if __package__ in (None, ""):     # run as a script (spark-submit pitwall/cli.py): make the package importable.
+    # Only the driver needs it; executors run no Python (there are no UDFs).
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from pitwall.plans.jobs import JOBS, run
 from pitwall.session import session
 from pitwall.sources.ingest import ingest, landed_files
