@@ -77,3 +77,23 @@ def test_nearest_equals_pairwise_rank(spark, left, right, strategy):
     w = Window.partitionBy("d", "date").orderBy("dist", "cd", "v")
     exp = pairs.withColumn("rn", F.row_number().over(w)).filter("rn = 1").select("d", "date", "cd", "v")
     assert sorted(got.select("d", "date", "cd", "v").collect(), key=repr) == sorted(exp.collect(), key=repr)
+
+
+@SETTINGS
+@given(left=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 300)), min_size=1, max_size=20),
+       right=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 300)), min_size=0, max_size=60),
+       tol=st.integers(1, 90))
+def test_proximity_equals_residual_join(spark, left, right, tol):
+    import datetime as dt
+    from pitwall.operators.joins import proximity_join
+    t0 = dt.datetime(2025, 1, 1)
+    lo = spark.createDataFrame([(d, t0 + dt.timedelta(seconds=s), i % 7) for i, (d, s) in enumerate(left)],
+                               "d int, date timestamp, tag int")            # tag repeats: duplicate left rows
+    ro = spark.createDataFrame([(d, t0 + dt.timedelta(seconds=s), j) for j, (d, s) in enumerate(right)] or
+                               [(9, t0, -1)], "d int, date timestamp, v int")
+    got = proximity_join(lo, ro, ("d",), tol, right_cols={"v": "v"}).select("d", "date", "tag", "v")
+    a, b = lo.alias("a"), ro.alias("b")
+    exp = a.join(b, (F.col("a.d") == F.col("b.d"))
+                 & (F.abs(F.unix_seconds("a.date") - F.unix_seconds("b.date")) < tol), "left").select(
+        "a.d", "a.date", "a.tag", "b.v")
+    assert sorted(got.collect(), key=repr) == sorted(exp.collect(), key=repr)
