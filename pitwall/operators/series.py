@@ -13,8 +13,9 @@ Two physical strategies compute the same values:
 
 ``split``
     For hot keys (one key may hold a large share of all rows). Rows get a
-    distributed ordinal ``rn`` (range partitioning on keys + order, so a hot key
-    spreads over many partitions), are cut into chunks of ``C`` rows, and each
+    distributed ordinal ``rn`` (from time sub-buckets of about ``C`` rows, or,
+    for bursts and non-numeric orders, from a range partitioning on keys +
+    order), are cut into chunks of ``C`` rows, and each
     chunk is evaluated as its own window partition with a halo of the
     neighbouring chunks' boundary rows. Bounded frames (rolling, lag, lead) are
     exact and see the rows in the same order as the ``window`` strategy, so
@@ -25,7 +26,8 @@ Two physical strategies compute the same values:
     otherwise a shuffle join that AQE splits when skewed).
 
 ``auto`` (default) profiles the key sizes first (one aggregation job) and picks
-``window`` unless the largest group exceeds ``spark.pitwall.series.hotKeyRows``.
+``window`` unless the largest group exceeds ``spark.pitwall.series.hotKeyRows``;
+then only the hot keys take the ``split`` route and the rest stay on ``window``.
 """
 
 from __future__ import annotations
