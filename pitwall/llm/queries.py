@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from .decontam import OP5_SQL, op5_decontaminate
+from .langid import op4_language_id
+from .license import op2_license_scan
 from .mixing import OP9_SQL, op9_mix_sources
 from .tokens import op3_token_counts
 
 QUERIES = {
+    "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
+    "op4_language_id": op4_language_id,
+    "op5_decontaminate": op5_decontaminate,
     "op9_mix_sources": op9_mix_sources,
 }
 
 ORACLE = {
+    "op5_decontaminate": OP5_SQL,
     "op9_mix_sources": OP9_SQL,
 }

@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step holds; longer single texts form a step of their own.
@@ -35,6 +38,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application, whatever their path holds."""
+    sc = spark.sparkContext
+    if getattr(sc, "_pitwall_shipped", None) == sc.applicationId:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="pitwall-")) / "pitwall.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._pitwall_shipped = sc.applicationId
+
+
+def arrow_map(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path for a written table below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -47,7 +70,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTE
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
         total = np.cumsum(sizes)
         start, n = 0, batch.num_rows
         while start < n:

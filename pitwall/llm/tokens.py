@@ -20,9 +20,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import arrow_map
+
 #: The pattern of the vocabulary's pre-tokeniser.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces whose counts a worker keeps.
@@ -245,7 +248,7 @@ def count_tokens(docs: DataFrame, vocabulary_file: str, limit: int, id_col: str
         v = vocabulary(vocabulary_file)
         for batch in batches:
             tokens, fits = [], []
-            lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).cast(pa.int64())
+            lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
             for text, size in zip(batch.column(1), lengths.to_pylist()):
                 text = text.as_py()
                 n = v.count(text)
@@ -258,11 +261,11 @@ def count_tokens(docs: DataFrame, vocabulary_file: str, limit: int, id_col: str
                     fits.append(int(ends[k - 1]) if k else 0)
             n = pa.array(tokens, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), lengths, n, pa.compute.greater(n, limit), pa.array(fits, pa.int64())],
+                [batch.column(0), lengths, n, pc.greater(n, limit), pa.array(fits, pa.int64())],
                 names=["id", "n_bytes", "n_tokens", "over_limit", "fit_bytes"])
 
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return out.mapInArrow(run, f"id {id_type}, n_bytes long, n_tokens long, over_limit boolean, fit_bytes long") \
+    return arrow_map(out, run, f"id {id_type}, n_bytes long, n_tokens long, over_limit boolean, fit_bytes long") \
         .withColumnRenamed("id", id_col)
 
 
