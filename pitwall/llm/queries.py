@@ -7,12 +7,14 @@ from .langid import op4_language_id
 from .license import op2_license_scan
 from .mixing import OP9_SQL, op9_mix_sources
 from .tokens import op3_token_counts
+from .warc import op7_warc
 
 QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
+    "op7_warc": op7_warc,
     "op9_mix_sources": op9_mix_sources,
 }
 
