@@ -6,6 +6,7 @@ from .decontam import OP5_SQL, op5_decontaminate
 from .langid import op4_language_id
 from .license import op2_license_scan
 from .mixing import OP9_SQL, op9_mix_sources
+from .suffix_tree import op10_lm_scores
 from .tokens import op3_token_counts
 from .warc import op7_warc
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op7_warc": op7_warc,
     "op9_mix_sources": op9_mix_sources,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 ORACLE = {
