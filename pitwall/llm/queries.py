@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontam import OP5_SQL, op5_decontaminate
+from .embed import OP6_SQL, op6_embedding_dedup
 from .langid import op4_language_id
 from .license import op2_license_scan
 from .mixing import OP9_SQL, op9_mix_sources
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_warc": op7_warc,
     "op9_mix_sources": op9_mix_sources,
     "op10_lm_scores": op10_lm_scores,
@@ -22,5 +24,6 @@ QUERIES = {
 
 ORACLE = {
     "op5_decontaminate": OP5_SQL,
+    "op6_embedding_dedup": OP6_SQL,
     "op9_mix_sources": OP9_SQL,
 }
