@@ -7,11 +7,13 @@ from .embed import OP6_SQL, op6_embedding_dedup
 from .langid import op4_language_id
 from .license import op2_license_scan
 from .mixing import OP9_SQL, op9_mix_sources
+from .partenum import OP1_SQL, op1_partenum_join
 from .suffix_tree import op10_lm_scores
 from .tokens import op3_token_counts
 from .warc import op7_warc
 
 QUERIES = {
+    "op1_partenum_join": op1_partenum_join,
     "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
@@ -23,6 +25,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_partenum_join": OP1_SQL,
     "op5_decontaminate": OP5_SQL,
     "op6_embedding_dedup": OP6_SQL,
     "op9_mix_sources": OP9_SQL,
