@@ -8,6 +8,7 @@ from .langid import op4_language_id
 from .license import op2_license_scan
 from .mixing import OP9_SQL, op9_mix_sources
 from .partenum import OP1_SQL, op1_partenum_join
+from .substring import OP8_SQL, op8_substring_dedup
 from .suffix_tree import op10_lm_scores
 from .tokens import op3_token_counts
 from .warc import op7_warc
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_warc": op7_warc,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_mix_sources": op9_mix_sources,
     "op10_lm_scores": op10_lm_scores,
 }
@@ -28,5 +30,6 @@ ORACLE = {
     "op1_partenum_join": OP1_SQL,
     "op5_decontaminate": OP5_SQL,
     "op6_embedding_dedup": OP6_SQL,
+    "op8_substring_dedup": OP8_SQL,
     "op9_mix_sources": OP9_SQL,
 }
