@@ -8,8 +8,8 @@ window marks its document words, and the item counts as occurring. Items shorter
 with their own length as the window.
 
 The benchmark is read as a fixed test set: up to ``broadcast_bytes`` of item text it is broadcast and the documents
-are one narrow pass. Beyond it, items are dealt into blocks of at most that size, each block is a pass of its own, and
-the marked spans of a document are united over the blocks.
+are one narrow pass. Beyond it, items are dealt into blocks of about half that size, each block is a step of the same pass and
+adds its spans to those of the blocks before it.
 
 Defined cases: null or empty documents have no words and are never hit; null or empty items occur nowhere; a repeated
 item_id counts once in ``n_items``, a null item_id marks words but has no name to count; repeated document rows are
@@ -18,7 +18,6 @@ judged each; no benchmark rows leave all documents clean.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,79 +115,61 @@ def runs(mask: np.ndarray) -> list[int]:
     return edges.tolist()
 
 
-def spans(docs: DataFrame, items: DataFrame, window: int, gram: int, broadcast_bytes: int, id_type: str) -> DataFrame:
-    """id, n_words, spans (starts and ends of marked words, in turn) and items (ids as text) of every document."""
+def united(spans: list[int]) -> list[int]:
+    """Starts and ends, in turn, of the union of such spans."""
+    out: list[int] = []
+    for a, b in sorted(zip(spans[::2], spans[1::2])):
+        if out and a <= out[-1]:
+            out[-1] = max(out[-1], b)
+        else:
+            out += [a, b]
+    return out
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5, text_col: str = "text",
+                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``docs`` as a struct ``row``, with n_words, n_hit, n_items, items_sha256, contaminated and spans (starts and ends
+    of marked words, in turn)."""
     spark = docs.sparkSession
+    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total * 2 // broadcast_bytes)) if total > broadcast_bytes else 1
-    parts = []
-    for b in range(blocks):
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.lit(0).cast("long").alias("n_words"),
+                        F.array().cast("array<long>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    schema = found.schema
+    for b in range(blocks):  # each adds its spans and items to the rows' own
         own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)
-        rows = [(r[0], r[1]) for r in own.where(F.col("text").isNotNull()).collect()]
-        index = spark.sparkContext.broadcast((rows, window, gram))
+        index = spark.sparkContext.broadcast(([tuple(r) for r in own.collect()], window, gram))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             table = Index(*index.value)
-            for step in steps(batches, "text"):
-                w = words(step.column("text"), ALNUM)
-                marks, names = [], []
-                for i in range(step.num_rows):
-                    mask, found = table.hits(w.hash[w.of(i)])
-                    marks.append(runs(mask) if found else [])
-                    names.append(sorted({str(table.ids[k]) for k in found if table.ids[k] is not None}))
-                yield pa.RecordBatch.from_arrays(
-                    [step.column("id"), step.column("row"), pa.array(w.count, pa.int64()),
-                     pa.array(marks, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))],
-                    names=["id", "row", "n_words", "spans", "items"])
-
-        parts.append(arrow_map(docs, run, f"id {id_type}, row long, n_words long, spans array<long>, items array<string>"))
-    if blocks == 1:
-        return parts[0].drop("row")
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    # few spans a document: united per row over the blocks, pre-aggregated as sets
-    return both.groupBy("row", "id").agg(
-        F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")).drop("row")
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5,
-                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and spans (word starts and ends, in turn) of every document."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    own = docs.select(F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"), F.col("text"))
-    found = spans(own, benchmark.select("item_id", "text"), window, gram, broadcast_bytes, id_type)
-
-    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit, digest, count, clean = [], [], [], []
-            for s, items in zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist()):
-                pairs, total, end, out = sorted(zip(s[::2], s[1::2])), 0, 0, []
-                for a, b in pairs:
-                    if out and a <= end:
-                        out[-1] = end = max(end, b)
-                    else:
-                        out += [a, b]
-                        end = b
-                total = sum(out[1::2]) - sum(out[::2])
-                hit.append(total)
-                clean.append(out)
-                count.append(len(items))
-                digest.append(hashlib.sha256(",".join(sorted(items)).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("n_words"), pa.array(hit, pa.int64()), pa.array(count, pa.int64()),
-                 pa.array(digest, pa.string()), pa.array([h > 0 for h in hit], pa.bool_()), pa.array(clean, pa.list_(pa.int64()))],
-                names=["id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
-
-    return arrow_map(found, united, f"id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, "
-                                    "contaminated boolean, spans array<long>").withColumnRenamed("id", "doc_id")
+            for batch in batches:
+                batch = pa.RecordBatch.from_arrays([batch.column("row").field(text_col).cast(pa.string()), *batch.columns],
+                                                   names=["text", *batch.schema.names])
+                for step in steps([batch], "text"):
+                    w = words(step.column("text"), ALNUM)
+                    marks, names = [], []
+                    for i, (had, known) in enumerate(zip(step.column("spans").to_pylist(), step.column("items").to_pylist())):
+                        mask, hit = table.hits(w.hash[w.of(i)])
+                        marks.append(united(had + runs(mask)) if hit else had)
+                        names.append(sorted({*known, *(str(table.ids[k]) for k in hit if table.ids[k] is not None)}))
+                    yield pa.RecordBatch.from_arrays(
+                        [step.column("row"), pa.array(w.count, pa.int64()), pa.array(marks, pa.list_(pa.int64())),
+                         pa.array(names, pa.list_(pa.string()))], names=["row", "n_words", "spans", "items"])
+
+        found = arrow_map(found, run, schema)
+    total_of = lambda first: F.aggregate(
+        F.filter("spans", lambda x, k: k % 2 == first), F.lit(0).cast("long"), lambda s, x: s + x)
+    return found.select("row", "n_words", (total_of(1) - total_of(0)).alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+                        (F.size("spans") > 0).alias("contaminated"), "spans")
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:
     """Documents against the benchmark's windows of 10 words."""
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    return decontaminate(docs, items).drop("spans")
+    return decontaminate(docs.select("doc_id", "text"), items).select(
+        "row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 OP5_SQL = r"""
