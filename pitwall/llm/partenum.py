@@ -13,10 +13,11 @@ the first that is full enough; two sets always share the fuller one's partitioni
 
 Signatures travel as packed arrays by ranges of their hash (as many as 16 a shuffle partition). Equal sets of a task
 send them once. A range's task finds the signatures that several documents share and returns groups of document ids,
-not pairs. Links are then found in two rounds: every document against one hub of its groups, and then, in groups
-that still hold several components, the pairs across components that neither sizes, feature counts nor the triangle
-inequality of the Jaccard distance rule out. So a group of near copies costs one comparison a member, and no link
-between components is missed. Every link is verified on the whole sets.
+not pairs. Links are then found in two rounds: every document against one hub of its groups, and then, among the
+documents of groups that still hold several components, the pairs across components that neither sizes nor feature
+counts (a lower bound of the difference) rule out, found in blocks of bounded size. So a group of near copies costs
+about one comparison a member, and no link between components is missed. Every link is verified on the whole sets,
+which travel once to every group of blocks they are needed in, not once a pair.
 
 Sets are compared as 64-bit hashes (48 bits of them in verification): n documents meet about n^2 / 2^65 false equalities.
 
@@ -48,7 +49,9 @@ SPARE = 0.3
 PACKED = 1 << 21
 #: Ids that a broadcast may hold (16 bytes each); beyond it texts are shuffled to their ids.
 BROADCAST_IDS = 1 << 21
-_CELLS = 32  # of the feature counts
+_CELLS = 256  # of the feature counts
+#: Documents of a block; a task compares two blocks.
+BLOCK = 512
 
 
 def sets(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -203,12 +206,12 @@ def shared_groups(table: pa.Table) -> pa.Table:
 
 
 def described(docs: DataFrame, n: int) -> DataFrame:
-    """id, n, f (fingerprint) and counts (elements in each of 32 cells, 255 at most) of every row."""
+    """id, n, f (fingerprint) and counts (elements in each of 256 cells, 255 at most) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, "text"):
             own = sets(step.column("text"), n)
-            counts = [np.minimum(np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=_CELLS), 255).astype(np.uint8).tobytes() for s in own]
+            counts = [np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=_CELLS), 255).astype(np.uint8).tobytes() for s in own]
             yield pa.RecordBatch.from_arrays(
                 [step.column("id"), pa.array([len(s) for s in own], pa.int64()),
                  pa.array([fingerprint(s) if len(s) else None for s in own], pa.int64()), pa.array(counts, pa.binary())],
@@ -235,41 +238,102 @@ def possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return arrow_map(pairs.select("a", "b", "na", "nb", "ca", "cb"), run, "a long, b long, na long, nb long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """(a, b, na, nb) with ``common``, the number of elements that both sets hold; ``pairs`` is computed already."""
-    wanted = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct())
-    few = wanted.count() <= BROADCAST_IDS
+def apart(percent: int):
+    """Two blocks of documents -> pairs of different components that sizes and feature counts do not rule out."""
+
+    def run(table: pa.Table) -> pa.Table:
+        i, n, c, ids = (table.column(x).to_numpy() for x in ("i", "n", "c", "id"))
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, _CELLS).astype(np.int16)
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        left = np.arange(len(n)) if low == high else np.flatnonzero(i == low)
+        right = left if low == high else np.flatnonzero(i == high)
+        right = right[np.argsort(n[right], kind="stable")]
+        found: list[tuple[int, np.ndarray]] = []
+        for x in left.tolist():  # partners that are as large or larger, within reach
+            a, b = np.searchsorted(n[right], (-(-percent * n[x] // 100), 100 * n[x] // percent + 1))
+            some = right[a:b]
+            some = some[c[some] != c[x]]
+            if low == high:
+                some = some[ids[some] > ids[x]]
+            if len(some):
+                near = np.abs(counts[some] - counts[x]).sum(axis=1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (n[some] + n[x])
+                if near.any():
+                    found.append((x, some[near]))
+        x = np.repeat(np.array([f[0] for f in found], np.int64), [len(f[1]) for f in found])
+        y = np.concatenate([f[1] for f in found]) if found else x
+        swap = ids[x] > ids[y]
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        return pa.table({"a": ids[x], "b": ids[y], "na": n[x], "nb": n[y]})
+
+    return run
+
+
+def clustered(edges: DataFrame, block: int) -> DataFrame:
+    """(node, k, i, blocks): the clusters that edges (a, b) form are dealt by a hash, many to a group k; a cluster of more than
+    ``block`` nodes is a group of its own, in blocks i of about that many."""
+    clusters = components(edges)
+    members = clusters.groupBy("component").agg(F.count("*").alias("m"))
+    groups = max(1, clusters.count() // block)
+    large = members.where(F.col("m") > block).select("component", F.ceil(F.col("m") / block).alias("blocks"))
+    alone = F.col("blocks").isNull()
+    return checkpointed(clusters.join(large, "component", "left").select(
+        "node", F.when(alone, F.pmod(F.xxhash64("component"), F.lit(groups))).otherwise(-1 - F.pmod(F.xxhash64("component"), F.lit(1 << 60))).alias("k"),
+        F.when(alone, 0).otherwise(F.pmod(F.xxhash64("node"), F.col("blocks"))).cast("int").alias("i"),
+        F.coalesce("blocks", F.lit(1)).cast("int").alias("blocks")))
+
+
+def _blocks(pairs: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Where pairs and sets meet: (a, b, na, nb, k, i, j) and (id, k, i, j); every two blocks that hold a pair are a group."""
+    of = clustered(pairs.select("a", "b"), block).drop("blocks")
+    dealt = pairs.join(of.withColumnRenamed("node", "a"), "a").join(of.select(F.col("node").alias("b"), F.col("i").alias("j")), "b")
+    low, high = F.least("i", "j"), F.greatest("i", "j")
+    dealt = checkpointed(dealt.select("a", "b", "na", "nb", "k", low.alias("i"), high.alias("j")))
+    sides = dealt.select(F.explode(F.array("a", "b")).alias("id"), "k", "i", "j").distinct()
+    return dealt, sides
+
+
+def verified(pairs: DataFrame, docs: DataFrame, n: int, block: int = BLOCK // 2) -> DataFrame:
+    """(a, b, na, nb) with ``common``, the number of elements that both sets hold; ``pairs`` is computed already.
+
+    Sets travel once for every group of pairs they are in, not once a pair; a group holds the sets of two blocks.
+    """
+    dealt, sides = _blocks(pairs, block)
+    sides = checkpointed(sides)
+    wanted = sides.select(F.col("id").alias("wanted")).distinct()
+    few = sides.count() <= BROADCAST_IDS
     own = docs.join(F.broadcast(wanted) if few else wanted, F.col("id") == F.col("wanted"), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, "text"):
             blobs = []
             for s in sets(step.column("text"), n):
-                v = (s >> np.uint64(16)).astype(np.uint64)
+                v = s >> np.uint64(16)
                 blobs.append(v.astype(np.uint32).tobytes() + (v >> np.uint64(32)).astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_arrays([step.column("id"), pa.array(blobs, pa.binary())], names=["id", "s"])
 
     held = arrow_map(own.select("id", "text"), run, "id long, s binary")
+    placed = held.join(F.broadcast(sides) if few else sides, "id").select("k", "i", "j", "id", "s")
 
     def restore(blob: bytes) -> np.ndarray:
         k = len(blob) // 6
         return np.frombuffer(blob, np.uint32, k).astype(np.uint64) | np.frombuffer(blob, np.uint16, k, 4 * k).astype(np.uint64) << np.uint64(32)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            last, left, common = None, None, []
-            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("sa"), batch.column("sb")):
-                if a != last:
-                    last, left = a, restore(x.as_py())
-                common.append(len(np.intersect1d(left, restore(y.as_py()))))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(common, pa.int64())],
-                                             names=["a", "b", "na", "nb", "common"])
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        own: dict[int, list[bytes]] = {}  # rows that share an id: each of them
+        for k, s in zip(right.column("id").to_pylist(), right.column("s").to_pylist()):
+            if s not in own.setdefault(k, []):
+                own[k].append(s)
+        left = left.sort_by("a")
+        last, mine, common = None, [], []
+        for a, b in zip(left.column("a").to_pylist(), left.column("b").to_pylist()):
+            if a != last:
+                last, mine = a, [restore(x) for x in own[a]]
+            other = [restore(x) for x in own[b]]
+            common.append(max(len(np.intersect1d(x, y, assume_unique=True)) for x in mine for y in other))
+        return left.select(["a", "b", "na", "nb"]).append_column("common", pa.array(common, pa.int64()))
 
-    full = pairs.join(held.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b") \
-        .join(held.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-    found = arrow_map(full.select("a", "b", "na", "nb", "sa", "sb"), compare, "a long, b long, na long, nb long, common long")
-    # rows that share an id: the best of them
-    return found.groupBy("a", "b").agg(F.max_by(F.struct("na", "nb", "common"), "common").alias("m")).select("a", "b", "m.*")
+    keys = ("k", "i", "j")
+    return dealt.groupBy(*keys).cogroup(placed.groupBy(*keys)).applyInArrow(compare, "a long, b long, na long, nb long, common long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -298,19 +362,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = tested.where(linked).select("a", "b").unionByName(copies)
     whole = checkpointed(components(links))
 
-    # groups that still hold several components, their members with the distance to the hub they were tested against
+    # documents of groups that still hold several components, in blocks of clusters of such groups
     of = groups.join(whole, F.col("id") == F.col("node"), "left").select("g", "id", F.coalesce("component", "id").alias("c"))
-    mixed_groups = of.groupBy("g").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("g")
-    far = tested.select(F.col("b").alias("id"), F.col("a").alias("hub"), (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("d"))
-    left = of.join(mixed_groups, "g", "left_semi").join(far, "id", "left").join(reps.select("id", "n"), "id")
-    x, y = left, left.select("g", *[F.col(c).alias(f"{c}2") for c in ("id", "c", "hub", "d", "n")])
-    apart = F.coalesce((F.col("hub") == F.col("hub2")) & (F.abs(F.col("d") - F.col("d2")) > (100 - percent) / 100 + 1e-9), F.lit(False))
-    again = F.coalesce((F.col("hub") == F.col("id2")) | (F.col("hub2") == F.col("id")), F.lit(False))
-    pairs = x.join(y, "g").where((F.col("id") < F.col("id2")) & (F.col("c") != F.col("c2")) & ~apart & ~again
-                                 & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
-    pairs = pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-    more = checkpointed(possible(pairs, reps, percent))
-    if more.head(1):
+    open_groups = of.groupBy("g").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("id").alias("low")).where("c0 <> c1").select("g", "low")
+    stars = checkpointed(of.join(open_groups, "g").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct())
+    nodes = clustered(stars, BLOCK).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    nodes = nodes.select(F.col("node").alias("id"), "k", "i", F.least("i", "other").alias("low"), F.greatest("i", "other").alias("high"))
+    nodes = nodes.join(reps, "id").join(whole, F.col("id") == F.col("node"), "left") \
+        .select("k", "low", "high", "i", "id", "n", "counts", F.coalesce("component", "id").alias("c"))
+    pairs = nodes.groupBy("k", "low", "high").applyInArrow(apart(percent), "a long, b long, na long, nb long").distinct()
+    more = checkpointed(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+                        .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
+    if more.head(1):  # rows, if any, of the second round
         links = links.unionByName(verified(more, rows, n).where(linked).select("a", "b"))
         whole = components(links)
     return facts.join(whole, F.col("id") == F.col("node"), "left").select(
