@@ -43,8 +43,14 @@ from .words import SPACED, grams, mixed, words
 
 K2, N2 = 1, 2
 SUBSETS = tuple(combinations(range(N2), N2 - K2))
-#: Spare first-level partitions, as a share.
-SPARE = 0.3
+#: The least threshold for which sets fill enough parts.
+LEAST_PERCENT = 75
+
+
+def spare(percent: int) -> float:
+    """Spare first-level partitions, as a share: sets of lower thresholds leave more parts empty."""
+    return 0.2 if percent >= 80 else 0.5
+
 #: Signatures that a task packs at a time.
 PACKED = 1 << 21
 #: Ids that a broadcast may hold (16 bytes each); beyond it texts are shuffled to their ids.
@@ -101,7 +107,7 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
     out = []
     for band, k in bands(len(elements), percent):
         least = -(-(k + 1) // (K2 + 1))
-        n1 = least + max(1, int(np.ceil(least * SPARE)))
+        n1 = least + max(1, int(np.ceil(least * spare(percent))))
         parts = n1 * N2
         attempt = 0
         while True:
@@ -120,8 +126,8 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
                 some = full[:, chosen].any(axis=1)
                 value = mixed(sums[:, chosen]).sum(axis=1, dtype=np.uint64)
                 out.append(mixed(value + mixed(place + np.uint64(s) + salt))[some])
-            poor = ((~full).sum(axis=1) >= N2 - K2).sum()
-            if (K2 + 1) * (n1 - poor) > k:
+            # so many differences it takes to break every signature of the set that isn't empty
+            if np.minimum(full.sum(axis=1), K2 + 1).sum() > k:
                 break
             attempt += 1
     return np.concatenate(out) if out else elements[:0]
@@ -338,6 +344,8 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, block: int = BLOCK // 2)
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """``id_col``, n_shingles and component_id (the smallest id reachable by links) of every row."""
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"the threshold must be {LEAST_PERCENT} to 100 percent")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     named = rows.where(F.col("id").isNotNull())
