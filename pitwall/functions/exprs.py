@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 # ---- fixed values (DRS flap codes of the car telemetry feed) -------------------------
 # open flap: 10, 12, 14; flap "eligible" (half weight): 8; codes kept as clearly defined: 0, 1, 8, 10, 12, 14
@@ -100,6 +101,13 @@ def exact_corr(a, b) -> Column:
     return F.try_divide(cov, F.sqrt(vx * vy))
 
 
+def corr_of(df, a, b, *integral) -> Column:
+    """``exact_corr`` if the columns ``integral`` of ``df`` (``a`` and ``b`` by default) hold whole numbers by type, else ``safe_corr``."""
+    whole = all(isinstance(df.schema[c].dataType, IntegralType)
+                or isinstance(df.schema[c].dataType, DecimalType) and df.schema[c].dataType.scale == 0 for c in integral or (a, b))
+    return (exact_corr if whole else safe_corr)(a, b)
+
+
 def arg_max(value, payload) -> Column:
     """payload at the largest non-null value; ties -> larger payload."""
     v = _c(value)

@@ -89,19 +89,46 @@ def containment_join(left: DataFrame, right: DataFrame, keys, x: str, lo: str, h
                      right_cols: dict | None = None, bucket_width: int = 32, how: str = "left") -> DataFrame:
     """Left rows joined to right ranges of the same keys with lo <= x <= hi, inclusive.
 
-    ``x`` is bucketed by ``bucket_width``; a range is copied to each bucket it
-    covers (length / width + 1 copies), so a pair meets in exactly one bucket.
+    A range belongs to one level: the blocks of ``bucket_width * 2**level`` of
+    which it covers at most two. Each level in use (at most one per doubling of
+    the longest range; one for ranges of about a bucket) is an equi-join on keys
+    and block, so a range is copied twice at most, however long it is. With
+    several levels, left rows without a match come from anti-joins.
     """
     right_cols = dict(right_cols or {})
-    l = left.withColumn("_lb", F.floor(F.col(x) / bucket_width))
-    r = _right_side(right, keys, right_cols, {"_lo": F.col(lo), "_hi": F.col(hi)})
-    span = F.when(F.col("_lo") <= F.col("_hi"),
-                  F.sequence(F.floor(F.col("_lo") / bucket_width), F.floor(F.col("_hi") / bucket_width)))
-    r = r.withColumn("_rb", F.explode(span))
-    cond = (_key_match(l, r, keys) & (l["_lb"] == r["_rb"])
-            & (l[x] >= r["_lo"]) & (l[x] <= r["_hi"]))
-    out = l.join(r, cond, how)
-    return out.drop("_lb", "_rb", "_lo", "_hi", *[f"_r_{k}" for k in keys])
+    r = _right_side(right, keys, right_cols, {"_lo": F.col(lo), "_hi": F.col(hi)}).where(F.col("_lo") <= F.col("_hi"))
+    span = (F.col("_hi") - F.col("_lo") + 1).cast("double") / float(bucket_width)
+    r = r.withColumn("_lv", F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(span, F.lit(1.0))))).cast("int"))
+    levels = sorted(row[0] for row in r.select("_lv").distinct().collect()) or [0]
+    helpers = ["_lb", "_rb", "_lo", "_hi", "_lv", *[f"_r_{k}" for k in keys]]
+
+    def at(level: int):
+        width = float(bucket_width) * 2.0 ** level
+        lf = left.withColumn("_lb", F.floor(F.col(x) / width))
+        rf = r.filter(F.col("_lv") == level)
+        rf = rf.withColumn("_rb", F.explode(F.array_distinct(F.array(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width)))))
+        return lf, rf, _key_match(lf, rf, keys) & (lf["_lb"] == rf["_rb"]) & (lf[x] >= rf["_lo"]) & (lf[x] <= rf["_hi"])
+
+    if len(levels) == 1:
+        lf, rf, cond = at(levels[0])
+        return lf.join(rf, cond, how).drop(*helpers)
+    if how not in ("left", "inner"):
+        raise ValueError("containment_join over several levels supports how='left' or 'inner'")
+    matched = None
+    for level in levels:
+        lf, rf, cond = at(level)
+        part = lf.join(rf, cond, "inner").drop(*helpers)
+        matched = part if matched is None else matched.unionByName(part)
+    if how == "inner":
+        return matched
+    alone = left
+    for level in levels:
+        left = alone
+        lf, rf, cond = at(level)
+        alone = lf.join(rf, cond, "left_anti").drop("_lb")
+    for src, dst in right_cols.items():
+        alone = alone.withColumn(dst, F.lit(None).cast(right.schema[src].dataType))
+    return matched.unionByName(alone)
 
 
 def nearest_join(left: DataFrame, right: DataFrame, keys, left_ts: str = "date", right_ts: str = "date",
@@ -118,6 +145,11 @@ def nearest_join(left: DataFrame, right: DataFrame, keys, left_ts: str = "date",
     """
     right_cols = dict(right_cols or {})
     payload = [F.col(right_ts).alias("_rts"), *[F.col(s).alias(d) for s, d in right_cols.items()]]
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    # a null key equals no other: those rows stay without a sample
+    strangers, left, right = left.filter(~known), left.filter(known), right.filter(known)
     samples = (right.select(*keys, epoch_seconds(right_ts).alias("_s"), F.struct(*payload).alias("_p"))
                .groupBy(*keys, "_s").agg(F.min("_p").alias("_p")))
     lcols = left.columns
@@ -139,4 +171,6 @@ def nearest_join(left: DataFrame, right: DataFrame, keys, left_ts: str = "date",
     sel += [F.col("_best")["p"][d].alias(d) for d in right_cols.values()]
     if delta_col:
         sel.append(F.abs(F.col("_s") - F.col("_best")["s"]).alias(delta_col))
-    return out.select(*sel)
+    out = out.select(*sel)
+    return out.unionByName(strangers.select(*lcols, *[F.lit(None).cast(out.schema[c].dataType).alias(c)
+                                                      for c in out.columns[len(lcols):]]))

@@ -10,24 +10,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from pitwall.session import BROADCAST_ROWS, conf_int
 
 # Session keys of one scope are resolved to a literal list (for Parquet filter
 # pushdown and partition pruning) only up to this many keys.
 MAX_SCOPE_KEYS = 10_000
+# A broadcast side's rows times its estimated row width.
+BROADCAST_BYTES = 256 << 20
+
+
+def row_width(df: DataFrame) -> int:
+    """Upper estimate of a row's bytes: 16 for each fixed-size column, 256 for any other."""
+    fixed = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
+    return 16 + sum(16 if isinstance(f.dataType, fixed) else 256 for f in df.schema.fields)
 
 
 def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+    """``broadcast(df)`` if it has at most ``max_rows`` rows and ``BROADCAST_BYTES`` (rows by width), else ``df`` unchanged.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early).
+    The check reads at most one row more than the bound (``limit`` stops the scan early). The count is kept with
+    the bound it was taken under, and only reused where that bound does not cut it short.
     """
     bound = max_rows if max_rows is not None else conf_int(df.sparkSession, BROADCAST_ROWS)
-    checked = getattr(df, "_pitwall_rows", None)           # one count per DataFrame object
-    n = checked if checked is not None else df.limit(bound + 1).count()
-    df._pitwall_rows = n
-    return F.broadcast(df) if n <= bound else df
+    bound = min(bound, BROADCAST_BYTES // row_width(df))
+    kept = getattr(df, "_pitwall_rows", None)              # (bound, count) of this DataFrame object
+    if kept is None or (kept[1] > kept[0] and kept[0] < bound):
+        kept = df._pitwall_rows = (bound, df.limit(bound + 1).count())
+    return F.broadcast(df) if kept[1] <= bound else df
 
 
 def race_sessions(sessions: DataFrame, meeting_key: int, session_name: str = "Race") -> DataFrame:

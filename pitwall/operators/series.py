@@ -37,12 +37,15 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DoubleType, FloatType, NumericType, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
 
 from pitwall.session import BROADCAST_ROWS, CHUNK_ROWS, HOT_KEY_ROWS, ORDINAL, RANGE_ROWS, conf_int, ensure_checkpoint_dir
 
 _AGG = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
+_LAST = (1 << 63) - 1   # sub-bucket of NaN, which sorts last
+# names of the split route's own columns
+RESERVED = {"_rn", "_ck", "_cc", "_sb", "_off", "_t", "_t0", "_w", "_mid", "_m0", "_pid"}
 _UNB_P, _UNB_F = Window.unboundedPreceding, Window.unboundedFollowing
 
 
@@ -84,7 +87,11 @@ def whole(fn: str, col) -> Spec:
 
 
 def running(fn: str, col) -> Spec:
-    """fn over rows (unbounded preceding, current]."""
+    """fn over rows (unbounded preceding, current].
+
+    On the split route a sum is the chunk's own sum plus that of the chunks before it: sums of doubles may differ
+    from the window route's in rounding (sum decimals where equality is wanted); all else is equal on every route.
+    """
     if fn not in ("sum", "count", "min", "max"):
         raise ValueError(f"running {fn} is not supported")
     return Spec("running", fn, col)
@@ -144,6 +151,9 @@ class Series:
         """Add one column per spec. A spec whose column names another spec of the
         same call (a window over a window, W15) runs in a later stage; on the split
         route all stages share one distributed ordinal."""
+        taken = RESERVED & set(df.columns)
+        if taken:
+            raise ValueError(f"the series operators use these column names themselves: {sorted(taken)}")
         s = self.checked(df)
         stages = _stages(specs)
         if s.strategy == "window":
@@ -209,9 +219,9 @@ def _isolated(df: DataFrame, s: "Series", stages: list) -> DataFrame:
 def resolve(df: DataFrame, *series: "Series") -> list:
     """Resolve several series against one (cheap, ancestor) DataFrame in a single job.
 
-    Group sizes only shrink through later filters and de-duplicated dimension
-    joins, so profiling the scoped fact before enrichment bounds every later
-    group. All key sets are counted together with ``groupingSets``.
+    The series must run on this frame or on one whose groups only shrink from
+    it (later filters, joins with de-duplicated dimensions); after a join that
+    multiplies rows, leave the series unresolved: it profiles its own frame. All key sets are counted together with ``groupingSets``.
     """
     if any(s.hot_key_rows for s in series):
         return [s.checked(df) for s in series]
@@ -260,6 +270,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _reversed(order) -> list:
+    """The opposite of ascending order with nulls first; entries are names or unsorted columns."""
+    return [_col(c).desc_nulls_last() for c in order]
+
+
 # ----------------------------------------------------------------------------- window
 
 
@@ -293,7 +308,8 @@ def _window_path(df: DataFrame, s: Series, specs: dict) -> DataFrame:
         elif sp.kind == "fill_fwd":
             e = F.last(c, ignorenulls=True).over(ordered.rowsBetween(_UNB_P, 0))
         elif sp.kind == "fill_bwd":
-            e = F.first(c, ignorenulls=True).over(ordered.rowsBetween(0, _UNB_F))
+            # the running frame of the reversed order: a frame to unboundedFollowing is recomputed for every row
+            e = F.last(c, ignorenulls=True).over(part.orderBy(*_reversed(s.order)).rowsBetween(_UNB_P, 0))
         elif sp.kind == "row_number":
             e = F.row_number().over(ordered)
         else:
@@ -353,13 +369,19 @@ def _time_ordinal(df: DataFrame, keys, order, name: str, prof: Profile, chunk: i
     else:
         return None
     keys = list(keys)
+    # infinities and NaN have sub-buckets of their own, in the order in which Spark sorts them
+    special = F.lit(None).cast("bigint")
+    if isinstance(dt, (FloatType, DoubleType)):
+        special = (F.when(F.isnan(t), F.lit(_LAST)).when(t == float("inf"), F.lit(_LAST - 1))
+                   .when(t == float("-inf"), F.lit(-1)).cast("bigint"))
+        t = F.when(special.isNull(), t)
     tdf = df.withColumn("_t", t)
     stats = tdf.groupBy(*keys).agg(F.min("_t").alias("_t0"), F.max("_t").alias("_t1"), F.count(F.lit(1)).alias("_kn"))
     width = F.greatest(F.lit(1.0), F.ceil((F.col("_t1") - F.col("_t0") + 1) * float(chunk) / F.col("_kn")).cast("double"))
     stats = stats.select(*keys, "_t0", width.alias("_w"))
     sub = _join_back(tdf, stats, keys, prof.groups)
-    sub = sub.withColumn("_sb", F.coalesce(F.floor((F.col("_t") - F.col("_t0")) / F.col("_w")),
-                                           F.lit(-1).cast("bigint"))).drop("_t", "_t0", "_w")
+    sub = sub.withColumn("_sb", F.coalesce(special, F.floor((F.col("_t") - F.col("_t0")) / F.col("_w")),
+                                           F.lit(-2).cast("bigint"))).drop("_t", "_t0", "_w")
     counts = sub.groupBy(*keys, "_sb").agg(F.count(F.lit(1)).alias("_nb"))
     biggest = counts.agg(F.max("_nb")).first()[0] or 0
     if biggest > 4 * chunk and not strict:
@@ -459,7 +481,8 @@ def _split_path(df: DataFrame, s: Series, specs: dict, keep_rn: bool = False) ->
             cols[name] = F.last(F.when(home, c), ignorenulls=True).over(w.rowsBetween(_UNB_P, 0))
             carries[name] = sp
         elif sp.kind == "fill_bwd":
-            cols[name] = F.first(F.when(home, c), ignorenulls=True).over(w.rowsBetween(0, _UNB_F))
+            back = Window.partitionBy(*keys, "_cc").orderBy(F.col("_rn").desc())
+            cols[name] = F.last(F.when(home, c), ignorenulls=True).over(back.rowsBetween(_UNB_P, 0))
             carries[name] = sp
         elif sp.kind in ("first", "last", "whole"):
             wholes[name] = sp
@@ -480,7 +503,7 @@ def _split_path(df: DataFrame, s: Series, specs: dict, keep_rn: bool = False) ->
                 tot[name] = F.min_by(c, F.when(c.isNotNull(), F.col("_rn")))
         chunks = base.groupBy(*keys, "_ck").agg(*[e.alias(f"_t_{n}") for n, e in tot.items()])
         prev = Window.partitionBy(*keys).orderBy("_ck").rowsBetween(_UNB_P, -1)
-        nxt = Window.partitionBy(*keys).orderBy("_ck").rowsBetween(1, _UNB_F)
+        nxt = Window.partitionBy(*keys).orderBy(F.col("_ck").desc()).rowsBetween(_UNB_P, -1)
         carry_cols = []
         for name, sp in carries.items():
             t = F.col(f"_t_{name}")
@@ -490,7 +513,7 @@ def _split_path(df: DataFrame, s: Series, specs: dict, keep_rn: bool = False) ->
             elif sp.kind == "fill_fwd":
                 e = F.last(t, ignorenulls=True).over(prev)
             else:
-                e = F.first(t, ignorenulls=True).over(nxt)
+                e = F.last(t, ignorenulls=True).over(nxt)
             carry_cols.append(e.alias(f"_c_{name}"))
         chunks = chunks.select(*keys, "_ck", *carry_cols)
         out = _join_back(out, chunks, [*keys, "_ck"], n_chunks)

@@ -8,21 +8,20 @@ teams and drivers of a given race are arguments, not literals.
 Common prologue: the session dimension is filtered to one meeting and session
 name, its keys are resolved once (and pushed into the fact scans), and driver
 attributes come from a session-scoped, de-duplicated dimension (hazards H2/H6:
-``driver_scope="all"`` reproduces the unscoped, non-deduplicated join).
+``driver_scope="raw"`` reproduces the unscoped join with its repeated drivers, ``"all"``
+(sector loss) the unscoped one with one row per driver).
 Every ordered series is keyed by (driver, session) (hazard H12) and ordered by
 time plus tie-breaks (H5, H7), so results are deterministic.
 """
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pitwall.functions.exprs import (
-    DRS_VALID, arg_max, arg_min, bin_floor, drs_open, drs_weight, exact_corr, guarded_pct, half_up, null_as,
+    DRS_VALID, arg_max, arg_min, bin_floor, drs_open, drs_weight, corr_of, guarded_pct, half_up, null_as,
     step_change,
 )
 from pitwall.operators.aggs import avg_if, count_if, dedupe_ordered, negative_sum, positive_sum
@@ -69,6 +68,12 @@ class Scope:
         return df.withColumn("meeting_key", F.lit(self.meeting_key))
 
 
+def _scope(driver_scope: str, *known: str) -> str:
+    if driver_scope not in known:
+        raise ValueError(f"driver_scope must be one of {known}, not {driver_scope!r}")
+    return driver_scope
+
+
 def _sorted(df: DataFrame, sort: bool, *cols) -> DataFrame:
     return df.orderBy(*cols) if sort else df
 
@@ -82,11 +87,12 @@ def lap_time(t: dict, meeting_key: int = 1268, team: str = "Ferrari", preceding:
     average delta to the field's average of the same lap, and the last value of
     a trailing ``preceding+1``-lap rolling average."""
     sc = Scope(t, meeting_key)
-    dim = sc.drivers("session" if driver_scope == "session" else "raw")
+    dim = sc.drivers(_scope(driver_scope, "session", "raw"))
     fact = sc.fact("laps").filter(F.col("lap_duration").isNotNull())
-    peer, drv = resolve(fact, Series(("session_key", "lap_number"), (), strategy=strategy),
-                        Series(DRIVER_SESSION, ("lap_number",), strategy=strategy))
     laps = with_driver(fact, dim)
+    # the raw dimension multiplies rows, so there the joined frame is profiled
+    peer, drv = resolve(fact if driver_scope == "session" else laps, Series(("session_key", "lap_number"), (), strategy=strategy),
+                        Series(DRIVER_SESSION, ("lap_number",), strategy=strategy))
     df = peer.apply(laps, session_avg_lap_time=whole("avg", "lap_duration"))
     df = df.withColumn("delta_to_session", F.col("lap_duration") - F.col("session_avg_lap_time"))
     df = drv.apply(df, driver_rolling_avg=rolling("avg", "lap_duration", preceding),
@@ -110,7 +116,7 @@ def max_speed(t: dict, meeting_key: int = 1269, teams=("Ferrari", "Red Bull Raci
               driver_scope: str = "session", sort: bool = True) -> DataFrame:
     """Speed trap and sector 3 per driver, with the laps of the best values."""
     sc = Scope(t, meeting_key)
-    dim = sc.drivers("session" if driver_scope == "session" else "raw")
+    dim = sc.drivers(_scope(driver_scope, "session", "raw"))
     laps = with_driver(sc.fact("laps"), dim).filter(F.col("team_name").isin(*teams))
     out = laps.groupBy("driver_number", "full_name", "team_name").agg(
         F.max("st_speed").alias("best_speed_trap"),
@@ -165,8 +171,8 @@ def rpm_zones(t: dict, meeting_key: int = 1266, team: str = "Ferrari", half_widt
     second, binned by x, smoothed over +-``half_width`` samples."""
     sc = Scope(t, meeting_key)
     fact = sc.fact("car_data")
-    (series,) = resolve(fact, Series(DRIVER_SESSION, ("date", "x", "y", "rpm", "speed", "throttle", "drs"),
-                                     strategy=strategy))
+    # after an n:m join: the series profiles the joined frame itself
+    series = Series(DRIVER_SESSION, ("date", "x", "y", "rpm", "speed", "throttle", "drs"), strategy=strategy)
     car = with_driver(fact, sc.drivers("session")).filter(F.col("team_name") == team)
     loc = sc.fact("location")
     j = join_on_time_bucket(car, loc, ["session_key", "driver_number"], right_cols={"x": "x", "y": "y"},
@@ -177,7 +183,7 @@ def rpm_zones(t: dict, meeting_key: int = 1266, team: str = "Ferrari", half_widt
         smoothed_rpm=rolling("avg", "rpm", half_width, half_width))
     zones = j.groupBy("driver_number", "full_name", "x_bin").agg(
         F.avg("smoothed_speed").alias("avg_speed"), F.avg("smoothed_rpm").alias("avg_rpm"),
-        exact_corr("rpm", "speed").alias("rpm_speed_corr"), F.avg("throttle").alias("avg_throttle"))
+        corr_of(j, "rpm", "speed").alias("rpm_speed_corr"), F.avg("throttle").alias("avg_throttle"))
     # dense_rank runs on the aggregated zones: one row per (driver, bin), at most
     # track length / bin width rows per driver, so a plain window is bounded.
     zones = zones.withColumn("zone_index", F.dense_rank().over(Window.partitionBy("driver_number").orderBy("x_bin")))
@@ -202,6 +208,8 @@ def drs_overtakes(t: dict, meeting_key: int = 1266, teams=("Ferrari", "Red Bull
                                           "full_name": "overtaking_name", "team_name": "overtaking_team"})
     ov = (with_driver(sc.fact("overtakes"), dim, on="overtaking_driver_number")
           .filter(F.col("overtaking_team").isin(*teams)))
+    # overtakes of one driver at one instant are one row
+    ov = ov.select("overtaking_driver_number", "session_key", "date", "overtaking_name", "overtaking_team").distinct()
     car = sc.fact("car_data").select(F.col("driver_number").alias("overtaking_driver_number"), "session_key",
                                      "date", "drs", "speed")
     flag = F.when(drs_open("drs"), 1).otherwise(0)
@@ -306,7 +314,7 @@ def sector_loss(t: dict, meeting_key: int = 1265, team: str = "Ferrari", precedi
                 driver_scope: str = "session", strategy: str = "auto", sort: bool = True) -> DataFrame:
     """Per lap: trailing average of each sector against the driver's best sector."""
     sc = Scope(t, meeting_key)
-    dim = sc.drivers("session" if driver_scope == "session" else "all")
+    dim = sc.drivers(_scope(driver_scope, "session", "all"))
     fact = sc.fact("laps")
     (series,) = resolve(fact, Series(DRIVER_SESSION, ("lap_number",), strategy=strategy))
     laps = with_driver(fact, dim).filter(F.col("team_name") == team)
@@ -342,7 +350,7 @@ def drs_correlation(t: dict, meeting_key: int = 1265, team: str = "Ferrari", hal
         car, speed_moving_avg=rolling("avg", "speed", half_width, half_width))
     on = F.col("drs_on")
     out = car.groupBy("driver_number", "full_name").agg(
-        exact_corr(F.col("drs_on") * 2, "speed").alias("drs_speed_correlation"),   # 2*drs_on is 0/1/2
+        corr_of(car, F.col("drs_on") * 2, "speed", "speed").alias("drs_speed_correlation"),   # 2*drs_on is 0/1/2
         F.avg("speed").alias("avg_speed"), F.avg("speed_moving_avg").alias("avg_speed_moving"),
         count_if(on > 0).alias("drs_activations"),
         avg_if(on > 0, F.col("speed")).alias("avg_speed_when_drs_on"),
@@ -371,8 +379,7 @@ def stint_length(t: dict, meeting_key: int = 1269, team: str = "Ferrari", bucket
     dim = sc.drivers("meeting")
     stints = with_driver(sc.fact("stints"), dim).filter(F.col("team_name") == team)
     fact = sc.fact("laps").filter(F.col("lap_duration").isNotNull())
-    (stint,) = resolve(fact, Series(("driver_number", "session_key"), ("lap_number",), strategy=strategy))
-    stint = replace(stint, keys=("driver_number", "session_key", "stint_number"))
+    stint = Series(("driver_number", "session_key", "stint_number"), ("lap_number",), strategy=strategy)
     laps = with_driver(fact, dim).filter(F.col("team_name") == team)
     j = containment_join(laps, stints, DRIVER_SESSION, "lap_number", "lap_start", "lap_end",
                          right_cols={"stint_number": "stint_number", "compound": "compound"},

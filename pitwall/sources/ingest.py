@@ -42,22 +42,44 @@ def drop_if_present(df: DataFrame, cols) -> DataFrame:
     return df.drop(*present) if present else df
 
 
+WHOLE = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
+
+
+def typed(c: str, kind: str):
+    """``c`` as ``kind``, NULL where it has no such form; whole numbers may be written with a fraction of zeros ("310.0")."""
+    plain = F.col(c).try_cast(kind)
+    if kind not in WHOLE:
+        return plain
+    number = F.col(c).try_cast("decimal(38,10)")
+    return F.coalesce(plain, F.when(number == F.floor(number), F.floor(number).try_cast(kind)))
+
+
 def apply_types(df: DataFrame, types: dict, marked=()) -> DataFrame:
-    """Cast declared columns with ``try_cast``: an unparsable value is NULL, not a job failure.
+    """Cast declared columns: an unparsable value is NULL, not a job failure.
 
     For a ``marked`` column the unparsable non-empty text is kept in ``<column>_marker``.
     """
-    cols = [(F.col(c).try_cast(types[c]) if c in types else F.col(c)).alias(c) for c in df.columns]
+    cols = [(typed(c, types[c]) if c in types else F.col(c)).alias(c) for c in df.columns]
     for c in marked:
         if c in df.columns:
             raw = F.trim(F.col(c))
-            cols.append(F.when((raw != "") & F.col(c).try_cast(types.get(c, "double")).isNull(), raw)
-                        .alias(f"{c}_marker"))
+            cols.append(F.when((raw != "") & typed(c, types.get(c, "double")).isNull(), raw).alias(f"{c}_marker"))
     return df.select(*cols)
 
 
+def losses(df: DataFrame, types: dict) -> DataFrame:
+    """The ingest report: per declared column, how many non-empty texts have no form of its type (one partial aggregate)."""
+    own = [c for c in df.columns if c in types]
+    if not own:
+        return df.sparkSession.createDataFrame([], "column string, lost long")
+    counts = df.agg(*[F.count(F.when((F.trim(F.col(c)) != "") & typed(c, types[c]).isNull(), 1)).alias(c) for c in own])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("lost")) for c in own])).alias("r")).select("r.*")
+
+
 def write_parquet(df: DataFrame, path: str, partition_by=None) -> None:
     """Replace the table at ``path`` (S4); optionally partitioned (e.g. by session_key for pruning)."""
+    if partition_by:  # one writer per table partition, or several for a large one, instead of a file from every task
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -7,6 +7,7 @@ partitions when the table was written partitioned by ``session_key``).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from pitwall.sources.catalog import SHORT
@@ -25,7 +26,17 @@ class Lake:
         return f"{self.root}/{SHORT.get(name, name)}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The batch table and, where files were ingested as a stream, the rows of those."""
+        parts = []
+        for path in (self.path(name), self.path(name).removesuffix(".parquet") + ".stream.parquet"):
+            try:
+                parts.append(self.spark.read.parquet(path))
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        if not parts:
+            raise FileNotFoundError(self.path(name))
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
 
     def tables(self) -> "LakeTables":
         return LakeTables(self)

@@ -63,10 +63,52 @@ def test_stream_ingest_is_incremental(spark, tmp_dir):
     stream_ingest(spark, raw, cur, "position_race_only_2025", cols, checkpoint=ck)
     _write(f"{raw}/position_race_only_2025_b.csv", "session_key,driver_number,date,position\n1,16,2025-01-01T00:00:05Z,3\n")
     stream_ingest(spark, raw, cur, "position_race_only_2025", cols, checkpoint=ck)
-    got = spark.read.parquet(f"{cur}/position_race_only_2025.parquet")
+    got = spark.read.parquet(f"{cur}/position_race_only_2025.stream.parquet")
     assert sorted(r.position for r in got.collect()) == [3, 5]
 
 
+def test_stream_goes_on_in_a_new_application(spark, tmp_dir, monkeypatch):
+    """The default checkpoint follows spark.checkpoint.dir itself, whatever folder the application's context has."""
+    from pitwall.streaming import landing
+    from pitwall.streaming.landing import stream_ingest
+    monkeypatch.setattr(landing, "configured", lambda spark: os.path.join(tmp_dir, "shared"))
+    raw, cur = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "transformed", "f1_2025")
+    os.makedirs(raw)
+    cols = ["session_key", "driver_number", "date", "position"]
+    head = "session_key,driver_number,date,position\n"
+    _write(f"{raw}/position_race_only_2025_a.csv", head + "1,16,2025-01-01T00:00:00Z,5\n")
+    stream_ingest(spark, raw, cur, "position_race_only_2025", cols)
+    _write(f"{raw}/position_race_only_2025_b.csv", head + "1,16,2025-01-01T00:00:05Z,3\n")
+    stream_ingest(spark.newSession(), raw, cur, "position_race_only_2025", cols)
+    assert sorted(r.position for r in Lake(spark, tmp_dir).table("position").collect()) == [3, 5]
+    # a batch table beside it keeps its rows
+    batch = os.path.join(tmp_dir, "batch")
+    os.makedirs(batch)
+    _write(f"{batch}/position_race_only_2025.csv", head + "2,16,2025-01-01T00:00:00Z,9\n2,16,2025-01-01T00:00:01Z,8\n")
+    ingest(spark, batch, cur, stems=("position_race_only_2025",))
+    assert sorted(r.position for r in Lake(spark, tmp_dir).table("position").collect()) == [3, 5, 8, 9]
+
+
+def test_stream_refuses_another_column_order(spark, tmp_dir):
+    from pyspark.errors import StreamingQueryException
+
+    from pitwall.streaming.landing import stream_ingest
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    _write(f"{raw}/position_race_only_2025_a.csv", "driver_number,session_key,date,position\n16,1,2025-01-01T00:00:00Z,5\n")
+    with pytest.raises(StreamingQueryException):
+        stream_ingest(spark, raw, os.path.join(tmp_dir, "cur"), "position_race_only_2025",
+                      ["session_key", "driver_number", "date", "position"], checkpoint=os.path.join(tmp_dir, "ck"))
+
+
+def test_whole_numbers_written_with_a_fraction(spark):
+    from pitwall.sources.ingest import apply_types, losses
+    df = spark.createDataFrame([("310.0", "1"), ("310", "x"), ("310.5", ""), (None, None), (" 7 ", "2.50")], "n string, d string")
+    types = {"n": "int", "d": "double"}
+    assert [tuple(r) for r in apply_types(df, types).collect()] == [(310, 1.0), (310, None), (None, None), (None, None), (7, 2.5)]
+    assert {r.column: r.lost for r in losses(df, types).collect()} == {"n": 1, "d": 1}
+
+
 def test_partitioned_telemetry_prunes_by_session(spark, tmp_dir):
     raw, cur = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "transformed", "f1_2025")
     os.makedirs(raw)

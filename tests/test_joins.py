@@ -97,3 +97,29 @@ def test_nearest_equals_pairwise_rank(spark):
     w = Window.partitionBy("d", "date").orderBy("dist", "cd", "v")
     exp = pairs.withColumn("rn", F.row_number().over(w)).filter("rn = 1").select("d", "date", "v")
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_nearest_join_null_keys_take_nothing(spark):
+    left = spark.createDataFrame([(None, 5, "a"), (1, 5, "b")], "k int, t int, tag string").selectExpr("k", "timestamp_seconds(t) AS date", "tag")
+    right = spark.createDataFrame([(None, 5, 111), (1, 6, 222)], "k int, t int, v int").selectExpr("k", "timestamp_seconds(t) AS date", "v")
+    got = {r.tag: r.v for r in nearest_join(left, right, ("k",), right_cols={"v": "v"}).collect()}
+    assert got == {"a": None, "b": 222}
+
+
+def test_nearest_join_of_a_large_key_is_linear(spark):
+    """One key of 100,000 + 100,000 rows on both routes; a frame to the end of the key would take hours."""
+    left = spark.range(100_000).selectExpr("1 AS k", "timestamp_seconds(id * 7) AS date", "id")
+    right = spark.range(100_000).selectExpr("1 AS k", "timestamp_seconds(id * 7 + 3) AS date", "id AS v")
+    for strategy in ("window", "split:20000"):
+        r = nearest_join(left, right, ("k",), right_cols={"v": "v"}, strategy=strategy).selectExpr("sum(abs(v - id)) AS off", "count(*) AS n").first()
+        assert (r.off, r.n) == (0, 100_000)
+
+
+def test_containment_join_of_open_ranges(spark):
+    left = spark.range(200).selectExpr("int(id % 2) AS k", "id AS x")
+    right = spark.createDataFrame([(0, 0, 2_000_000_000, "open"), (0, 10, 11, "short"), (0, 30, 150, "long"), (1, 90, 80, "none")],
+                                  "k int, lo long, hi long, name string")
+    got = sorted(containment_join(left, right, ("k",), "x", "lo", "hi", right_cols={"name": "name"}).collect(), key=str)
+    want = left.join(right.withColumnRenamed("k", "k2"), (left.k == F.col("k2")) & (left.x >= F.col("lo")) & (left.x <= F.col("hi")), "left") \
+        .select("k", "x", "name").collect()
+    assert got == sorted(want, key=str)

@@ -11,6 +11,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from pitwall.plans import catalog
 
 SF = os.environ.get("PITWALL_ORACLE_SF", "/root/testdata/sf0.001")
 DEFAULT = ["project_filter", "left_join_renamed", "proximity_join", "containment_join", "nearest_join_split",
@@ -18,7 +19,7 @@ DEFAULT = ["project_filter", "left_join_renamed", "proximity_join", "containment
            "full_frame_split", "lag_lead", "ordinal_zone", "nested_window_split", "lap_time", "max_speed", "pit_intervals", "rpm_zones",
            "drs_overtakes_window", "gap_summary", "overtake_totals", "position_change", "sector_loss",
            "drs_correlation", "stint_length_split"]
-NAMES = sorted(E.oracle_sql()) if os.environ.get("PITWALL_ORACLE_ALL") else DEFAULT
+NAMES = sorted(catalog.ORACLE) if os.environ.get("PITWALL_ORACLE_ALL") else DEFAULT
 
 
 @pytest.fixture(scope="module")
@@ -40,8 +41,8 @@ def _rows(pdf):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF).toPandas()
-    exp = con.execute(E.oracle_sql()[name]).df()
+    got = catalog.QUERIES[name](spark, SF).toPandas()
+    exp = con.execute(catalog.ORACLE[name]).df()
     gc, gr = _rows(got)
     ec, er = _rows(exp)
     assert gc == ec
@@ -57,4 +58,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())

@@ -1,7 +1,7 @@
 """Plan shape: what the engine promises about physical plans."""
 import pytest
 
-import __spark_entry__ as E
+from pitwall.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython")
@@ -11,16 +11,16 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_pairing_joins_or_python(spark, name):
-    plan = _plan(E.queries()[name](spark, SF))
+    plan = _plan(catalog.QUERIES[name](spark, SF))
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op}"
 
 
 @pytest.mark.parametrize("name", ["lap_time", "max_speed", "sector_loss", "stint_length"])
 def test_scope_reaches_the_scan(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = catalog.QUERIES[name](spark, SF)
     text = df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "EqualTo(session_key,0)" in text or "In(session_key" in text
@@ -31,10 +31,16 @@ def test_scope_reaches_the_scan(spark, name):
 
 def test_field_average_is_not_a_shuffle_of_laps(spark):
     # few (session, lap) groups: partial aggregate + broadcast, one exchange of the laps for the driver windows
-    from pitwall.plans import catalog
     plan = _plan(catalog.QUERIES["peer_delta"](spark, SF))
     assert "BroadcastHashJoin" in plan and "Window" not in plan
 
 
 def test_no_estimate_based_broadcast(spark):
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+
+
+def test_no_frame_from_the_row_to_the_end(spark):
+    # such a frame is recomputed for every row; backward fills use the reversed order instead
+    for name in ("nearest_join", "nearest_join_split", "drs_overtakes", "drs_overtakes_split"):
+        plan = _plan(catalog.QUERIES[name](spark, SF))
+        assert "currentrow$(), unboundedfollowing" not in plan and "specifiedwindowframe(RowFrame, 1, unboundedfollowing" not in plan

@@ -143,3 +143,28 @@ def test_split_spreads_a_key_with_a_third_of_the_rows(spark):
     assert len(parts) > 1 and max(r["count"] for r in parts) < 1000
     ref = Series(("k",), ("t",), strategy="window").apply(df, r=rolling("avg", "v", 5, 5))
     assert out.exceptAll(ref.select(out.columns)).count() == 0
+
+
+def test_special_order_values_on_every_route(spark):
+    """NaN, infinities and nulls in the ordering column: the ordinal of the plain window on all routes."""
+    import random
+
+    from pitwall.session import ORDINAL
+    rng = random.Random(4)
+    rows = [(k % 2, rng.choice([float("nan"), float("inf"), float("-inf"), None, rng.random() * 100, rng.random() * 100, rng.random() * 100]), k)
+            for k in range(300)]
+    df = spark.createDataFrame(rows, "k int, o double, id int")
+    want = None
+    try:
+        for strategy, route in (("window", "auto"), ("split:16", "auto"), ("split:16", "time"), ("split:16", "range")):
+            spark.conf.set(ORDINAL, route)
+            got = {r.id: r.n for r in Series(("k",), ("o", "id"), strategy=strategy).apply(df, n=row_number()).collect()}
+            want = want or got
+            assert got == want, (strategy, route)
+    finally:
+        spark.conf.unset(ORDINAL)
+
+
+def test_reserved_column_names_are_refused(spark):
+    with pytest.raises(ValueError):
+        Series(("k",), ("o",), strategy="window").apply(spark.createDataFrame([(1, 1, 1)], "k int, o int, _rn int"), n=row_number())
