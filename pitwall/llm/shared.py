@@ -19,22 +19,22 @@ STEP_BYTES = 1 << 20
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; a scratch folder of its own only in a local session without one."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        named = "file://" + tempfile.mkdtemp(prefix="llm-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", named)
+        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="llm-", dir=os.environ.get("TMPDIR", "/tmp")))
+        named = sc.getCheckpointDir()
     return named
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared checkpoint folder; survives lost executors."""
     spark = df.sparkSession
+    folder = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
