@@ -15,7 +15,7 @@ Signatures travel as packed arrays by ranges of their hash (as many as 16 a shuf
 send them once. A range's task finds the signatures that several documents share and returns groups of document ids,
 not pairs. Links are then found in two rounds: every document against one hub of its groups, and then, among the
 documents of groups that still hold several components, the pairs across components that neither sizes nor feature
-counts (a lower bound of the difference) rule out, found in blocks of bounded size. So a group of near copies costs
+counts (a lower bound of the difference) rule out, compared group by group in blocks of bounded size. So a group of near copies costs
 about one comparison a member, and no link between components is missed. Every link is verified on the whole sets,
 which travel once to every group of blocks they are needed in, not once a pair.
 
@@ -55,9 +55,11 @@ def spare(percent: int) -> float:
 PACKED = 1 << 21
 #: Ids that a broadcast may hold (16 bytes each); beyond it texts are shuffled to their ids.
 BROADCAST_IDS = 1 << 21
-_CELLS = 256  # of the feature counts
-#: Documents of a block; a task compares two blocks.
-BLOCK = 512
+_CELLS = 128  # of the feature counts
+#: Documents of a block; two blocks are compared at a time.
+BLOCK = 1024
+#: Rows of groups that one task of the second round compares.
+TASK_ROWS = 1 << 14
 
 
 def sets(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -102,30 +104,42 @@ def bands(size: int, percent: int) -> list[tuple[int, int]]:
     return out
 
 
+@lru_cache(4096)
+def _names(band: int, attempt: int, n1: int) -> np.ndarray:
+    """What tells apart the signatures of a band's partitions and subsets: one row per subset."""
+    salt = np.uint64(((band << 8) + attempt) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    place = np.arange(n1, dtype=np.uint64) * np.uint64(len(SUBSETS))
+    return np.stack([mixed(place + np.uint64(s) + salt) for s in range(len(SUBSETS))])
+
+
 def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
     """All PartEnum signatures of a sorted set."""
     out = []
+    spread = {0: (elements, mixed(elements))}
     for band, k in bands(len(elements), percent):
         least = -(-(k + 1) // (K2 + 1))
         n1 = least + max(1, int(np.ceil(least * spare(percent))))
         parts = n1 * N2
         attempt = 0
         while True:
-            own = elements if not attempt else np.sort(mixed(elements ^ np.uint64(attempt * 0x632BE59BD9B4E019 & (1 << 64) - 1)))
-            part = ((own >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-            edge = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+            if attempt not in spread:
+                own = np.sort(mixed(elements ^ np.uint64(attempt * 0x632BE59BD9B4E019 & (1 << 64) - 1)))
+                spread[attempt] = own, mixed(own)
+            own, values = spread[attempt]
+            part = (((own >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+            edge = np.flatnonzero(part[1:] != part[:-1]) + 1
+            edge = np.concatenate(([0], edge))
             sums = np.zeros(parts, np.uint64)
-            sums[part[edge].astype(np.int64)] = np.add.reduceat(mixed(own), edge)
+            sums[part[edge]] = np.add.reduceat(values, edge)
             full = np.zeros(parts, bool)
-            full[part[edge].astype(np.int64)] = True
-            sums, full = sums.reshape(n1, N2), full.reshape(n1, N2)
-            salt = np.uint64(((band << 8) + attempt) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-            place = np.arange(n1, dtype=np.uint64) * np.uint64(len(SUBSETS))
-            for s, subset in enumerate(SUBSETS):
-                chosen = list(subset)
-                some = full[:, chosen].any(axis=1)
-                value = mixed(sums[:, chosen]).sum(axis=1, dtype=np.uint64)
-                out.append(mixed(value + mixed(place + np.uint64(s) + salt))[some])
+            full[part[edge]] = True
+            sums, full = mixed(sums).reshape(n1, N2), full.reshape(n1, N2)
+            for name, subset in zip(_names(band, attempt, n1), SUBSETS):
+                if len(subset) == 1:
+                    some, value = full[:, subset[0]], sums[:, subset[0]]
+                else:
+                    some, value = full[:, list(subset)].any(axis=1), sums[:, list(subset)].sum(axis=1, dtype=np.uint64)
+                out.append(mixed(value[some] + name[some]))
             # so many differences it takes to break every signature of the set that isn't empty
             if np.minimum(full.sum(axis=1), K2 + 1).sum() > k:
                 break
@@ -212,12 +226,12 @@ def shared_groups(table: pa.Table) -> pa.Table:
 
 
 def described(docs: DataFrame, n: int) -> DataFrame:
-    """id, n, f (fingerprint) and counts (elements in each of 256 cells, 255 at most) of every row."""
+    """id, n, f (fingerprint) and counts (elements in each of 128 cells, 255 at most) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, "text"):
             own = sets(step.column("text"), n)
-            counts = [np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=_CELLS), 255).astype(np.uint8).tobytes() for s in own]
+            counts = [np.minimum(np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=_CELLS), 255).astype(np.uint8).tobytes() for s in own]
             yield pa.RecordBatch.from_arrays(
                 [step.column("id"), pa.array([len(s) for s in own], pa.int64()),
                  pa.array([fingerprint(s) if len(s) else None for s in own], pa.int64()), pa.array(counts, pa.binary())],
@@ -245,28 +259,24 @@ def possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def apart(percent: int):
-    """Two blocks of documents -> pairs of different components that sizes and feature counts do not rule out."""
+    """Groups (g, or two blocks of a large one) -> pairs of different components that sizes and feature counts do not rule out."""
 
     def run(table: pa.Table) -> pa.Table:
-        i, n, c, ids = (table.column(x).to_numpy() for x in ("i", "n", "c", "id"))
+        table = table.sort_by([("g", "ascending"), ("low", "ascending"), ("high", "ascending"), ("n", "ascending")])
+        g, low, high, i, n, c, ids = (table.column(x).to_numpy() for x in ("g", "low", "high", "i", "n", "c", "id"))
         counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, _CELLS).astype(np.int16)
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        left = np.arange(len(n)) if low == high else np.flatnonzero(i == low)
-        right = left if low == high else np.flatnonzero(i == high)
-        right = right[np.argsort(n[right], kind="stable")]
-        found: list[tuple[int, np.ndarray]] = []
-        for x in left.tolist():  # partners that are as large or larger, within reach
-            a, b = np.searchsorted(n[right], (-(-percent * n[x] // 100), 100 * n[x] // percent + 1))
-            some = right[a:b]
-            some = some[c[some] != c[x]]
-            if low == high:
-                some = some[ids[some] > ids[x]]
-            if len(some):
-                near = np.abs(counts[some] - counts[x]).sum(axis=1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (n[some] + n[x])
-                if near.any():
-                    found.append((x, some[near]))
-        x = np.repeat(np.array([f[0] for f in found], np.int64), [len(f[1]) for f in found])
-        y = np.concatenate([f[1] for f in found]) if found else x
+        new = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]), [True])))
+        reach = 100 * n // percent
+        found: list[np.ndarray] = []
+        for a, b in zip(new[:-1].tolist(), new[1:].tolist()):
+            for x in range(a, b - 1):  # partners that are as large or larger, within reach
+                some = np.arange(x + 1, a + np.searchsorted(n[a:b], reach[x], side="right"))
+                some = some[(c[some] != c[x]) & ((low[x] == high[x]) | (i[some] != i[x]))]
+                if len(some):
+                    near = np.abs(counts[some] - counts[x]).sum(axis=1, dtype=np.int32) * (100 + percent) <= (100 - percent) * (n[some] + n[x])
+                    if near.any():
+                        found.append(np.stack((np.full(near.sum(), x), some[near])))
+        x, y = np.unique(np.concatenate(found, axis=1), axis=1) if found else (np.zeros(0, np.int64),) * 2
         swap = ids[x] > ids[y]
         x, y = np.where(swap, y, x), np.where(swap, x, y)
         return pa.table({"a": ids[x], "b": ids[y], "na": n[x], "nb": n[y]})
@@ -288,23 +298,30 @@ def clustered(edges: DataFrame, block: int) -> DataFrame:
         F.coalesce("blocks", F.lit(1)).cast("int").alias("blocks")))
 
 
-def _blocks(pairs: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
-    """Where pairs and sets meet: (a, b, na, nb, k, i, j) and (id, k, i, j); every two blocks that hold a pair are a group."""
+def by_hub(pairs: DataFrame, block: int) -> DataFrame:
+    """Pairs (hub a, b, na, nb) with the group (k, i, j) in which their sets meet: many hubs to a group, or a part of a large hub's."""
+    sizes = checkpointed(pairs.groupBy("a").agg(F.count("*").alias("m")))
+    groups = max(1, pairs.count() // block)
+    large = sizes.where(F.col("m") > block).select("a", F.ceil(F.col("m") / block).alias("parts"))
+    alone, own = F.col("parts").isNull(), F.xxhash64("a")
+    return pairs.join(large, "a", "left").select(
+        "a", "b", "na", "nb", F.when(alone, F.pmod(own, F.lit(groups))).otherwise(-1 - F.pmod(own, F.lit(1 << 60))).alias("k"),
+        F.lit(0).alias("i"), F.when(alone, 0).otherwise(F.pmod(F.xxhash64("b"), F.col("parts"))).cast("int").alias("j"))
+
+
+def by_cluster(pairs: DataFrame, block: int) -> DataFrame:
+    """Pairs (a, b, na, nb) with the group (k, i, j) in which their sets meet: two blocks of a cluster of the pairs' graph."""
     of = clustered(pairs.select("a", "b"), block).drop("blocks")
     dealt = pairs.join(of.withColumnRenamed("node", "a"), "a").join(of.select(F.col("node").alias("b"), F.col("i").alias("j")), "b")
-    low, high = F.least("i", "j"), F.greatest("i", "j")
-    dealt = checkpointed(dealt.select("a", "b", "na", "nb", "k", low.alias("i"), high.alias("j")))
-    sides = dealt.select(F.explode(F.array("a", "b")).alias("id"), "k", "i", "j").distinct()
-    return dealt, sides
+    return dealt.select("a", "b", "na", "nb", "k", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, block: int = BLOCK // 2) -> DataFrame:
-    """(a, b, na, nb) with ``common``, the number of elements that both sets hold; ``pairs`` is computed already.
+def verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(a, b, na, nb) with ``common``, the number of elements that both sets hold; ``pairs`` (a, b, na, nb, k, i, j) is computed already.
 
-    Sets travel once for every group of pairs they are in, not once a pair; a group holds the sets of two blocks.
+    Sets travel once for every group (k, i, j) of pairs they are in, not once a pair.
     """
-    dealt, sides = _blocks(pairs, block)
-    sides = checkpointed(sides)
+    sides = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id"), "k", "i", "j").distinct())
     wanted = sides.select(F.col("id").alias("wanted")).distinct()
     few = sides.count() <= BROADCAST_IDS
     own = docs.join(F.broadcast(wanted) if few else wanted, F.col("id") == F.col("wanted"), "left_semi")
@@ -339,7 +356,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, block: int = BLOCK // 2)
         return left.select(["a", "b", "na", "nb"]).append_column("common", pa.array(common, pa.int64()))
 
     keys = ("k", "i", "j")
-    return dealt.groupBy(*keys).cogroup(placed.groupBy(*keys)).applyInArrow(compare, "a long, b long, na long, nb long, common long")
+    return pairs.groupBy(*keys).cogroup(placed.groupBy(*keys)).applyInArrow(compare, "a long, b long, na long, nb long, common long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -366,22 +383,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = first.groupBy("id").agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
     first = first.select(F.col("hub").alias("a"), F.col("id").alias("b"))
     linked = (100 + percent) * F.col("common") >= percent * (F.col("na") + F.col("nb"))
-    tested = checkpointed(verified(checkpointed(possible(first, reps, percent)), rows, n))
+    first = checkpointed(by_hub(checkpointed(possible(first, reps, percent)), BLOCK))
+    tested = checkpointed(verified(first, rows, n))
     links = tested.where(linked).select("a", "b").unionByName(copies)
     whole = checkpointed(components(links))
 
-    # documents of groups that still hold several components, in blocks of clusters of such groups
+    # in groups that still hold several components, their documents in blocks
     of = groups.join(whole, F.col("id") == F.col("node"), "left").select("g", "id", F.coalesce("component", "id").alias("c"))
-    open_groups = of.groupBy("g").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("id").alias("low")).where("c0 <> c1").select("g", "low")
-    stars = checkpointed(of.join(open_groups, "g").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct())
-    nodes = clustered(stars, BLOCK).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    nodes = nodes.select(F.col("node").alias("id"), "k", "i", F.least("i", "other").alias("low"), F.greatest("i", "other").alias("high"))
-    nodes = nodes.join(reps, "id").join(whole, F.col("id") == F.col("node"), "left") \
-        .select("k", "low", "high", "i", "id", "n", "counts", F.coalesce("component", "id").alias("c"))
-    pairs = nodes.groupBy("k", "low", "high").applyInArrow(apart(percent), "a long, b long, na long, nb long").distinct()
+    still = of.groupBy("g").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("c0 <> c1")
+    of = checkpointed(of.join(still.select("g", "blocks"), "g").join(reps, "id"))
+    tasks = max(1, of.count() // TASK_ROWS)
+    nodes = of.withColumn("i", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .select("g", F.least("i", "other").alias("low"), F.greatest("i", "other").alias("high"), "i", "id", "n", "c", "counts")
+    nodes = nodes.withColumn("task", F.pmod(F.xxhash64("g", "low", "high"), F.lit(tasks)))
+    pairs = nodes.groupBy("task").applyInArrow(apart(percent), "a long, b long, na long, nb long").distinct()
     more = checkpointed(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
                         .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
     if more.head(1):  # rows, if any, of the second round
+        more = checkpointed(by_cluster(more, BLOCK // 2))
         links = links.unionByName(verified(more, rows, n).where(linked).select("a", "b"))
         whole = components(links)
     return facts.join(whole, F.col("id") == F.col("node"), "left").select(
