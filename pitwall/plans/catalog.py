@@ -27,6 +27,7 @@ from pitwall.operators.scope import (
 )
 from pitwall.operators.series import Series, first, lag, last, lead, rolling, row_number, running, whole
 from pitwall.plans import race
+from pitwall.sources.ingest import apply_types
 from pitwall.sources.testdata import RACE_CTES, LazyTables, cents, read
 
 # ---- scope of the registered race queries on the driver data -------------------------
@@ -238,6 +239,24 @@ def nearest_join_split(spark, sf):
 
 # ================================================================ aggregation
 
+@register("typed_ingest", """
+SELECT l_orderkey, l_linenumber AS whole, true AS fraction_is_null, CAST(l_quantity AS INTEGER) AS quantity, l_tax AS tax,
+       CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_linenumber END AS flagged,
+       CASE WHEN l_returnflag = 'N' THEN 'N' END AS flagged_marker
+FROM lineitem""")
+def typed_ingest(spark, sf):
+    """Declared types applied to the text forms of a whole table; whole numbers written with a fraction, markers."""
+    li = read(spark, sf, "lineitem")
+    texts = li.select(
+        F.col("l_orderkey").cast("string"), F.concat(F.col("l_linenumber").cast("string"), F.lit(".0")).alias("whole"),
+        F.concat(F.col("l_linenumber").cast("string"), F.lit(".5")).alias("part"), F.col("l_quantity").cast("string").alias("quantity"),
+        F.col("l_tax").cast("string").alias("tax"),
+        F.when(F.col("l_returnflag") == "N", "N").otherwise(F.col("l_linenumber").cast("string")).alias("flagged"))
+    out = apply_types(texts, {"l_orderkey": "bigint", "whole": "int", "part": "int", "quantity": "int", "tax": "double", "flagged": "int"},
+                      marked=("flagged",))
+    return out.select("l_orderkey", "whole", F.col("part").isNull().alias("fraction_is_null"), "quantity", "tax", "flagged", "flagged_marker")
+
+
 @register("group_stats", """
 SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS sum_qty, avg(l_quantity) AS avg_qty,
        min(l_discount) AS min_disc, max(l_discount) AS max_disc,
