@@ -401,7 +401,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more = checkpointed(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
                         .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
     if more.head(1):  # rows, if any, of the second round
-        more = checkpointed(by_cluster(more, BLOCK // 2))
+        more = checkpointed(by_cluster(more, BLOCK))
         links = links.unionByName(verified(more, rows, n).where(linked).select("a", "b"))
         whole = components(links)
     return facts.join(whole, F.col("id") == F.col("node"), "left").select(
