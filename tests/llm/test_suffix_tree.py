@@ -83,3 +83,31 @@ def test_better_than_the_base_on_enough_text(spark):
 
 def test_empty_table(frame):
     assert suffix_tree.score(frame([])).collect() == []
+
+
+@pytest.mark.parametrize("head_grams", [1 << 20, 500, 0])
+def test_scores_are_those_of_the_whole_tree(frame, odd, small, head_grams):
+    docs = [*odd, (None, "one two"), *((1000 + i, t) for i, t in small)]
+    train = pa.array([t for i, t in docs if i is None or fold(i, 5) != 1], pa.string())
+    keys, n = np.unique(suffix_tree.spelled(train)[0], return_counts=True)
+    grams = frame([]).sparkSession.createDataFrame(pa.table({"key": keys.view(np.int64), "n": n}))
+    tree = suffix_tree.Tree(suffix_tree.grow(grams, 8, 0.0, 2.0, 8.0), 8.0)
+    got = {r.doc_id: r.score for r in suffix_tree.score(frame(docs), head_grams=head_grams).collect()}
+    for i, t in docs:
+        assert got[i] == pytest.approx(tree.logs(suffix_tree.spelled(pa.array([t], pa.string()))[0]).sum(), rel=1e-5), i
+
+
+def test_the_bar_does_not_rise_with_the_table(frame):
+    """A passage seen nine times is learned alike beside little and beside much other text."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    passage = "qqzx vvkjw xqzzy wwvqx"
+    ids = [i for i in range(200) if fold(i, 5) != 1]
+    held = next(i for i in range(200) if fold(i, 5) == 1)
+    known = [(i, passage) for i in ids[:9]] + [(held, passage)]
+
+    def learned(words):
+        docs = [*known, *((i, " ".join(word() for _ in range(words))) for i in ids[12:132])]
+        return next(r.score for r in suffix_tree.score(frame(docs)).collect() if r.doc_id == held)
+
+    assert learned(7000) == pytest.approx(learned(20), abs=3)
