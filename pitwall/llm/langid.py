@@ -34,6 +34,8 @@ ORDERS = (4, 3, 2, 1)
 UNKNOWN = "und"
 #: Words whose scores a worker keeps.
 KEPT_WORDS = 1 << 17
+#: Letters of the longest word that is kept; longer ones are scored each time.
+KEPT_LETTERS = 100
 #: Characters that one step of a long text covers; cut between words.
 STRETCH = 1 << 20
 
@@ -149,9 +151,11 @@ class Model:
             for word, c in Counter(found).items():
                 v = self.kept.get(word)
                 if v is None:
-                    if len(self.kept) >= KEPT_WORDS:
-                        self.kept.clear()
-                    v = self.kept[word] = self.word(word) if len(word) <= 100 else self.nothing
+                    v = self.word(word)
+                    if len(word) <= KEPT_LETTERS:
+                        if len(self.kept) >= KEPT_WORDS:
+                            self.kept.clear()
+                        self.kept[word] = v
                 total += v if c == 1 else v * c
                 n += c
         if not n or not self.langs:

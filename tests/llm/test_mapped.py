@@ -104,3 +104,14 @@ def test_language_odd_rows(spark):
     assert empty.collect() == []
     unlabelled = langid.identify(df.withColumn("lang", F.lit(None).cast("string")))
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
+
+
+def test_language_of_long_letter_runs():
+    """Runs of any length back off to their n-grams, and are not kept."""
+    rows = [(0, "the", "en", 9), (0, "der", "de", 9), (4, "_the", "en", 9), (4, "nder", "de", 9), (1, "w", "en", 9), (1, "z", "de", 9)]
+    model = langid.Model(["de", "en"], rows, {(k, lang): (9, 1) for k in (0, 1, 4) for lang in ("de", "en")})
+    for n in (30, 101, 5000):
+        assert model.predict("w" * n)[0] == "en" and model.predict("z" * n)[0] == "de"
+        assert model.predict("w" * n)[1] == pytest.approx(model.predict("w" * 30)[1])
+        assert model.predict("the " + "x" * 500 + "nder" * 300)[0] == model.predict("the xnder")[0]
+    assert max(map(len, model.kept)) <= 100
