@@ -1,7 +1,7 @@
 """License scan: ordered signature rules over whole texts.
 
-A text is normalised to its words (``ALNUM``, lower-cased) with single spaces. A rule has a priority, a label, the
-keyword that a text must hold for the rule to run, a regex over the normalised text and a confidence. Rules are the
+A text is normalised to its words (``ALNUM``, lower-cased) with single spaces. A rule has a priority, a label, keywords
+of which a text must hold one for the rule to run, a regex over the normalised text and a confidence. Rules are the
 product of license names and the contexts in which a name is granted, identified, pointed to or only mentioned,
 and rules of their own; the products make hundreds of regexes. Detections are resolved in order: by priority, then
 length, then start; one whose interval lies within the interval of a detection kept before is suppressed.
@@ -32,7 +32,7 @@ BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights rese
 
 LIC = "licen[cs]e"
 VERSION = r"(?: v| version)?"
-#: label, keyword, the name in normalised words.
+#: label, keywords of which every form of the name holds one as a word, the name in normalised words.
 NAMES = (
     ("apache-1.0", "apache", rf"apache(?: software)?(?: {LIC})?{VERSION} 1 0"),
     ("apache-1.1", "apache", rf"apache(?: software)?(?: {LIC})?{VERSION} 1 1"),
@@ -41,7 +41,7 @@ NAMES = (
     ("mit-0", "mit", rf"mit no attribution(?: {LIC})?"),
     ("x11", "x11", rf"x11 {LIC}"),
     ("isc", "isc", rf"isc(?: {LIC})"),
-    ("bsd-2-clause", "bsd", rf"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: {LIC})?"),
+    ("bsd-2-clause", "bsd freebsd", rf"(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: {LIC})?"),
     ("bsd-3-clause", "bsd", rf"(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)(?: {LIC})?"),
     ("bsd-4-clause", "bsd", rf"(?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd)(?: {LIC})?"),
     ("0bsd", "0bsd", rf"0bsd(?: {LIC})?"),
@@ -110,7 +110,7 @@ CONTEXTS = (
     (20, r"under (?:the )?(?:terms of )?(?:the )?{}", 0.7),
     (10, r"{}", 0.5),
 )
-#: priority, label, keyword, regex, confidence.
+#: priority, label, keywords as above, regex, confidence.
 SINGLE = (
     (60, "permissive-grant", "permission", r"permission is hereby granted free of charge to any person obtaining a copy", 0.95),
     (60, "permissive-grant", "permission", r"permission to use copy modify and or distribute this software", 0.95),
@@ -120,16 +120,16 @@ SINGLE = (
     (35, "public-domain", "domain", r"public domain dedication", 0.8),
     (34, "proprietary", "proprietary", r"proprietary and confidential", 0.85),
     (34, "proprietary", "unauthorized", r"unauthorized (?:copying|use|reproduction|distribution)", 0.7),
-    (34, "proprietary", "reproduced", r"may not be (?:copied|reproduced|redistributed)", 0.6),
+    (34, "proprietary", "copied reproduced redistributed", r"may not be (?:copied|reproduced|redistributed)", 0.6),
     (32, "no-derivatives", "derivative", r"no derivative works (?:are )?(?:allowed|permitted)", 0.6),
-    (32, "non-commercial", "commercial", r"(?:non ?commercial use only|for non ?commercial (?:use|purposes)|not for commercial use)", 0.7),
-    (30, "warranty-disclaimer", "warranty", r"(?:provided )?as is without warrant(?:y|ies) of any kind", 0.5),
-    (28, "end-user-agreement", "eula", r"end user licen[cs]e agreement(?: eula)?|eula", 0.5),
+    (32, "non-commercial", "commercial noncommercial", r"(?:non ?commercial use only|for non ?commercial (?:use|purposes)|not for commercial use)", 0.7),
+    (30, "warranty-disclaimer", "warranty warranties", r"(?:provided )?as is without warrant(?:y|ies) of any kind", 0.5),
+    (28, "end-user-agreement", "eula user", r"end user licen[cs]e agreement(?: eula)?|eula", 0.5),
     (26, "reserved", "reserved", r"(?:copyright(?: c)? (?:[0-9]{4} )?(?:[^ ]+ ){0,6})?(?:all|some|no) rights reserved", 0.6),
     (24, "copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?", 0.4),
     (22, "contributor-agreement", "contributor", r"contributor licen[cs]e agreement", 0.4),
     (15, "gpl", "general", r"general public licen[cs]e", 0.5),
-    (8, "license-mention", "licensed", r"licen[cs]ed under", 0.2),
+    (8, "license-mention", "licensed licenced", r"licen[cs]ed under", 0.2),
 )
 
 
@@ -137,13 +137,13 @@ SINGLE = (
 class Rule:
     priority: int
     label: str
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     pattern: re.Pattern
     confidence: float
 
 
-def _rule(priority: int, label: str, keyword: str, pattern: str, confidence: float) -> Rule:
-    return Rule(priority, label, keyword.encode(), re.compile(f"(?<= )(?:{pattern})(?= )".encode()), confidence)
+def _rule(priority: int, label: str, keywords: str, pattern: str, confidence: float) -> Rule:
+    return Rule(priority, label, tuple(keywords.encode().split()), re.compile(f"(?<= )(?:{pattern})(?= )".encode()), confidence)
 
 
 @lru_cache(1)
@@ -176,18 +176,18 @@ def base_places(norm: bytes) -> list[tuple[int, str]]:
 
 
 @lru_cache(1)
-def by_keyword() -> tuple[tuple[bytes, tuple[Rule, ...]], ...]:
-    found: dict[bytes, list[Rule]] = {}
+def by_keywords() -> tuple[tuple[tuple[bytes, ...], tuple[Rule, ...]], ...]:
+    found: dict[tuple[bytes, ...], list[Rule]] = {}
     for r in rules():
-        found.setdefault(r.keyword, []).append(r)
+        found.setdefault(r.keywords, []).append(r)
     return tuple((k, tuple(v)) for k, v in found.items())
 
 
 def detections(norm: bytes) -> list[tuple[int, int, Rule]]:
     """Start, end and rule of what stays after suppression, in the order of the rules."""
     found = []
-    for keyword, own in by_keyword():
-        if b" " + keyword + b" " in norm:
+    for keywords, own in by_keywords():
+        if any(b" " + k + b" " in norm for k in keywords):
             for rule in own:
                 found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(norm)]
     found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label))

@@ -115,3 +115,50 @@ def test_language_of_long_letter_runs():
         assert model.predict("w" * n)[1] == pytest.approx(model.predict("w" * 30)[1])
         assert model.predict("the " + "x" * 500 + "nder" * 300)[0] == model.predict("the xnder")[0]
     assert max(map(len, model.kept)) <= 100
+
+
+def forms(parsed):
+    """Texts of every alternative of a parsed regex, optional parts without and with."""
+    out = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            own = [chr(arg)]
+        elif name == "NOT_LITERAL":
+            own = ["q"]
+        elif name == "IN":
+            own = [chr(arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0] if str(arg[0][0]) == "RANGE" else ord("q"))]
+        elif name == "BRANCH":
+            own = [f for branch in arg[1] for f in forms(branch)]
+        elif name == "SUBPATTERN":
+            own = forms(arg[3])
+        elif name == "MAX_REPEAT":
+            once = forms(arg[2])
+            own = [""] * (arg[0] == 0) + [f * max(arg[0], 1) for f in once]
+        else:
+            raise ValueError(name)
+        out = [a + b for a in out for b in own]
+    return out
+
+
+def test_every_form_of_a_rule_passes_the_prefilter():
+    from re import _parser
+
+    parts = [(key, name) for _, key, name in license.NAMES] + [(key, pattern) for _, _, key, pattern, _ in license.SINGLE]
+    for keys, pattern in parts:
+        for form in forms(_parser.parse(pattern)):
+            assert set(keys.split()) & set(form.split()), (keys, form)
+
+
+@pytest.mark.parametrize("text,labels", [
+    ("the FreeBSD license", "bsd-2-clause"),
+    ("the end user license agreement", "end-user-agreement"),
+    ("noncommercial use only", "non-commercial"),
+    ("for noncommercial use", "non-commercial"),
+    ("as is without warranties of any kind", "warranty-disclaimer"),
+    ("licenced under it", "license-mention"),
+    ("it may not be copied here", "proprietary"),
+])
+def test_labels_of_forms_without_the_first_keyword(text, labels):
+    assert license.scan(text.encode())[5] == labels
+    assert license.scan(text.encode())[6] > 0
