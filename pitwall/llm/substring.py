@@ -200,7 +200,7 @@ def shard_texts(docs: DataFrame, bitmaps, window: int, gram: int, chunk_rows: in
             chunks, chunk = np.unique(chunk, return_inverse=True)
             known = chunks.tobytes()
             blobs = [b"".join((np.array([b - a, len(chunks)], np.int64).tobytes(), known, chunk[a:b].astype(np.uint16).tobytes(),
-                               key[a:b].tobytes(), doc[a:b].tobytes(), many[a:b].tobytes(), n[a:b].astype(np.uint8).tobytes(),
+                               key[a:b].tobytes(), doc[a:b].tobytes(), many[a:b].tobytes(), n[a:b].astype(np.uint16).tobytes(),
                                flat[upto[a]:upto[b]].tobytes())) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
             return pa.RecordBatch.from_arrays([pa.array(cell[edge[:-1]]), pa.array(blobs, pa.binary())], names=["cell", "blob"])
 
@@ -349,7 +349,7 @@ def judged(window: int):
             at += 8 * c
             columns[0].append(known[np.frombuffer(blob, np.uint16, k, at)])
             at += 2 * k
-            for j, (kind, width) in enumerate(((np.uint64, 8), (np.int64, 8), (np.uint8, 1), (np.uint8, 1)), 1):
+            for j, (kind, width) in enumerate(((np.uint64, 8), (np.int64, 8), (np.uint8, 1), (np.uint16, 2)), 1):
                 columns[j].append(np.frombuffer(blob, kind, k, at))
                 at += width * k
             columns[5].append(np.frombuffer(blob, np.uint32, -1, at))
@@ -467,6 +467,8 @@ def finished(text_col: str, id_col: str, window: int):
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, gram: int = 5,
                    crowd: int = 4096, chunk_rows: int = 4096) -> DataFrame:
     """The rows of ``docs`` as a struct ``row``, with n_words, n_removed and kept (the kept words, joined by one space)."""
+    if 2 * window - gram >= 1 << 16:
+        raise ValueError("a text around an anchor has 65,535 words at most")
     spark = docs.sparkSession
     ranges = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

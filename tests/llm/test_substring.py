@@ -27,6 +27,17 @@ def test_repeated_rows_null_ids_and_empty_table(frame):
     assert substring.remove_repeats(frame([])).collect() == []
 
 
+def test_long_windows_equal_brute_force(frame):
+    """Texts around an anchor have more words than a byte counts."""
+    rng = random.Random(3)
+    text = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    passage = text(700)
+    docs = [(i, f"{text(rng.randrange(100))} {passage} {text(rng.randrange(100))}") for i in range(5)]
+    assert result(substring.remove_repeats(frame(docs), window=200)) == brute(docs, 200)
+    with pytest.raises(ValueError):
+        substring.remove_repeats(frame(docs), window=1 << 15, gram=0)
+
+
 def test_first_documents_of_random_texts():
     rng = random.Random(3)
     for _ in range(200):
