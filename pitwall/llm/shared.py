@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from inspect import signature
 from pathlib import Path
 
 import pyarrow as pa
@@ -52,10 +54,41 @@ def ship(spark: SparkSession) -> None:
     sc._pitwall_shipped = sc.applicationId
 
 
+def release() -> None:
+    """Freed memory back to the system: Python workers outlive their tasks, and idle ones would keep their largest step's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
+
+
+def grouped(run: Callable) -> Callable:
+    """A function of one whole group, or of two (``applyInArrow``), that keeps no freed memory after a group of some size."""
+    def tidy(*tables: pa.Table) -> pa.Table:
+        out = run(*tables)
+        if sum(t.nbytes for t in tables) > STEP_BYTES:
+            release()
+        return out
+
+    def one(table):
+        return tidy(table)
+
+    def two(left, right):
+        return tidy(left, right)
+
+    return two if len(signature(run).parameters) == 2 else one
+
+
 def arrow_map(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the workers."""
+    """``df.mapInArrow`` with this package at hand in the workers, which keep no freed memory after a task."""
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy, schema)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
