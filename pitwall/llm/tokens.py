@@ -164,36 +164,37 @@ class Vocabulary:
         if at < len(text):
             yield text[at:] if at else text, False
 
-    def cumulative(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes and tokens at the end of every piece of the text."""
-        sizes, counts = [], []
-        for part, special in self.stretches(text or ""):
-            if special:
-                sizes.append(len(part.encode()))
-                counts.append(1)
-                continue
-            for m in self.pieces.finditer(part):
-                piece = m.group()
-                sizes.append(len(piece.encode()))
-                counts.append(self.piece_count(piece))
-        return np.cumsum(sizes, dtype=np.int64), np.cumsum(counts, dtype=np.int64)
-
     def count(self, text: str | None) -> int:
         """The tokens of the whole text."""
-        total = 0
-        for part, special in self.stretches(text or ""):
+        return self.measure(text, None)[0]
+
+    def measure(self, text: str | None, limit: int | None) -> tuple[int, int]:
+        """The tokens of the whole text, and the end (in characters) of the last piece up to which it has at most ``limit``."""
+        text = text or ""
+        total, fits, at = 0, None, 0
+        for part, special in self.stretches(text):
+            before = total
             if special:
                 total += 1
-                continue
-            found = self.pieces.findall(part) if len(part) <= 1 << 20 else (m.group() for m in self.pieces.finditer(part))
-            keep = self.recent.get
-            for piece in found:
-                n = keep(piece)
-                if n is None:
-                    n = self.piece_count(piece)
-                    keep = self.recent.get
-                total += n
-        return total
+            else:
+                long = len(part) > 1 << 20  # a long part's pieces are not held
+                keep = self.recent.get
+                for piece in (m.group() for m in self.pieces.finditer(part)) if long else self.pieces.findall(part):
+                    n = keep(piece)
+                    if n is None:
+                        n = self.piece_count(piece)
+                        keep = self.recent.get
+                    total += n
+            if fits is None and limit is not None and total > limit:
+                # only the pieces that fit are walked again, by their known counts
+                fits, left = at, limit - before
+                for m in () if special else self.pieces.finditer(part):
+                    left -= self.piece_count(m.group())
+                    if left < 0:
+                        break
+                    fits = at + m.end()
+            at += len(part)
+        return total, at if fits is None else fits
 
 
 class Prefixes:
@@ -251,14 +252,9 @@ def count_tokens(docs: DataFrame, vocabulary_file: str, limit: int, id_col: str
             lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
             for text, size in zip(batch.column(1), lengths.to_pylist()):
                 text = text.as_py()
-                n = v.count(text)
+                n, end = v.measure(text, limit)
                 tokens.append(n)
-                if n <= limit:
-                    fits.append(size)
-                else:
-                    ends, counts = v.cumulative(text)
-                    k = int(np.searchsorted(counts, limit, side="right"))
-                    fits.append(int(ends[k - 1]) if k else 0)
+                fits.append(size if n <= limit else len(text[:end].encode()))
             n = pa.array(tokens, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), lengths, n, pc.greater(n, limit), pa.array(fits, pa.int64())],
