@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import arrow_map, checkpointed, steps
+from .shared import arrow_map, checkpointed, grouped, steps
 from .words import SPACED, grams, mixed, words
 
 K2, N2 = 1, 2
@@ -259,11 +259,12 @@ def possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def apart(percent: int):
-    """Groups (g, or two blocks of a large one) -> pairs of different components that sizes and feature counts do not rule out."""
+    """Groups (g, or two blocks of a large one) -> pairs of different components that sizes and feature counts do not rule out
+    and that are not a document and its hub, which the first round has judged."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("g", "ascending"), ("low", "ascending"), ("high", "ascending"), ("n", "ascending")])
-        g, low, high, i, n, c, ids = (table.column(x).to_numpy() for x in ("g", "low", "high", "i", "n", "c", "id"))
+        g, low, high, i, n, c, ids, hub = (table.column(x).to_numpy() for x in ("g", "low", "high", "i", "n", "c", "id", "hub"))
         counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, _CELLS).astype(np.int16)
         new = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]), [True])))
         reach = 100 * n // percent
@@ -271,7 +272,7 @@ def apart(percent: int):
         for a, b in zip(new[:-1].tolist(), new[1:].tolist()):
             for x in range(a, b - 1):  # partners that are as large or larger, within reach
                 some = np.arange(x + 1, a + np.searchsorted(n[a:b], reach[x], side="right"))
-                some = some[(c[some] != c[x]) & ((low[x] == high[x]) | (i[some] != i[x]))]
+                some = some[(c[some] != c[x]) & ((low[x] == high[x]) | (i[some] != i[x])) & (ids[some] != hub[x]) & (hub[some] != ids[x])]
                 if len(some):
                     near = np.abs(counts[some] - counts[x]).sum(axis=1, dtype=np.int32) * (100 + percent) <= (100 - percent) * (n[some] + n[x])
                     if near.any():
@@ -356,7 +357,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
         return left.select(["a", "b", "na", "nb"]).append_column("common", pa.array(common, pa.int64()))
 
     keys = ("k", "i", "j")
-    return pairs.groupBy(*keys).cogroup(placed.groupBy(*keys)).applyInArrow(compare, "a long, b long, na long, nb long, common long")
+    return pairs.groupBy(*keys).cogroup(placed.groupBy(*keys)).applyInArrow(grouped(compare), "a long, b long, na long, nb long, common long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -373,7 +374,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reps = checkpointed(reps.select("id", "n", "counts"))
 
     ranges = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = packed_signatures(named, n, percent, ranges).groupBy("cell").applyInArrow(shared_groups, "g long, id long").distinct()
+    groups = packed_signatures(named, n, percent, ranges).groupBy("cell").applyInArrow(grouped(shared_groups), "g long, id long").distinct()
     groups = checkpointed(groups.join(whose, "id").select("g", F.col("rep").alias("id")).distinct())
 
     degree = groups.groupBy("id").agg(F.count("*").alias("degree"))
@@ -381,7 +382,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hubs = hubs.where("size > 1").select("g", "hub")
     first = groups.join(hubs, "g").where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("times"))
     first = first.groupBy("id").agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
-    first = first.select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    first = checkpointed(first.select(F.col("hub").alias("a"), F.col("id").alias("b")))
+    judged = first.select(F.col("b").alias("id"), F.col("a").alias("hub"))
     linked = (100 + percent) * F.col("common") >= percent * (F.col("na") + F.col("nb"))
     first = checkpointed(by_hub(checkpointed(possible(first, reps, percent)), BLOCK))
     tested = checkpointed(verified(first, rows, n))
@@ -391,13 +393,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # in groups that still hold several components, their documents in blocks
     of = groups.join(whole, F.col("id") == F.col("node"), "left").select("g", "id", F.coalesce("component", "id").alias("c"))
     still = of.groupBy("g").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("c0 <> c1")
-    of = checkpointed(of.join(still.select("g", "blocks"), "g").join(reps, "id"))
+    of = checkpointed(of.join(still.select("g", "blocks"), "g").join(reps, "id").join(judged, "id", "left")
+                      .withColumn("hub", F.coalesce("hub", "id")))
     tasks = max(1, of.count() // TASK_ROWS)
     nodes = of.withColumn("i", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("g", F.least("i", "other").alias("low"), F.greatest("i", "other").alias("high"), "i", "id", "n", "c", "counts")
+        .select("g", F.least("i", "other").alias("low"), F.greatest("i", "other").alias("high"), "i", "id", "n", "c", "counts", "hub")
     nodes = nodes.withColumn("task", F.pmod(F.xxhash64("g", "low", "high"), F.lit(tasks)))
-    pairs = nodes.groupBy("task").applyInArrow(apart(percent), "a long, b long, na long, nb long").distinct()
+    pairs = nodes.groupBy("task").applyInArrow(grouped(apart(percent)), "a long, b long, na long, nb long").distinct()
     more = checkpointed(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
                         .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
     if more.head(1):  # rows, if any, of the second round
