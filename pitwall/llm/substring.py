@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .shared import arrow_map, steps
+from .shared import arrow_map, grouped, steps
 from .words import SPACED, grams, mixed, words
 
 SHARED_BITS, CROWD_BITS = 27, 23
@@ -338,7 +338,7 @@ def first_documents(texts: list[list[int]], docs: list[int], window: int) -> lis
 
 def judged(window: int):
     """A shard's texts -> (chunk, kind, blob): windows to remove from a chunk's documents; kind 0: from
-    all, kind 1: from those with a larger id than the one given."""
+    all, kind 1: from those with a larger id than the one given, where that document has rows in the chunk itself."""
 
     def run(table: pa.Table) -> pa.Table:
         columns: list[list[np.ndarray]] = [[] for _ in range(6)]
@@ -392,7 +392,9 @@ def judged(window: int):
         each = np.repeat(offset[of] - (np.cumsum(k) - k), k) + np.arange(k.sum())
         whose, lowest, more = np.repeat(chunk, k), np.repeat(doc, k), np.repeat(many, k) > 0
         first, home, hashes = first[each], home[each], hashes[each]
-        late = (home == whose) | (first == lowest)
+        # the first document may have another row with this window in the chunk: then the shard has that row too
+        of_first = np.isin(mixed(first.view(np.uint64)) ^ whose.view(np.uint64), mixed(doc.view(np.uint64)) ^ chunk.view(np.uint64))
+        late = (home == whose) | (first == lowest) | of_first
         keep = ~late | (first < lowest) | more
         out: list[tuple[int, int, bytes]] = []
         for kind in (0, 1):
@@ -473,13 +475,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     pieces = count_anchors(rows, window, gram, chunk_rows, ranges) \
-        .groupBy("cell").applyInArrow(marks(crowd), "kind int, at long, bits binary").toLocalIterator()
+        .groupBy("cell").applyInArrow(grouped(marks(crowd)), "kind int, at long, bits binary").toLocalIterator()
     bitmaps = [np.zeros(1 << SHARED_BITS - 3, np.uint8), np.zeros(1 << CROWD_BITS - 3, np.uint8)]
     for kind, at, piece in pieces:  # together at most the bitmaps' fixed size, and a byte for each range
         bitmaps[kind][at:at + len(piece)] |= np.frombuffer(piece, np.uint8)
     shared = spark.sparkContext.broadcast(tuple(b.tobytes() for b in bitmaps))
     found = shard_texts(rows, shared, window, gram, chunk_rows, ranges).groupBy("cell") \
-        .applyInArrow(judged(window), "chunk long, kind int, blob binary")
+        .applyInArrow(grouped(judged(window)), "chunk long, kind int, blob binary")
 
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
@@ -490,7 +492,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     row = StructField("row", whole.schema["row"].dataType)
     numbered = arrow_map(whole, number, StructType([StructField("chunk", LongType()), row]))
     schema = StructType([row, StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept", StringType())])
-    return numbered.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(finished(text_col, id_col, window), schema)
+    return numbered.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(grouped(finished(text_col, id_col, window)), schema)
 
 
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -46,3 +46,25 @@ def test_first_documents_of_random_texts():
         want = [min(d for t, d in zip(texts, docs) if any(t[j:j + 4] == text[k:k + 4] for j in range(len(t) - 3)))
                 for text in texts for k in range(len(text) - 3)]
         assert substring.first_documents(texts, docs, 4) == want
+
+
+def test_an_id_in_several_chunks(spark):
+    """Rows that share an id lose nothing to each other, wherever they lie."""
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"w{rng.randrange(300)}" for _ in range(n))
+    passage, other = text(13), text(30)
+    rows = [[(1, passage)], [(1, f"x {passage} y"), (9, f"a {passage} b")], [(2, other), (1, f"q {other}")], [(2, f"{other} z"), (7, f"{other} r"), (1, passage)]]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4).flatMap(lambda x: x), "doc_id long, text string")
+    docs = [r for part in rows for r in part]
+    first = {}
+    for i, t in docs:
+        w = t.split()
+        for k in range(len(w) - 12):
+            first[tuple(w[k:k + 13])] = min(first.get(tuple(w[k:k + 13]), i), i)
+    want = []
+    for i, t in docs:
+        w = t.split()
+        gone = {p for k in range(len(w) - 12) if first[tuple(w[k:k + 13])] < i for p in range(k, k + 13)}
+        want.append((i, len(w), len(gone), " ".join(x for p, x in enumerate(w) if p not in gone)))
+    got = [(r.row.doc_id, r.n_words, r.n_removed, r.kept) for r in substring.remove_repeats(df).collect()]
+    assert sorted(got) == sorted(want)
