@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from .graph import components
-from .shared import arrow_map, checkpointed
+from .shared import arrow_map, checkpointed, grouped
 
 BLOCKS = 4
 GRID = 2  # coordinates of a block that form its grid
@@ -55,6 +56,11 @@ def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each times the power of two that brings its largest component near 1: the cosine stays, and no square is too large or small."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True, initial=0))[1])
+
+
 def placed(vectors: np.ndarray, threshold: float, blocks: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
     """(block, 1 at home or 0 on a visit, rows, cells) for all blocks; cells as rows of grid coordinates."""
     turned = unit(vectors) @ rotation(vectors.shape[1])
@@ -124,41 +130,44 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, blocks: int = BLOCKS, tile_rows: int = 2048) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of (vec_id, embedding, label)."""
-    vectors = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("v"), "label")
+    given = vectors.schema["embedding"].dataType
+    kind = "array<float>" if isinstance(given, ArrayType) and isinstance(given.elementType, FloatType) else "array<double>"
+    vectors = vectors.select("vec_id", F.col("embedding").cast(kind).alias("v"), "label")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(finite & F.exists("v", lambda x: x != 0), F.lit(False))
     good = vectors.where(usable).withColumn("dim", F.size("v"))
-    classes = checkpointed(good.groupBy("label", "dim", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
+    classes = checkpointed(good.groupBy("label", "dim", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+                           .withColumn("class", F.xxhash64("label", "dim", "v")))  # with rep: an id may have several vectors
 
     def deal(batches):
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 own = batch.take(pa.array(np.flatnonzero(dims == dim)))
-                for block, home, rows, cells in placed(matrix(own.column("v")), threshold, blocks):
+                for block, home, rows, cells in placed(scaled(matrix(own.column("v"))), threshold, blocks):
                     if len(rows):
                         kept = own.take(pa.array(rows))
                         cell = pa.array([",".join(map(str, c)) for c in cells.tolist()])
                         yield pa.RecordBatch.from_arrays(
                             [kept.column("label"), kept.column("dim"), pa.array(np.full(len(rows), block, np.int32)), cell,
-                             pa.array(np.full(len(rows), home, np.int32)), kept.column("rep"), kept.column("copies"), kept.column("v")],
-                            names=["label", "dim", "block", "cell", "home", "rep", "copies", "v"])
+                             pa.array(np.full(len(rows), home, np.int32)), kept.column("rep"), kept.column("class"), kept.column("copies"), kept.column("v")],
+                            names=["label", "dim", "block", "cell", "home", "rep", "class", "copies", "v"])
 
     label_type = vectors.schema["label"].dataType.simpleString()
-    dealt = arrow_map(classes.select("label", "dim", "rep", "copies", "v"), deal,
-                      f"label {label_type}, dim int, block int, cell string, home int, rep long, copies long, v array<float>")
+    dealt = arrow_map(classes.select("label", "dim", "rep", "class", "copies", "v"), deal,
+                      f"label {label_type}, dim int, block int, cell string, home int, rep long, class long, copies long, v {kind}")
     keys = ["label", "dim", "block", "cell"]
     crowds = dealt.groupBy(*keys).agg(F.ceil(F.count("*") / tile_rows).alias("tiles")).where("tiles > 1")
     tiled = dealt.join(crowds, keys, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)).cast("long"))
-    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles"))) \
+    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles"))) \
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))) \
         .withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
 
     def meet(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         tile, low = table.column("tile").to_numpy(), table.column("low")[0].as_py()
-        rep, copies, home = (table.column(c).to_numpy() for c in ("rep", "copies", "home"))
-        v = matrix(table.column("v"))
+        rep, own, copies, home = (table.column(c).to_numpy() for c in ("rep", "class", "copies", "home"))
+        v = scaled(matrix(table.column("v")))
         same = low == table.column("high")[0].as_py()
         left = np.arange(len(rep)) if same else np.flatnonzero(tile == low)
         right = left if same else np.flatnonzero(tile != low)
@@ -172,14 +181,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, blocks: int = B
         np.add.at(links, j, copies[i])
         some = np.flatnonzero(links)
         a, b = forest(rep[i], rep[j]) if len(i) else (rep[:0], rep[:0])
-        return pa.table({"a": np.concatenate((rep[some], a)), "b": pa.array(np.concatenate((rep[some], b))),
+        # counts of classes (with n), and links of their smallest ids
+        return pa.table({"a": np.concatenate((rep[some], a)), "b": np.concatenate((own[some], b)),
                          "n": np.concatenate((links[some], np.zeros(len(a), np.int64)))})
 
-    met = checkpointed(tiled.select(*keys, "home", "rep", "copies", "v", "tile", "low", "high")
-                       .groupBy(*keys, "low", "high").applyInArrow(meet, "a long, b long, n long"))
-    groups = components(met.where("a <> b").select("a", "b"))
-    counts = met.where("a = b").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
-    told = classes.join(counts, "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
+    met = checkpointed(tiled.select(*keys, "home", "rep", "class", "copies", "v", "tile", "low", "high")
+                       .groupBy(*keys, "low", "high").applyInArrow(grouped(meet), "a long, b long, n long"))
+    groups = components(met.where("n = 0").select("a", "b"))
+    counts = met.where("n > 0").groupBy(F.col("a").alias("rep"), F.col("b").alias("class")).agg(F.sum("n").alias("n"))
+    told = classes.join(counts, ["rep", "class"], "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "label", "dim", F.col("v").alias("w"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "rep").alias("component_id"))
     found = good.join(told.withColumnsRenamed({"label": "label2", "dim": "dim2"}),

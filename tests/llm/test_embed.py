@@ -8,7 +8,8 @@ def brute(rows, threshold=0.93):
     good = {}
     for k, (i, v, label) in enumerate(rows):
         if i is not None and label is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
-            good[k] = np.array(v, np.float32).astype(float)
+            good[k] = np.array(v, float)
+            good[k] = good[k] / np.abs(good[k]).max()
     links = [(a, b) for a in good for b in good if a < b and rows[a][2] == rows[b][2] and len(good[a]) == len(good[b])
              and good[a] @ good[b] / np.linalg.norm(good[a]) / np.linalg.norm(good[b]) >= threshold]
     ids = {k: r[0] for k, r in enumerate(rows)}
@@ -26,8 +27,8 @@ def rows_of(seed, dim):
     return rows
 
 
-def got(spark, rows, **more):
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").selectExpr("*", "1 AS block", "'x' AS rep")
+def got(spark, rows, kind="float", **more):
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int").selectExpr("*", "1 AS block", "'x' AS rep")
     return sorted((tuple(r) for r in embed.near_duplicates(df, **more).collect()), key=str)
 
 
@@ -49,3 +50,9 @@ def test_odd_vectors(spark):
                    *((k, 0, k, True) for k in range(6, 13))], key=str)
     assert got(spark, rows) == want
     assert got(spark, rows[:0]) == []
+
+
+def test_doubles_of_any_size_and_ids_with_several_vectors(spark):
+    rows = [(1, [1e300, 0.0], 0), (2, [1e300, 1e299], 0), (3, [1e-60, 0.0], 0), (4, [0.0, 1e-60], 0), (5, [0.0, 1e-300], 0), (6, [1.0 + 1e-9, 1.0], 0),
+            (7, [0.0, -1.0], 1), (7, [1.0, 0.0], 1), (8, [1.0, 0.1], 1), (9, [0.0, -2.0], 1), (10, [0.1, -2.0], 1)]
+    assert got(spark, rows, "double") == brute(rows)
