@@ -29,7 +29,7 @@ from math import ceil, log2
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import arrow_map, checkpointed, fresh_path
@@ -51,8 +51,8 @@ def _name(page_id: int | None) -> str:
     return "null" if page_id is None else str(page_id)
 
 
-def record(kind: str, page_id: int | None, nth: int, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
-    """One WARC record; ``nth`` tells apart equal ids."""
+def record(kind: str, page_id: int | None, nth: int, url: str | None, payload: bytes, refers: tuple[int | None, int] | None, date: str) -> bytes:
+    """One WARC record; ``nth`` tells apart equal ids, and ``refers`` are a revisit's response's."""
     uri = (url or f"urn:page:{_name(page_id)}").replace("\r", "%0D").replace("\n", "%0A")
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http + payload if kind == "response" else http
@@ -62,7 +62,7 @@ def record(kind: str, page_id: int | None, nth: int, url: str | None, payload: b
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     if kind == "revisit":
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                 f"WARC-Refers-To: <urn:page:{_name(refers_to)}:0>", f"X-Payload-Length: {len(payload)}"]
+                 f"WARC-Refers-To: <urn:page:{_name(refers[0])}:{refers[1]}>", f"X-Payload-Length: {len(payload)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -119,14 +119,20 @@ class _Files:
 
 
 def plan(pages: DataFrame, min_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """(page_id, sum, n) of every record, computed once; and (page_id, sum, refers_to) of those that revisit a larger id."""
+    """(page_id, sum, n) of every record, computed once; and (page_id, sum, refers_to, refers_nth) of those that revisit a larger id."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     small = checkpointed(pages.select(F.col("page_id"), F.unhex(F.sha2(payload, 256)).alias("sum"), F.octet_length(payload).cast("long").alias("n")))
     best = small.where(F.col("n") >= min_bytes).groupBy("sum").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies")) \
         .where("copies > 1").select("sum", "refers_to")
     # a hot payload's rows are many on one side of this inner join only: AQE splits them
     later = small.join(best, "sum").where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
-    return small, later.select("page_id", "sum", "refers_to").distinct()
+    # a response of a page with several payloads has a number: as many records of its page come before it
+    several = small.groupBy("page_id").agg(F.count("*").alias("rows")).where("rows > 1").select("page_id")
+    before = Window.partitionBy("page_id").orderBy("sum").rowsBetween(Window.unboundedPreceding, -1)
+    numbers = small.join(several, "page_id").groupBy("page_id", "sum").agg(F.count("*").alias("rows")) \
+        .select(F.col("page_id").alias("refers_to"), "sum", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("refers_nth"))
+    later = later.select("page_id", "sum", "refers_to").distinct().join(numbers, ["refers_to", "sum"], "left")
+    return small, later.select("page_id", "sum", "refers_to", F.coalesce("refers_nth", F.lit(0)).cast("long").alias("refers_nth"))
 
 
 def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, roll_bytes: int = ROLL_BYTES,
@@ -142,36 +148,37 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, roll_bytes: in
     group = F.floor(F.col("page_id") / F.lit(width)).cast("long").alias("part")
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(group, "page_id", F.unhex(F.sha2(payload.cast("binary"), 256)).alias("sum"), F.lit(1).alias("kind"),
-                        "url", F.lit(None).cast("long").alias("refers_to"), payload.alias("html"))
+                        "url", F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("long").alias("refers_nth"), payload.alias("html"))
     told = later.select(group, "page_id", "sum", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
-                        "refers_to", F.lit(None).cast("string").alias("html"))
+                        "refers_to", "refers_nth", F.lit(None).cast("string").alias("html"))
     dealt = rows.unionByName(told).repartition("part").sortWithinPartitions("part", "page_id", "sum", "kind", "url")
     location, places = pafs.FileSystem.from_uri(folder)
     location.create_dir(places, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, part, seen, nth, target, first = _Files(folder, roll_bytes, date), (), None, 0, None, True
+        files, part, seen, nth, target, own = _Files(folder, roll_bytes, date), (), None, 0, None, None
         for batch in batches:
             for k in range(batch.num_rows):
-                p, page, checksum, kind, url, refers, html = (c[k].as_py() for c in batch.columns)
+                p, page, checksum, kind, url, refers, refers_nth, html = (c[k].as_py() for c in batch.columns)
                 if part != (p,):
                     part = (p,)
                     files.start(f"pages-{'null' if p is None else f'{p:+020d}'}")
                 if seen is None or seen[0] != page:
                     nth = 0
                 if seen != (page, checksum):
-                    seen, target, first = (page, checksum), None, True
+                    seen, target, own = (page, checksum), None, None
                 if kind == 0:
-                    target = refers
+                    target = refers, refers_nth
                     continue
                 data = html.encode()
                 if target is not None:
                     files.add(record("revisit", page, nth, url, data, target, date))
-                elif first or len(data) < min_bytes:
+                elif own is None or len(data) < min_bytes:
                     files.add(record("response", page, nth, url, data, None, date))
+                    own = nth
                 else:
-                    files.add(record("revisit", page, nth, url, data, page, date))
-                first, nth = False, nth + 1
+                    files.add(record("revisit", page, nth, url, data, (page, own), date))
+                nth += 1
         files.close()
         if files.done:
             yield pa.RecordBatch.from_arrays(
@@ -219,6 +226,8 @@ def _id(urn: str) -> int | None:
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """One row per page record of the files that the manifest names; lengths and digests are checked."""
     manifest = spark.read.parquet(f"{folder}/_manifest").select("file", "records")
+    # a number of its own, as the manifest's size says nothing of the files'
+    tasks = max(1, min(manifest.count(), 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                         ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
 
@@ -250,7 +259,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return arrow_map(manifest.repartition("file"), run, ROW_SCHEMA)
+    return arrow_map(manifest.repartitionByRange(tasks, "file"), run, ROW_SCHEMA)
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:

@@ -65,3 +65,28 @@ def test_empty_table(spark, tmp_dir):
     folder = f"file://{tmp_dir}/e"
     warc.write_warc(frame(spark, PAGES[:1]).where("false"), folder)
     assert warc.read_warc(spark, folder).collect() == []
+
+
+def test_revisits_name_the_record_of_their_payload(spark, tmp_dir):
+    """A page with several payloads has numbered records."""
+    pages = [(5, "u", "aaa"), (5, "u", "bbb"), (5, "u", "bbb"), (1, "v", "aaa"), (2, "w", "bbb"), (3, "x", "ccc"), (5, "u", "ccc")]
+    folder = f"{tmp_dir}/w"
+    manifest = warc.write_warc(frame(spark, pages), f"file://{folder}")
+    digests, refers = {}, []
+    for row in manifest.collect():
+        with open(f"{folder}/{row.file}", "rb") as f:
+            for data in warc.members(f):
+                fields, _ = warc.parsed(data)
+                if fields["WARC-Type"] == "response":
+                    digests[fields["WARC-Record-ID"]] = fields["WARC-Payload-Digest"]
+                elif fields["WARC-Type"] == "revisit":
+                    refers.append((fields["WARC-Refers-To"], fields["WARC-Payload-Digest"]))
+    assert len(refers) == 4 and all(digests[r] == d for r, d in refers)
+
+
+def test_read_back_in_many_tasks(spark, tmp_dir):
+    pages = [(k, "u", f"{k} " * 300) for k in range(300)]
+    warc.write_warc(frame(spark, pages), f"file://{tmp_dir}/m", roll_bytes=100, range_bytes=4000)
+    from pyspark.sql import functions as F
+    read = warc.read_warc(spark, f"file://{tmp_dir}/m")
+    assert read.groupBy(F.spark_partition_id()).count().count() > 20
