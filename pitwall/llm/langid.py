@@ -45,13 +45,14 @@ def in_fold(id_col: Column, folds: int, held: int) -> Column:
 
 
 def letters(text: str) -> Iterator[list[str]]:
-    """The words of a text, in lists of bounded size."""
+    """The words of a text, in lists of bounded size; texts of any length are lower-cased first, then cut."""
+    text = text.lower()
     if len(text) <= STRETCH:
-        yield LETTERS.findall(text.lower())
+        yield LETTERS.findall(text)
         return
     found = []
     for m in LETTERS.finditer(text):
-        found.append(m.group().lower())
+        found.append(m.group())
         if len(found) >= STRETCH // 8:
             yield found
             found = []
@@ -132,7 +133,8 @@ class Model:
             total, types = (np.array([sums.get((k, lang), (0, 0))[j] for lang in langs], float) for j in (0, 1))
             self.tables[k] = {e: np.log((c + 0.5) / (total + 0.5 * (types + 1))) for e, c in own.items()}
         self.nothing = np.zeros(len(langs))
-        self.kept: dict[str, np.ndarray] = {}
+        self.kept: dict[str, int] = {}
+        self.rows = np.empty((KEPT_WORDS, len(langs)))
 
     def word(self, word: str) -> np.ndarray:
         known = self.tables[0].get(word)
@@ -145,19 +147,39 @@ class Model:
                 return sum(found) / len(found)
         return self.nothing
 
+    def evidence(self, words: list[str]) -> np.ndarray:
+        """A row for each of at most ``KEPT_WORDS`` different words; known ones are taken from the kept rows."""
+        at = [self.kept.get(w, -1) for w in words]
+        new = at.count(-1)
+        if len(self.kept) + new > KEPT_WORDS:
+            self.kept.clear()
+            at, new = [-1] * len(words), len(words)
+        if not new:
+            return self.rows[at]
+        free, long = len(self.kept), {}
+        for k, w in enumerate(words):
+            if at[k] < 0:
+                if len(w) > KEPT_LETTERS:
+                    long[k] = self.word(w)
+                    at[k] = 0
+                    continue
+                self.kept[w] = at[k] = free
+                self.rows[free] = self.word(w)
+                free += 1
+        out = self.rows[at]
+        for k, v in long.items():
+            out[k] = v
+        return out
+
     def predict(self, text: str | None) -> tuple[str, float]:
         total, n = self.nothing.copy(), 0
         for found in letters(text or ""):
-            for word, c in Counter(found).items():
-                v = self.kept.get(word)
-                if v is None:
-                    v = self.word(word)
-                    if len(word) <= KEPT_LETTERS:
-                        if len(self.kept) >= KEPT_WORDS:
-                            self.kept.clear()
-                        self.kept[word] = v
-                total += v if c == 1 else v * c
-                n += c
+            counts = Counter(found)
+            words = list(counts)
+            for k in range(0, len(words), KEPT_WORDS):
+                part = words[k:k + KEPT_WORDS]
+                total += np.fromiter(map(counts.__getitem__, part), float, len(part)) @ self.evidence(part)
+            n += len(found)
         if not n or not self.langs:
             return UNKNOWN, 0.0
         mean = total / math.sqrt(n)

@@ -162,3 +162,22 @@ def test_every_form_of_a_rule_passes_the_prefilter():
 def test_labels_of_forms_without_the_first_keyword(text, labels):
     assert license.scan(text.encode())[5] == labels
     assert license.scan(text.encode())[6] > 0
+
+
+def test_language_words_are_cut_alike_at_every_size(monkeypatch):
+    text = "\u0130stanbul I\u0307zmir \u03a3\u0391\u03a3 Stra\u00dfe " * 3
+    whole = [w for part in langid.letters(text) for w in part]
+    monkeypatch.setattr(langid, "STRETCH", 16)
+    assert [w for part in langid.letters(text) for w in part] == whole
+
+
+def test_language_evidence_of_kept_and_long_words(monkeypatch):
+    rows = [(0, "ab", "x", 5), (0, "cd", "y", 3), (1, "a", "x", 9), (1, "c", "y", 9), (1, "z", "y", 2)]
+    sums = {(0, "x"): (5, 1), (0, "y"): (3, 1), (1, "x"): (9, 1), (1, "y"): (11, 2)}
+    text = "ab cd " + "z" * 150 + " aa cc ab ad"
+    whole = langid.Model(["x", "y"], rows, sums)
+    monkeypatch.setattr(langid, "KEPT_WORDS", 3)
+    few = langid.Model(["x", "y"], rows, sums)
+    a, b = whole.predict(text), few.predict(text)
+    assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-12
+    assert abs(whole.evidence(["z" * 150])[0] - whole.word("z" * 150)).max() == 0
