@@ -11,3 +11,5 @@ from pitwall.operators.scope import (  # noqa: F401
 from pitwall.operators.series import (  # noqa: F401
     Series, fill, first, lag, last, lead, ordinal, profile, resolve, rolling, row_number, running, whole,
 )
+from pitwall.operators.skew import skew_join  # noqa: F401
+from pitwall.operators.topn import ranks, top_n  # noqa: F401

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitwall.functions.exprs import epoch_seconds
-from pitwall.operators.series import Series, fill
+from pitwall.operators.series import Series, _bounded, fill
+from pitwall.operators.skew import skew_join
+from pitwall.session import HOT_KEY_ROWS, conf_int, ensure_checkpoint_dir
 
 
 def _right_side(right: DataFrame, keys, right_cols: dict, extra: dict) -> DataFrame:
@@ -32,57 +34,88 @@ def _key_match(left: DataFrame, right: DataFrame, keys):
 
 def join_on_time_bucket(left: DataFrame, right: DataFrame, keys, left_ts: str = "date", right_ts: str = "date",
                         right_cols: dict | None = None, seconds: int = 1, bucket_col: str = "date_sec",
-                        how: str = "left") -> DataFrame:
+                        how: str = "left", hot_rows: int | None = None) -> DataFrame:
     """Equi-join on (keys, whole ``seconds``-wide time bucket), n:m within a bucket.
 
     ``bucket_col`` (floor(epoch / seconds)) is kept on the output. The bucket is
     part of the join key, so a hot driver is spread over as many partitions as
-    it has seconds, and AQE can split a skewed left partition. Both sides are
-    large here, so unlike ``proximity_join`` (small left side) there is no
-    separate anti-join pass, which would shuffle the left side a second time.
+    it has seconds; a bucket that is hot on either side (more than ``hot_rows``
+    rows, counted first) is dealt over cells by ``skew_join``, in the same join.
     """
     right_cols = right_cols or {}
     l = left.withColumn(bucket_col, F.floor(epoch_seconds(left_ts) / seconds))
     r = right.select(*keys, F.floor(epoch_seconds(right_ts) / seconds).alias(bucket_col),
                      *[F.col(s).alias(d) for s, d in right_cols.items()])
-    return l.join(r, [*keys, bucket_col], how)
+    if how not in ("left", "inner"):
+        return l.join(r, [*keys, bucket_col], how)
+    return skew_join(l, r, [*keys, bucket_col], how, hot_rows)
 
 
 def proximity_join(left: DataFrame, right: DataFrame, keys, tol_seconds: int, left_ts: str = "date",
-                   right_ts: str = "date", right_cols: dict | None = None, how: str = "left") -> DataFrame:
+                   right_ts: str = "date", right_cols: dict | None = None, how: str = "left",
+                   hot_rows: int | None = None) -> DataFrame:
     """Left rows joined to right rows of the same keys with |dt| < tol whole seconds, strict.
 
     Bucket width is 2*tol. A left row sits in one bucket; each right row is
     copied to the (at most two) buckets whose left rows it can match, so every
-    matching pair meets exactly once.
-
-    For ``how="left"`` the matches are an *inner* join (AQE may split a skewed
-    partition on either side) and the left rows without any match come from a
-    left-anti join against the right side's distinct (keys, second, bucket)
-    rows, at most 2*tol per key and bucket however hot the key is. Their union
-    is exactly the residual left outer join.
+    matching pair meets exactly once, and a left row sees all its candidates in
+    one place: one outer join with the time test as its residual gives the
+    matches and the unmatched rows, and each side is read once.
+
+    A right bucket of more than ``hot_rows`` rows (counted first; default: the
+    session's hot-key bound) would overload that join's task, which AQE cannot
+    split on the right of an outer join. Left rows of such buckets take a second
+    route: an inner join, their parts dealt by ``skew_join``, and the rows
+    without a match from an anti-join against the bucket's distinct seconds (at
+    most 4*tol). The other rows stay on the one join.
     """
+    if how not in ("left", "inner"):
+        raise ValueError("proximity_join supports how='left' or 'inner'")
     right_cols = right_cols or {}
     w = 2 * tol_seconds
+    rkeys = [f"_r_{k}" for k in keys]
+    lcols = left.columns
     l = left.withColumn("_ls", epoch_seconds(left_ts)).withColumn("_lb", F.floor(F.col("_ls") / w))
     r = _right_side(right, keys, right_cols, {"_rs": epoch_seconds(right_ts)})
     r = r.withColumn("_rb", F.explode(F.array_distinct(F.array(
         F.floor((F.col("_rs") - tol_seconds + 1) / w), F.floor((F.col("_rs") + tol_seconds - 1) / w)))))
+    bound = hot_rows or conf_int(left.sparkSession, HOT_KEY_ROWS)
+    sizes = r.groupBy(*rkeys, "_rb").count().filter(F.col("count") > bound).drop("count")
+    outcols = [*lcols, *right_cols.values()]
 
     def cond(lf, rf):
         return _key_match(lf, rf, keys) & (lf["_lb"] == rf["_rb"]) & (F.abs(lf["_ls"] - rf["_rs"]) < tol_seconds)
 
-    helpers = ["_ls", "_lb", "_rs", "_rb", *[f"_r_{k}" for k in keys]]
-    matched = l.join(r, cond(l, r), "inner").drop(*helpers)
+    if not sizes.head(1):
+        return l.join(r, cond(l, r), how).select(*[l[c] for c in lcols], *[r[c] for c in right_cols.values()])
+
+    ensure_checkpoint_dir(left.sparkSession)
+    hot = sizes.checkpoint(eager=True)
+    hot = _bounded(hot, hot.count())
+    lhot = hot.select(*[F.col(c).alias(f"_h{c}") for c in [*rkeys, "_rb"]])
+
+    def in_hot(lf):
+        c = lf["_lb"] == lhot["_h_rb"]
+        for k in keys:
+            c = c & (lf[k] == lhot[f"_h_r_{k}"])
+        return c
+
+    cold, crowded = l.join(lhot, in_hot(l), "left_anti"), l.join(lhot, in_hot(l), "left_semi")
+    quiet = r.join(hot, [*rkeys, "_rb"], "left_anti")
+    calm = cold.join(quiet, cond(cold, quiet), how).select(*[cold[c] for c in lcols], *[quiet[c] for c in right_cols.values()])
+
+    on = [*[f"_k_{k}" for k in keys], "_b"]
+    lc = crowded.withColumns({**{f"_k_{k}": F.col(k) for k in keys}, "_b": F.col("_lb")})
+    rc = r.join(hot, [*rkeys, "_rb"], "left_semi").select(*[F.col(f"_r_{k}").alias(f"_k_{k}") for k in keys], F.col("_rb").alias("_b"),
+                                                           "_rs", *right_cols.values())
+    matched = skew_join(lc, rc, on, "inner", bound).filter(F.abs(F.col("_ls") - F.col("_rs")) < tol_seconds).select(*outcols)
     if how == "inner":
-        return matched
-    if how != "left":
-        raise ValueError("proximity_join supports how='left' or 'inner'")
-    seconds = r.select(*[f"_r_{k}" for k in keys], "_rs", "_rb").distinct()
-    alone = l.join(seconds, cond(l, seconds), "left_anti").drop("_ls", "_lb")
+        return calm.unionByName(matched)
+    seconds = r.join(hot, [*rkeys, "_rb"], "left_semi").select(*rkeys, "_rs", "_rb").distinct()
+    alone = crowded.join(seconds, cond(crowded, seconds), "left_anti").select(*lcols)
     for src, dst in right_cols.items():
         alone = alone.withColumn(dst, F.lit(None).cast(right.schema[src].dataType))
-    return matched.unionByName(alone)
+    return calm.unionByName(matched).unionByName(alone)
 
 
 def containment_join(left: DataFrame, right: DataFrame, keys, x: str, lo: str, hi: str,

@@ -12,18 +12,18 @@ Two physical strategies compute the same values:
     task's work, which is right while groups are bounded.
 
 ``split``
-    For hot keys (one key may hold a large share of all rows). Rows get a
-    distributed ordinal ``rn`` (from time sub-buckets of about ``C`` rows, or,
-    for bursts and non-numeric orders, from a range partitioning on keys +
-    order), are cut into chunks of ``C`` rows, and each
-    chunk is evaluated as its own window partition with a halo of the
-    neighbouring chunks' boundary rows. Bounded frames (rolling, lag, lead) are
-    exact and see the rows in the same order as the ``window`` strategy, so
-    sums over a frame are bit-identical. Running aggregates and fills are
-    two-level: a local result per chunk plus a carry from earlier chunks,
-    computed over the chunk table (rows / C rows). Whole-group values are a
-    partially aggregated ``groupBy`` joined back (broadcast under a row bound,
-    otherwise a shuffle join that AQE splits when skewed).
+    For hot keys (one key may hold a large share of all rows). A key is cut into
+    *stretches* of about ``C`` consecutive rows: time sub-buckets, or, for bursts
+    and non-numeric orders, parts of a range partitioning on keys + order. One
+    aggregate per stretch holds its number of rows and, for every requested
+    column, its sum, extremum, first, last or last non-null value; it is kept
+    in the checkpoint folder (rows / C rows), and one prefix over it serves the
+    ordinal, the carries of running values and fills, and whole-group values
+    together. The rows are then read once: they take their stretch's prefix by a
+    join and complete it with a window inside the stretch. Bounded frames
+    (rolling, lag, lead) see chunks of ``C`` rows by ordinal with a halo of the
+    neighbouring chunks' boundary rows, in the order of the ``window`` strategy,
+    so sums over a frame are bit-identical.
 
 ``auto`` (default) profiles the key sizes first (one aggregation job) and picks
 ``window`` unless the largest group exceeds ``spark.pitwall.series.hotKeyRows``;
@@ -35,17 +35,19 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, FloatType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType, NumericType, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
 
+from pitwall.operators.scope import BROADCAST_BYTES, row_width
 from pitwall.session import BROADCAST_ROWS, CHUNK_ROWS, HOT_KEY_ROWS, ORDINAL, RANGE_ROWS, conf_int, ensure_checkpoint_dir
 
 _AGG = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 _LAST = (1 << 63) - 1   # sub-bucket of NaN, which sorts last
 # names of the split route's own columns
-RESERVED = {"_rn", "_ck", "_cc", "_sb", "_off", "_t", "_t0", "_w", "_mid", "_m0", "_pid"}
+RESERVED = {"_rn", "_ck", "_cc", "_sb", "_off", "_t", "_t0", "_w", "_mid", "_l", "_n"}
 _UNB_P, _UNB_F = Window.unboundedPreceding, Window.unboundedFollowing
 
 
@@ -155,7 +157,7 @@ class Series:
         if taken:
             raise ValueError(f"the series operators use these column names themselves: {sorted(taken)}")
         s = self.checked(df)
-        stages = _stages(specs)
+        stages = _stages(df, specs)
         if s.strategy == "window":
             for st in stages:
                 df = _window_path(df, s, st)
@@ -165,11 +167,24 @@ class Series:
         return _split_stages(df, s, stages)
 
 
-def _stages(specs: dict) -> list:
+def _refers(df: DataFrame, c, name: str, specs: dict) -> bool:
+    """Does a spec's column (a name or an expression) need the column ``name``? An expression does if it cannot be resolved without."""
+    if not isinstance(c, Column):
+        return c == name
+    others = [F.lit(None).alias(o) for o in specs if o != name and o not in df.columns]
+    try:
+        df.select(*[F.col(f"`{o}`") for o in df.columns if o != name], *others).select(c)
+    except AnalysisException as e:
+        return (e.getCondition() or "").startswith("UNRESOLVED_COLUMN")
+    return False
+
+
+def _stages(df: DataFrame, specs: dict) -> list:
+    """Specs in the order in which they can be computed; one that reads another one's column comes after it."""
+    needs = {n: {o for o in specs if o != n and _refers(df, sp.col, o, specs)} for n, sp in specs.items()}
     pending, stages = dict(specs), []
     while pending:
-        ready = {n: sp for n, sp in pending.items()
-                 if not (isinstance(sp.col, str) and sp.col in pending and sp.col != n)}
+        ready = {n: sp for n, sp in pending.items() if not needs[n] & pending.keys()}
         if not ready:
             raise ValueError("specs refer to each other in a cycle")
         stages.append(ready)
@@ -322,8 +337,14 @@ def _window_path(df: DataFrame, s: Series, specs: dict) -> DataFrame:
 
 
 def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a side whose row count is known to be under the session bound."""
-    return F.broadcast(df) if rows <= conf_int(df.sparkSession, BROADCAST_ROWS) else df
+    """Broadcast a side whose row count is known to be under the session bound, in rows and in bytes."""
+    return F.broadcast(df) if rows <= min(conf_int(df.sparkSession, BROADCAST_ROWS), BROADCAST_BYTES // row_width(df)) else df
+
+
+def _pinned(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the cluster's checkpoint folder; survives lost executors."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def ordinal(df: DataFrame, keys, order, name: str = "_rn", prof: Profile | None = None,
@@ -333,28 +354,31 @@ def ordinal(df: DataFrame, keys, order, name: str = "_rn", prof: Profile | None
     ``spark.pitwall.series.ordinal``: ``auto`` (default) tries the time route and
     falls back to the range route; ``time`` / ``range`` force one.
     """
-    spark = df.sparkSession
-    prof = prof or profile(df, keys)
-    mode = spark.conf.get(ORDINAL, "auto")
-    if mode != "range" and order:
-        out = _time_ordinal(df, keys, order, name, prof, chunk or conf_int(spark, CHUNK_ROWS), strict=mode == "time")
-        if out is not None:
-            return out
-    return _range_ordinal(df, keys, order, name, prof)
+    s = Series(tuple(keys), tuple(order), "split", chunk, prof or profile(df, keys))
+    return _split_path(df, s, {name: row_number()})
+
 
+def _cut(df: DataFrame, s: "Series", prof: Profile, chunk: int, summed) -> tuple[DataFrame, DataFrame, int]:
+    """``df`` with its stretches ``_sb`` (ascending in the order within a key), the table of stretches, and its number of rows."""
+    mode = df.sparkSession.conf.get(ORDINAL, "auto")
+    rows = _time_cut(df, s.keys, s.order, prof, chunk) if mode != "range" and s.order else None
+    if rows is not None:
+        table, n, biggest = summed(rows)
+        if biggest <= 4 * chunk or mode == "time":
+            return rows, table, n
+    rows = _range_cut(df, s.keys, s.order, prof)
+    return rows, *summed(rows)[:2]
 
-def _time_ordinal(df: DataFrame, keys, order, name: str, prof: Profile, chunk: int, strict: bool):
-    """Ordinal from time sub-buckets: deterministic, no sampling, no materialisation.
+
+def _time_cut(df: DataFrame, keys, order, prof: Profile, chunk: int):
+    """Stretches from time sub-buckets: deterministic, no sampling, rows are not written.
 
     The first ordering column (a time or a number) cuts each key into
     sub-buckets of width (span * C / rows), about C rows each when the key is
-    sampled at a steady rate. Per-(key, sub-bucket) counts give offsets (prefix
-    over the small counts table); a ``row_number`` inside each sub-bucket (a
-    window partition of about C rows) completes the ordinal. Every step is a
-    function of the data, so branches that re-read it agree, provided the order
-    is total. Returns None (caller falls back to the range route) when the
-    first ordering column is not a time or number, or when a burst puts more
-    than 4*C rows into one sub-bucket (checked on the counts, one small job).
+    sampled at a steady rate (a burst shows in their table, and takes the range
+    route). Every step is a function of the data, so branches that re-read it
+    agree, provided the order is total. None when the first ordering column is
+    not a time or number.
     """
     first = order[0]
     if not isinstance(first, str) or first not in df.columns:
@@ -378,51 +402,27 @@ def _time_ordinal(df: DataFrame, keys, order, name: str, prof: Profile, chunk: i
     tdf = df.withColumn("_t", t)
     stats = tdf.groupBy(*keys).agg(F.min("_t").alias("_t0"), F.max("_t").alias("_t1"), F.count(F.lit(1)).alias("_kn"))
     width = F.greatest(F.lit(1.0), F.ceil((F.col("_t1") - F.col("_t0") + 1) * float(chunk) / F.col("_kn")).cast("double"))
-    stats = stats.select(*keys, "_t0", width.alias("_w"))
+    stats = _pinned(stats.select(*keys, "_t0", width.alias("_w")))
     sub = _join_back(tdf, stats, keys, prof.groups)
-    sub = sub.withColumn("_sb", F.coalesce(special, F.floor((F.col("_t") - F.col("_t0")) / F.col("_w")),
-                                           F.lit(-2).cast("bigint"))).drop("_t", "_t0", "_w")
-    counts = sub.groupBy(*keys, "_sb").agg(F.count(F.lit(1)).alias("_nb"))
-    biggest = counts.agg(F.max("_nb")).first()[0] or 0
-    if biggest > 4 * chunk and not strict:
-        return None
-    before = Window.partitionBy(*keys).orderBy("_sb").rowsBetween(_UNB_P, -1)
-    offsets = counts.select(*keys, "_sb", F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_off"))
-    numbered = _join_back(sub, offsets, [*keys, "_sb"], prof.rows // max(chunk, 1) + 2 * prof.groups + 1)
-    local = F.row_number().over(Window.partitionBy(*keys, "_sb").orderBy(*order))
-    return numbered.withColumn(name, F.col("_off") + local).drop("_sb", "_off")
+    return sub.withColumn("_sb", F.coalesce(special, F.floor((F.col("_t") - F.col("_t0")) / F.col("_w")),
+                                            F.lit(-2).cast("bigint"))).drop("_t", "_t0", "_w")
 
 
-def _range_ordinal(df: DataFrame, keys, order, name: str, prof: Profile) -> DataFrame:
-    """Ordinal from a range partitioning (any orderable columns, any distribution).
+def _range_cut(df: DataFrame, keys, order, prof: Profile) -> DataFrame:
+    """Stretches from a range partitioning (any orderable columns, any distribution).
 
     Rows are range-partitioned on (keys, order) into ``P`` partitions with an
     explicit count, so AQE keeps the partitioning, and a hot key lands in many
-    partitions. Within a partition rows are sorted and numbered with
-    ``monotonically_increasing_id`` (partition index in the high bits). The
-    numbered rows are written with a reliable ``checkpoint`` to the cluster's
-    checkpoint folder: the per-(partition, key) offsets and the rows must see
-    one physical partitioning, and a checkpoint also survives executor loss.
-    The offsets table has at most P + groups rows and is broadcast under the
-    row bound.
+    partitions; a partition's rows of a key are a stretch. The rows are written
+    with a reliable ``checkpoint`` to the cluster's checkpoint folder: the table
+    of stretches and the rows must see one physical partitioning.
     """
     spark = df.sparkSession
     per_part = conf_int(spark, RANGE_ROWS)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(prof.rows / per_part))
-    ensure_checkpoint_dir(spark)
     sort_cols = [*keys, *order]
-    numbered = (df.repartitionByRange(parts, *sort_cols)
-                .sortWithinPartitions(*sort_cols)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
-    spans = (numbered.groupBy(F.shiftright("_mid", 33).alias("_pid"), *keys)
-             .agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n")))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(_UNB_P, -1)
-    spans = spans.select("_pid", *keys, "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = (_join_back(numbered.withColumn("_pid", F.shiftright("_mid", 33)), spans, ["_pid", *keys],
-                      parts + prof.groups)
-           .withColumn(name, F.col("_mid") - F.col("_m0") + F.col("_off") + 1))
-    return out.drop("_pid", "_mid", "_m0", "_off")
+    return _pinned(df.repartitionByRange(parts, *sort_cols).sortWithinPartitions(*sort_cols)
+                   .withColumn("_sb", F.spark_partition_id().cast("bigint")))
 
 
 def _join_back(left: DataFrame, right: DataFrame, on: list, rows: int) -> DataFrame:
@@ -437,111 +437,135 @@ def _join_back(left: DataFrame, right: DataFrame, on: list, rows: int) -> DataFr
     return left.join(r, cond, "left").drop(*[f"_j_{c}" for c in on])
 
 
+def _partials(df: DataFrame, specs: dict, at) -> dict:
+    """What the table of stretches holds for the specs; ``at`` orders the rows of a stretch."""
+    out = {}
+    for name, sp in specs.items():
+        c = _col(sp.col) if sp.col is not None else None
+        if sp.kind == "whole" and sp.fn == "avg":
+            fractional = isinstance(df.select(c.alias("c")).schema["c"].dataType, DecimalType)
+            out[f"_s_{name}"] = F.sum(c if fractional else c.cast("double"))
+            out[f"_p_{name}"] = F.count(c)
+        elif sp.kind in ("running", "whole"):
+            out[f"_p_{name}"] = _AGG[sp.fn](c)
+        elif sp.kind == "fill_fwd":
+            out[f"_p_{name}"] = F.max_by(c, F.when(c.isNotNull(), at))
+        elif sp.kind == "fill_bwd":
+            out[f"_p_{name}"] = F.min_by(c, F.when(c.isNotNull(), at))
+        elif sp.kind == "first":
+            out[f"_p_{name}"] = F.min_by(c, at)
+        elif sp.kind == "last":
+            out[f"_p_{name}"] = F.max_by(c, at)
+    return out
+
+
+def _prefix(table: DataFrame, df: DataFrame, keys: list, specs: dict) -> DataFrame:
+    """Of every stretch: the rows before it, and each spec's carry (running values, fills) or group value."""
+    part = Window.partitionBy(*keys)
+    ahead = part.orderBy("_sb")
+    before, whole_ = ahead.rowsBetween(_UNB_P, -1), ahead.rowsBetween(_UNB_P, _UNB_F)
+    after = part.orderBy(F.col("_sb").desc()).rowsBetween(_UNB_P, -1)
+    cols = [F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
+    for name, sp in specs.items():
+        p = F.col(f"_p_{name}")
+        if sp.kind == "running":
+            e = _AGG["sum" if sp.fn == "count" else sp.fn](p).over(before)
+        elif sp.kind == "fill_fwd":
+            e = F.last(p, ignorenulls=True).over(before)
+        elif sp.kind == "fill_bwd":
+            e = F.last(p, ignorenulls=True).over(after)
+        elif sp.kind == "first":
+            e = F.first(p).over(whole_)
+        elif sp.kind == "last":
+            e = F.last(p).over(whole_)
+        elif sp.kind == "whole" and sp.fn == "avg":
+            result = df.select(F.avg(_col(sp.col)).alias("a")).schema["a"].dataType
+            n = F.sum(p).over(part)
+            e = F.when(n > 0, F.sum(f"_s_{name}").over(part) / n).cast(result)
+        elif sp.kind == "whole":
+            e = _AGG["sum" if sp.fn == "count" else sp.fn](p).over(part)
+        else:
+            continue
+        cols.append(e.alias(f"_c_{name}"))
+    return table.select(*keys, "_sb", *cols)
+
+
 def _split_path(df: DataFrame, s: Series, specs: dict, keep_rn: bool = False) -> DataFrame:
     spark = df.sparkSession
     prof = s.profile or profile(df, s.keys)
     keys = list(s.keys)
-    if all(sp.kind == "whole" for sp in specs.values()):
-        per_key = df.groupBy(*keys).agg(*[_AGG[sp.fn](_col(sp.col)).alias(n) for n, sp in specs.items()])
-        out = _join_back(df, per_key, keys, prof.groups)
-        return out if keep_rn or "_rn" not in out.columns else out.drop("_rn")
-    bounded = [sp for sp in specs.values() if sp.kind in ("rolling", "lag", "lead")]
-    a = max([sp.lo for sp in bounded], default=0)
-    b = max([sp.hi for sp in bounded], default=0)
+    if all(sp.kind == "whole" for sp in specs.values()) and "_sb" not in df.columns and not keep_rn:
+        per_key = _pinned(df.groupBy(*keys).agg(*[_AGG[sp.fn](_col(sp.col)).alias(n) for n, sp in specs.items()]))
+        return _join_back(df, per_key, keys, prof.groups)
+    bounded = {n: sp for n, sp in specs.items() if sp.kind in ("rolling", "lag", "lead")}
+    a = max([sp.lo for sp in bounded.values()], default=0)
+    b = max([sp.hi for sp in bounded.values()], default=0)
     C = max(s.chunk_rows or conf_int(spark, CHUNK_ROWS), a, b, 1)
 
-    # an earlier stage of the same call left its ordinal on the rows: reuse it
-    base = df if "_rn" in df.columns else ordinal(df, keys, s.order, "_rn", prof, C)
-    base = base.withColumn("_ck", F.floor((F.col("_rn") - 1) / C))
-    pos = (F.col("_rn") - 1) % C
-    copies = [F.col("_ck")]
-    if a > 0:   # my tail is the preceding halo of the next chunk
-        copies.append(F.when(pos >= C - a, F.col("_ck") + 1))
-    if b > 0:   # my head is the following halo of the previous chunk
-        copies.append(F.when((pos < b) & (F.col("_ck") > 0), F.col("_ck") - 1))
-    ex = base.withColumn("_cc", F.explode(F.array_compact(F.array(*copies))))
-    home = F.col("_cc") == F.col("_ck")
-    w = Window.partitionBy(*keys, "_cc").orderBy("_rn")
-
-    cols, carries, wholes = {}, {}, {}
+    def summed(rows: DataFrame):
+        at = F.col("_rn") if "_rn" in rows.columns else F.struct(*[_col(c).alias(f"o{k}") for k, c in enumerate(s.order)])
+        extra = [e.alias(n) for n, e in _partials(df, specs, at).items()]
+        table = _pinned(rows.groupBy(*keys, "_sb").agg(F.count(F.lit(1)).alias("_n"), *extra))
+        n, biggest = table.agg(F.count(F.lit(1)), F.max("_n")).first()
+        return table, n, biggest or 0
+
+    if "_sb" in df.columns:     # an earlier stage of the same call left its stretches and ordinal on the rows
+        rows, (table, n, _) = df, summed(df)
+    else:
+        rows, table, n = _cut(df, s, prof, C, summed)
+    base = _join_back(rows, _prefix(table, df, keys, specs), [*keys, "_sb"], n)
+
+    # inside a stretch: the ordinal, running values and fills, completed by what comes before (or after) it
+    numbered = "_rn" in rows.columns
+    order = ["_rn"] if numbered else list(s.order)
+    inner = Window.partitionBy(*keys, "_sb")
+    upto, back = inner.orderBy(*order).rowsBetween(_UNB_P, 0), inner.orderBy(*_reversed(order)).rowsBetween(_UNB_P, 0)
+    local = {}
+    if not numbered and (bounded or keep_rn or any(sp.kind == "row_number" for sp in specs.values())):
+        local["_l"] = F.row_number().over(inner.orderBy(*order))
     for name, sp in specs.items():
-        c = _col(sp.col) if sp.col is not None else None
-        if sp.kind == "rolling":
-            cols[name] = _AGG[sp.fn](c).over(w.rowsBetween(-sp.lo, sp.hi))
-        elif sp.kind == "lag":
-            cols[name] = F.lag(c, sp.lo).over(w)
-        elif sp.kind == "lead":
-            cols[name] = F.lead(c, sp.hi).over(w)
-        elif sp.kind == "row_number":
-            cols[name] = F.col("_rn").cast("int")
+        if sp.kind == "running":
+            local[f"_v_{name}"] = _AGG[sp.fn](_col(sp.col)).over(upto)
+        elif sp.kind in ("fill_fwd", "fill_bwd"):
+            local[f"_v_{name}"] = F.last(_col(sp.col), ignorenulls=True).over(upto if sp.kind == "fill_fwd" else back)
+    out = base.withColumns(local) if local else base
+    if "_l" in local:
+        out = out.withColumn("_rn", F.col("_off") + F.col("_l")).drop("_l")
+    done = {}
+    for name, sp in specs.items():
+        own, carry = F.col(f"_v_{name}"), F.col(f"_c_{name}")
+        if sp.kind == "running" and sp.fn in ("sum", "count"):
+            done[name] = F.when(own.isNull(), carry).when(carry.isNull(), own).otherwise(carry + own)
         elif sp.kind == "running":
-            cols[name] = _AGG[sp.fn](F.when(home, c)).over(w.rowsBetween(_UNB_P, 0))
-            carries[name] = sp
-        elif sp.kind == "fill_fwd":
-            cols[name] = F.last(F.when(home, c), ignorenulls=True).over(w.rowsBetween(_UNB_P, 0))
-            carries[name] = sp
-        elif sp.kind == "fill_bwd":
-            back = Window.partitionBy(*keys, "_cc").orderBy(F.col("_rn").desc())
-            cols[name] = F.last(F.when(home, c), ignorenulls=True).over(back.rowsBetween(_UNB_P, 0))
-            carries[name] = sp
+            done[name] = (F.greatest if sp.fn == "max" else F.least)(carry, own)
+        elif sp.kind in ("fill_fwd", "fill_bwd"):
+            done[name] = F.coalesce(own, carry)
         elif sp.kind in ("first", "last", "whole"):
-            wholes[name] = sp
-        else:
+            done[name] = carry
+        elif sp.kind == "row_number":
+            done[name] = F.col("_rn").cast("int")
+        elif name not in bounded:
             raise ValueError(sp.kind)
-    out = ex.withColumns(cols).filter(home) if cols else base
-
-    if carries:
-        n_chunks = prof.rows // C + prof.groups + 1
-        tot = {}
-        for name, sp in carries.items():
+    scratch = {f"_v_{n}": e for n, e in done.items()}
+    out = out.withColumns(scratch).drop("_off", *[f"_c_{n}" for n in specs])
+
+    if bounded:
+        chunk, pos = F.floor((F.col("_rn") - 1) / C), (F.col("_rn") - 1) % C
+        out = out.withColumn("_ck", chunk)
+        copies = [F.col("_ck")]
+        if a > 0:   # my tail is the preceding halo of the next chunk
+            copies.append(F.when(pos >= C - a, F.col("_ck") + 1))
+        if b > 0:   # my head is the following halo of the previous chunk
+            copies.append(F.when((pos < b) & (F.col("_ck") > 0), F.col("_ck") - 1))
+        out = out.withColumn("_cc", F.explode(F.array_compact(F.array(*copies))))
+        w = Window.partitionBy(*keys, "_cc").orderBy("_rn")
+        framed = {}
+        for name, sp in bounded.items():
             c = _col(sp.col)
-            if sp.kind == "running":
-                tot[name] = _AGG[sp.fn](c)
-            elif sp.kind == "fill_fwd":
-                tot[name] = F.max_by(c, F.when(c.isNotNull(), F.col("_rn")))
-            else:
-                tot[name] = F.min_by(c, F.when(c.isNotNull(), F.col("_rn")))
-        chunks = base.groupBy(*keys, "_ck").agg(*[e.alias(f"_t_{n}") for n, e in tot.items()])
-        prev = Window.partitionBy(*keys).orderBy("_ck").rowsBetween(_UNB_P, -1)
-        nxt = Window.partitionBy(*keys).orderBy(F.col("_ck").desc()).rowsBetween(_UNB_P, -1)
-        carry_cols = []
-        for name, sp in carries.items():
-            t = F.col(f"_t_{name}")
-            if sp.kind == "running":
-                fn = "sum" if sp.fn == "count" else sp.fn
-                e = _AGG[fn](t).over(prev)
-            elif sp.kind == "fill_fwd":
-                e = F.last(t, ignorenulls=True).over(prev)
+            if sp.kind == "rolling":
+                framed[f"_v_{name}"] = _AGG[sp.fn](c).over(w.rowsBetween(-sp.lo, sp.hi))
             else:
-                e = F.last(t, ignorenulls=True).over(nxt)
-            carry_cols.append(e.alias(f"_c_{name}"))
-        chunks = chunks.select(*keys, "_ck", *carry_cols)
-        out = _join_back(out, chunks, [*keys, "_ck"], n_chunks)
-        fixed = {}
-        for name, sp in carries.items():
-            loc, car = F.col(name), F.col(f"_c_{name}")
-            if sp.kind == "running" and sp.fn in ("sum", "count"):
-                both_null = loc.isNull() & car.isNull()
-                fixed[name] = F.when(both_null, F.lit(None)).otherwise(
-                    F.coalesce(car, F.lit(0)) + F.coalesce(loc, F.lit(0)))
-            elif sp.kind == "running":
-                fixed[name] = (F.greatest if sp.fn == "max" else F.least)(car, loc)
-            else:
-                fixed[name] = F.coalesce(loc, car)
-        out = out.withColumns(fixed).drop(*[f"_c_{n}" for n in carries])
-
-    if wholes:
-        aggs = []
-        for name, sp in wholes.items():
-            c = _col(sp.col)
-            if sp.kind == "first":
-                e = F.min_by(c, F.col("_rn"))
-            elif sp.kind == "last":
-                e = F.max_by(c, F.col("_rn"))
-            else:
-                e = _AGG[sp.fn](c)
-            aggs.append(e.alias(name))
-        per_key = base.groupBy(*keys).agg(*aggs)
-        out = _join_back(out, per_key, keys, prof.groups)
-
-    return out.drop("_ck", "_cc") if keep_rn else out.drop("_rn", "_ck", "_cc")
+                framed[f"_v_{name}"] = F.lag(c, sp.lo).over(w) if sp.kind == "lag" else F.lead(c, sp.hi).over(w)
+        out = out.withColumns(framed).filter(F.col("_cc") == F.col("_ck")).drop("_ck", "_cc")
+    out = out.withColumns({n: F.col(f"_v_{n}") for n in specs}).drop(*[f"_v_{n}" for n in specs])
+    return out if keep_rn else out.drop("_rn", "_sb")
