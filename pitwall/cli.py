@@ -42,6 +42,8 @@ def main(argv=None, stop: bool = True) -> int:
     i.add_argument("--raw", required=True)
     i.add_argument("--curated", required=True)
     i.add_argument("--partition-telemetry", action="store_true", help="partition telemetry tables by session_key")
+    i.add_argument("--replace", choices=("table", "partitions"), default="table", help="partitions: only the sessions of the raw tables, where partitioned")
+    i.add_argument("--on-loss", choices=("report", "fail", "ignore"), default="report", help="values without a form of their declared type")
     lnd = sub.add_parser("landing")
     lnd.add_argument("--raw", required=True)
     r = sub.add_parser("run")
@@ -60,15 +62,17 @@ def main(argv=None, stop: bool = True) -> int:
         if a.partition_telemetry:
             from pitwall.sources.catalog import HEAVY
             parts = {stem: ["session_key"] for stem in HEAVY}
-        for stem, cols in ingest(spark, a.raw, a.curated, partition_by=parts).items():
-            print(f"{stem}: {len(cols)} columns")
+        lost: dict = {}
+        written = ingest(spark, a.raw, a.curated, partition_by=parts, on_loss=a.on_loss, replace=a.replace, report=lost.__setitem__)
+        for stem, cols in written.items():
+            print(f"{stem}: {len(cols)} columns" + (f", lost values {lost[stem]}" if stem in lost else ""))
     elif a.cmd == "landing":
         print(f"{landed_files(spark, a.raw).count()} files landed")
     else:
         params = dict(_param(s) for s in a.param)
         opts = dict(_param(s) for s in a.option)
         tables = Lake(spark, a.base, a.zone).tables()
-        for name, target in run(tables, a.job, fmt=a.format, base=a.out, options=opts, **params).items():
+        for name, target in run(tables, a.job, fmt=a.format, base=a.out, options=opts, show=True, **params).items():
             print(f"{name} -> {target}")
     if stop:
         spark.stop()

@@ -15,7 +15,6 @@ Oracle parity rules (see the survey's Spark/DuckDB notes):
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pitwall.functions.exprs import (
     arg_max, arg_min, bin_floor, drs_open, drs_weight, guarded_pct, half_up, safe_corr, step_change,
@@ -26,7 +25,10 @@ from pitwall.operators.scope import (
     as_role, left_join_renamed, race_sessions, scope_to_session, session_drivers, with_driver,
 )
 from pitwall.operators.series import Series, first, lag, last, lead, rolling, row_number, running, whole
+from pitwall.operators.skew import skew_join
+from pitwall.operators.topn import ranks, top_n
 from pitwall.plans import race
+from pitwall.sources import infer
 from pitwall.sources.ingest import apply_types
 from pitwall.sources.testdata import RACE_CTES, LazyTables, cents, read
 
@@ -179,6 +181,114 @@ def time_bucket_join(spark, sf):
                                seconds=BUCKET_SECONDS)
 
 
+HOT_BUCKET = 150                    # rows of a key and bucket above which the hot variants split it
+
+SKEWED_SQL = W(f"""
+c AS (SELECT session_key, driver_number, date, speed FROM car_data),
+r AS (SELECT CASE WHEN x % 3 = 0 THEN 0 ELSE session_key END AS session_key,
+             CASE WHEN x % 3 = 0 THEN 1 ELSE driver_number END AS driver_number,
+             CASE WHEN x % 3 = 0 THEN TIMESTAMP '2024-01-02 00:00:00' ELSE date END AS date, x, y FROM location),
+l AS (SELECT session_key, driver_number, date, speed FROM c
+      UNION ALL SELECT 0, 1, TIMESTAMP '2024-01-02 00:00:00', -1 UNION ALL SELECT 0, NULL, date, speed FROM c WHERE speed = 0)
+SELECT l.session_key, l.driver_number, l.date, l.speed, CAST(floor({SEC('l.date')} / {BUCKET_SECONDS}) AS BIGINT) AS date_sec, r.x, r.y
+FROM l LEFT JOIN r ON l.session_key = r.session_key AND l.driver_number = r.driver_number
+ AND floor({SEC('l.date')} / {BUCKET_SECONDS}) = floor({SEC('r.date')} / {BUCKET_SECONDS})""")
+
+
+def skewed_sides(spark, sf):
+    """Car samples (some without a driver), and all locations with a third of them moved to one key and instant."""
+    t = _t(spark, sf)
+    moved, at = F.col("x") % 3 == 0, F.lit("2024-01-02 00:00:00").cast(t["location"].schema["date"].dataType)
+    right = t["location"].select(F.when(moved, 0).otherwise(F.col("session_key")).cast("int").alias("session_key"),
+                                 F.when(moved, 1).otherwise(F.col(D)).cast("bigint").alias(D),
+                                 F.when(moved, at).otherwise(F.col("date")).alias("date"), "x", "y")
+    car = t["car_data"].select("session_key", D, "date", "speed")
+    one = spark.range(1).select(F.lit(0).alias("session_key"), F.lit(1).cast("bigint").alias(D), at.alias("date"), F.lit(-1).cast("bigint").alias("speed"))
+    lost = car.filter(F.col("speed") == 0).select(F.lit(0).alias("session_key"), F.lit(None).cast("bigint").alias(D), "date", "speed")
+    return car.unionByName(one).unionByName(lost), right
+
+
+@register("time_bucket_join_hot", SKEWED_SQL)
+def time_bucket_join_hot(spark, sf):
+    """J6 with a third of all right rows on one key and bucket, and many left rows without a key: both are dealt over cells."""
+    left, right = skewed_sides(spark, sf)
+    return join_on_time_bucket(left, right, ["session_key", D], right_cols={"x": "x", "y": "y"}, seconds=BUCKET_SECONDS, hot_rows=HOT_BUCKET)
+
+
+@register("skew_join", """
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, l.l_linenumber, l.l_quantity
+FROM orders o LEFT JOIN lineitem l ON o.o_custkey = l.l_suppkey""")
+def skew_join_q(spark, sf):
+    """An n:m left join over whole tables whose right keys are nearly all hot; customers without a supplier of their number stay."""
+    o = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    li = read(spark, sf, "lineitem").select(F.col("l_suppkey").alias("o_custkey"), "l_linenumber", "l_quantity", "l_orderkey")
+    return skew_join(o, li, ["o_custkey"], hot_rows=HOT_BUCKET).drop("l_orderkey")
+
+
+TOP_SQL = W("""
+SELECT session_key, driver_number, date, speed, rpm, throttle,
+       CAST(row_number() OVER (PARTITION BY driver_number, session_key ORDER BY speed DESC, date, rpm, throttle) AS INTEGER) AS place
+FROM car_data QUALIFY place <= 3""")
+
+
+def _top(spark, sf, strategy):
+    car = _t(spark, sf)["car_data"].select("session_key", D, "date", "speed", "rpm", "throttle")
+    return top_n(car, DS, (F.col("speed").desc(), "date", "rpm", "throttle"), 3, "place", strategy=strategy)
+
+
+@register("top_n_per_group", TOP_SQL)
+def top_n_per_group(spark, sf):
+    """The three fastest samples of every driver and session; cut before the exchange."""
+    return _top(spark, sf, "auto")
+
+
+@register("top_n_chunks", TOP_SQL)
+def top_n_chunks(spark, sf):
+    """F6 in two levels: the best of every 32-row chunk, then of the chunks."""
+    return _top(spark, sf, "chunks:32")
+
+
+@register("top_n_ties", W("""
+SELECT session_key, driver_number, lap_number, duration_sector_2,
+       CAST(rank() OVER (PARTITION BY session_key ORDER BY duration_sector_2 DESC NULLS LAST, lap_number) AS INTEGER) AS place
+FROM laps QUALIFY place <= 10"""))
+def top_n_ties(spark, sf):
+    """F6 with ties: all laps of a session whose rank is ten at most, from chunks of 64 rows of hot sessions."""
+    laps = _t(spark, sf)["laps"].select("session_key", D, "lap_number", "duration_sector_2")
+    return top_n(laps, ("session_key",), (F.col("duration_sector_2").desc(), "lap_number"), 10, "place", ties="rank", strategy="chunks:64")
+
+
+RANKS_SQL = W("""
+SELECT session_key, driver_number, lap_number, lap_duration,
+       CAST(rank() OVER (PARTITION BY session_key ORDER BY lap_duration NULLS FIRST) AS INTEGER) AS field_rank,
+       CAST(dense_rank() OVER (PARTITION BY session_key ORDER BY lap_duration NULLS FIRST) AS INTEGER) AS field_dense
+FROM laps""")
+
+
+def _ranks(spark, sf, strategy):
+    laps = _t(spark, sf)["laps"].select("session_key", D, "lap_number", "lap_duration")
+    return ranks(laps, ("session_key",), ("lap_duration",), dense="field_dense", rank="field_rank", strategy=strategy)
+
+
+register("field_ranks", RANKS_SQL)(lambda spark, sf: _ranks(spark, sf, "auto"))
+register("field_ranks_split", RANKS_SQL)(lambda spark, sf: _ranks(spark, sf, SPLIT))
+
+
+@register("proximity_join_hot", W(f"""
+i AS (SELECT driver_number % 4 AS driver_number, 0 AS session_key, date, gap_to_leader FROM intervals),
+p AS (SELECT driver_number % 5 AS driver_number, 0 AS session_key, date, lap_number FROM pit WHERE lap_number % 4 = 0)
+SELECT p.session_key, p.driver_number, p.date, p.lap_number, i.date AS i_date, i.gap_to_leader AS i_gap
+FROM p LEFT JOIN i
+  ON p.session_key = i.session_key AND p.driver_number = i.driver_number
+ AND abs({SEC('i.date')} - {SEC('p.date')}) < 3600"""))
+def proximity_join_hot(spark, sf):
+    """J7 with few, hot keys: buckets above a bound take the dealt route, the others the one outer join."""
+    t = _t(spark, sf)
+    i = t["intervals"].select((F.col(D) % 4).alias(D), F.lit(0).alias("session_key"), "date", "gap_to_leader")
+    pit = t["pit"].filter(F.col("lap_number") % 4 == 0).select(F.lit(0).alias("session_key"), (F.col(D) % 5).alias(D), "date", "lap_number")
+    return proximity_join(pit, i, DS, 3600, right_cols={"date": "i_date", "gap_to_leader": "i_gap"}, hot_rows=8)
+
+
 @register("proximity_join", W(f"""
 SELECT p.session_key, p.driver_number, p.date, p.lap_number, i.date AS i_date, i.gap_to_leader AS i_gap
 FROM pit p LEFT JOIN intervals i
@@ -257,6 +367,54 @@ def typed_ingest(spark, sf):
     return out.select("l_orderkey", "whole", F.col("part").isNull().alias("fraction_is_null"), "quantity", "tax", "flagged", "flagged_marker")
 
 
+#: Text columns of a whole table, by name, in Spark's and DuckDB's SQL alike.
+TEXT_COLUMNS = {
+    "whole": "CAST(l_orderkey AS STRING)", "large": "CAST(l_orderkey * 10000000000 AS STRING)", "fraction": "CAST(l_tax AS STRING)",
+    "price": "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)", "padded": "concat(' 00', CAST(l_linenumber AS STRING), '.50 ')",
+    "scientific": "concat(CAST(l_linenumber AS STRING), 'e', CAST(l_suppkey % 7 AS STRING))", "day": "substring(CAST(l_shipdate AS STRING), 1, 10)",
+    "instant": "concat(substring(CAST(l_shipdate AS STRING), 1, 10), 'T0', CAST(l_linenumber AS STRING), ':00:00.5Z')",
+    "mixed_days": "CASE WHEN l_linenumber = 1 THEN substring(CAST(l_shipdate AS STRING), 1, 10) ELSE concat(substring(CAST(l_shipdate AS STRING), 1, 10), ' 10:11') END",
+    "not_a_day": "'2024-02-30'", "flag": "CASE WHEN l_returnflag = 'R' THEN 'TRUE' ELSE 'false' END",
+    "marked": "CASE WHEN l_returnflag = 'N' AND l_linenumber = 7 THEN '+1 LAP' ELSE CAST(l_suppkey AS STRING) END",
+    "word": "l_returnflag", "blank": "CASE WHEN l_linenumber = 2 THEN '  ' WHEN l_linenumber = 3 THEN '' END", "gaps": "CASE WHEN l_linenumber < 3 THEN '42' END",
+}
+
+
+def _inferred_sql() -> str:
+    parts = []
+    for name, text in TEXT_COLUMNS.items():
+        count = lambda cond: f"count(CASE WHEN t <> '' AND {cond} THEN 1 END)"
+        form = lambda pattern: f"regexp_matches(t, '{pattern}')"
+        parts.append(f"""
+SELECT '{name}' AS "column", count(*) AS rows, {count('true')} AS filled,
+  {count(form(infer.WHOLE) + ' AND TRY_CAST(t AS INTEGER) IS NOT NULL')} AS ints,
+  {count(form(infer.WHOLE) + ' AND TRY_CAST(t AS BIGINT) IS NOT NULL')} AS longs,
+  {count(form(infer.NUMBER))} AS numbers, {count(form(infer.SCIENTIFIC) + ' AND TRY_CAST(t AS DOUBLE) IS NOT NULL')} AS doubles,
+  {count(form(infer.DATE) + ' AND TRY_CAST(t AS DATE) IS NOT NULL')} AS dates,
+  {count(form(infer.TIMESTAMP) + ' AND TRY_CAST(t AS TIMESTAMPTZ) IS NOT NULL')} AS timestamps, {count(form(infer.BOOLEAN))} AS booleans,
+  coalesce(max(CASE WHEN {form(infer.NUMBER)} THEN length(regexp_extract(t, '^[+-]?0*([0-9]*)', 1)) END), 0) AS digits,
+  coalesce(max(CASE WHEN {form(infer.NUMBER)} THEN length(regexp_extract(t, '[.]([0-9]*?)0*$', 1)) END), 0) AS scale
+FROM (SELECT trim({text}) AS t FROM lineitem)""")
+    return "WITH m AS (" + " UNION ALL ".join(parts) + """),
+k AS (SELECT *, greatest(ints, longs, numbers, doubles, booleans, dates, timestamps) AS most FROM m)
+SELECT "column", rows, filled,
+  CASE WHEN filled = 0 THEN 'string' WHEN ints = filled THEN 'int' WHEN longs = filled THEN 'bigint'
+       WHEN numbers = filled AND digits + scale <= 38 THEN 'decimal(' || greatest(digits + scale, 1) || ',' || scale || ')'
+       WHEN doubles = filled THEN 'double' WHEN booleans = filled THEN 'boolean' WHEN dates = filled THEN 'date'
+       WHEN timestamps = filled THEN 'timestamp' ELSE 'string' END AS type,
+  CASE WHEN most = 0 THEN NULL WHEN ints = most THEN 'int' WHEN longs = most THEN 'bigint' WHEN numbers = most THEN 'number'
+       WHEN doubles = most THEN 'double' WHEN booleans = most THEN 'boolean' WHEN dates = most THEN 'date' ELSE 'timestamp' END AS nearest,
+  filled - most AS lost
+FROM k"""
+
+
+@register("inferred_types", _inferred_sql())
+def inferred_types(spark, sf):
+    """Types of a whole table's text form, joined per column in one partial aggregate, with what the nearest kind would lose."""
+    li = read(spark, sf, "lineitem")
+    return infer.inferred(li.select(*[F.expr(e).alias(c) for c, e in TEXT_COLUMNS.items()]))
+
+
 @register("group_stats", """
 SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS sum_qty, avg(l_quantity) AS avg_qty,
        min(l_discount) AS min_disc, max(l_discount) AS max_disc,
@@ -468,7 +626,7 @@ def _ordinal_zone(spark, sf, strategy):
     t = _t(spark, sf)
     loc = t["location"].withColumn("x_bin", bin_floor("x", 100))
     loc = Series(DS, ("date", "x", "y"), strategy=strategy).apply(loc, sample_no=row_number())
-    return loc.withColumn("zone_index", F.dense_rank().over(Window.partitionBy(D).orderBy("x_bin")))
+    return ranks(loc, (D,), ("x_bin",), dense="zone_index", strategy=strategy)
 
 
 _series_query("ordinal_zone", W("""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pitwall.plans import race
 from pitwall.session import ensure_checkpoint_dir
 from pitwall.sources.catalog import COLLECTIONS
-from pitwall.sources.sinks import write_collection
+from pitwall.sources.sinks import preview, write_collection
 
 JOBS = {
     "lap_time": ("lap_time",), "max_speed": ("max_speed",), "pit_intervals": ("pit_intervals",),
@@ -22,6 +22,9 @@ JOBS = {
     "sector_loss": ("sector_loss",), "drs_correlation": ("drs_correlation",), "stint_length": ("stint_length",),
 }
 
+#: Jobs whose result is printed too, and the form in which it is.
+PREVIEWS = {"sector_loss": lambda df: df, "drs_correlation": race.drs_correlation_display}
+
 
 def outputs(tables: dict, job: str, **params) -> dict[str, DataFrame]:
     """Lazy result DataFrames of a job, keyed by collection name."""
@@ -36,8 +39,15 @@ def outputs(tables: dict, job: str, **params) -> dict[str, DataFrame]:
 
 
 def run(tables: dict, job: str, fmt: str = "parquet", base: str | None = None, options: dict | None = None,
-        **params) -> dict[str, str]:
+        show: bool = False, **params) -> dict[str, str]:
+    """Write the job's collections; with ``show`` print the first rows of those that have a preview (S8). What is
+    printed is computed once, with what is written."""
     written = {}
     for name, df in outputs(tables, job, **params).items():
+        if show and job in PREVIEWS:
+            ensure_checkpoint_dir(df.sparkSession)
+            df = df.checkpoint(eager=True)
         written[name] = write_collection(df, name, fmt=fmt, base=base, options=options)
+        if show and job in PREVIEWS:
+            preview(PREVIEWS[job](df))
     return written

@@ -2,6 +2,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from pitwall.sources.ingest import ingest, landed_files, normalize_names
 from pitwall.sources.lake import Lake
@@ -123,3 +124,68 @@ def test_partitioned_telemetry_prunes_by_session(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(session_key" in plan and "session_key#" in plan
     assert [r.position for r in df.collect()] == [3]
     assert len(os.listdir(f"{cur}/position_race_only_2025.parquet")) >= 3      # one directory per session
+
+
+def _raw(tmp_dir, stem, lines):
+    import os
+    os.makedirs(f"{tmp_dir}/raw", exist_ok=True)
+    with open(f"{tmp_dir}/raw/{stem}.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_lost_values_are_reported_or_refused(spark, tmp_dir):
+    from pitwall.sources.ingest import LostValues, ingest
+    stem = "pit_race_only_2025"
+    _raw(tmp_dir, stem, ["Date,Driver Number,Lap Number,Pit Duration,Meeting Key,Session Key",
+                         "2025-01-01T00:00:00,16,3,2.5,1,2", "2025-01-01T00:00:10,x16,,abc,1,2", "2025-01-01T00:00:20,44.0,5,,1,2"])
+    got = {}
+    with pytest.warns(UserWarning, match="became null"):
+        ingest(spark, f"{tmp_dir}/raw", f"{tmp_dir}/cur", [stem], report=got.__setitem__)
+    assert got[stem]["driver_number"] == 1 and "lap_number" not in got[stem]
+    with pytest.raises(LostValues) as e:
+        ingest(spark, f"{tmp_dir}/raw", f"{tmp_dir}/no", [stem], on_loss="fail")
+    assert e.value.lost == got[stem] and not os.path.exists(f"{tmp_dir}/no")
+    ingest(spark, f"{tmp_dir}/raw", f"{tmp_dir}/quiet", [stem], on_loss="ignore")
+    assert spark.read.parquet(f"{tmp_dir}/quiet/{stem}.parquet").count() == 3
+
+
+def test_types_are_inferred_from_all_values(spark, tmp_dir):
+    from pitwall.sources.infer import inferred, inferred_types
+    rows = [("1", "2.50", "1e3", "2024-01-01", "2024-01-01T10:00:00", "true", "", "x", "12345678901", "+1 LAP", "1" * 30, "-0.001"),
+            (" -7", ".5", "2", "2024-02-30", "2024-01-01 10:00", "FALSE", None, "1", "3", "4", "0", "12")]
+    df = spark.createDataFrame(rows, [f"c{k}" for k in range(12)])
+    got = {r["column"]: (r["type"], r["nearest"], r["lost"]) for r in inferred(df).collect()}
+    assert got == {"c0": ("int", "int", 0), "c1": ("decimal(2,1)", "number", 0), "c2": ("double", "double", 0), "c3": ("string", "date", 1),
+                   "c4": ("timestamp", "timestamp", 0), "c5": ("boolean", "boolean", 0), "c6": ("string", None, 0), "c7": ("string", "int", 1),
+                   "c8": ("bigint", "bigint", 0), "c9": ("string", "int", 1), "c10": ("decimal(30,0)", "number", 0), "c11": ("decimal(5,3)", "number", 0)}
+    assert inferred_types(df)["c1"] == "double" and inferred_types(df, None)["c11"] == "decimal(5,3)" and "c3" not in inferred_types(df)
+    assert inferred(df.limit(0)).select("type").distinct().collect()[0][0] == "string"
+
+
+def test_one_session_replaced_leaves_the_others(spark, tmp_dir):
+    import os
+    from pyspark.sql import functions as F
+    from pitwall.sources.ingest import write_parquet
+    path = f"{tmp_dir}/laps.parquet"
+    write_parquet(spark.range(300).select((F.col("id") % 3).alias("session_key"), "id"), path, ["session_key"], replace="partitions")
+    files = lambda: {f"{d}/{f}": (os.path.getsize(f"{d}/{f}"), os.path.getmtime(f"{d}/{f}")) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    before = files()
+    write_parquet(spark.range(10).select(F.lit(1).alias("session_key"), (F.col("id") + 1000).alias("id")), path, ["session_key"], replace="partitions")
+    after = files()
+    assert {k: v for k, v in before.items() if "session_key=1/" not in k} == {k: v for k, v in after.items() if "session_key=1/" not in k}
+    got = {r[0]: (r[1], r[2]) for r in spark.read.parquet(path).groupBy("session_key").agg(F.count("id"), F.min("id")).collect()}
+    assert got == {0: (100, 0), 1: (10, 1000), 2: (100, 2)}
+    with pytest.raises(ValueError):
+        write_parquet(spark.range(1), f"{tmp_dir}/x", replace="partitions")
+
+
+def test_printed_previews(spark, monkeypatch):
+    from pitwall.plans import jobs
+    shown = []
+    monkeypatch.setattr(jobs, "preview", lambda df: shown.append(df.columns))
+    monkeypatch.setattr(jobs, "outputs", lambda tables, job, **kw: {"c": spark.range(2).select(
+        F.lit("n").alias("full_name"), F.lit(0.123456).alias("drs_speed_correlation"), F.lit(1.0).alias("avg_speed"), F.lit(1.0).alias("avg_speed_when_drs_on"),
+        F.lit(1.0).alias("avg_speed_when_drs_off"), F.lit(1).alias("drs_activations"), F.lit(1).alias("total_samples"))})
+    for job in ("sector_loss", "drs_correlation", "lap_time"):
+        jobs.run({}, job, fmt="noop", show=True)
+    assert len(shown) == 2 and "correlation" in shown[1]
