@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegralType
+from pyspark.sql.types import ByteType, DecimalType, IntegerType, IntegralType, LongType, ShortType
 
 # ---- fixed values (DRS flap codes of the car telemetry feed) -------------------------
 # open flap: 10, 12, 14; flap "eligible" (half weight): 8; codes kept as clearly defined: 0, 1, 8, 10, 12, 14
@@ -118,3 +118,65 @@ def arg_min(value, payload) -> Column:
     """payload at the smallest non-null value; ties -> smaller payload (A10, hazard H3)."""
     v = _c(value)
     return F.min(F.when(v.isNotNull(), F.struct(v.alias("v"), _c(payload).alias("p"))))["p"]
+
+
+_BITS = {ByteType: 8, ShortType: 16, IntegerType: 32, LongType: 64}
+
+
+def _arg(df, fn, value: str, payload: str) -> Column | None:
+    """``payload`` at the extremum of (value, payload), both whole numbers, over one packed number; None if it has no room."""
+    kinds = [df.schema[c].dataType for c in (value, payload)]
+    bits = [_BITS.get(type(k), 0) for k in kinds]
+    if not all(bits) or sum(bits) > 96:
+        return None
+    half, span = 1 << (bits[1] - 1), (1 << bits[1]) + 1         # a null payload is 0, and comes first as in a struct
+    places = f"decimal({len(str(span)) + 1},0)"
+    low = F.coalesce(F.col(payload).cast(places) + F.lit(half + 1).cast(places), F.lit(0).cast(places))
+    packed = fn(F.col(value).cast("decimal(20,0)") * F.lit(span).cast(places) + low)
+    low = F.pmod(packed, F.lit(span).cast(places))
+    return F.when(low > 0, (low - F.lit(half + 1).cast(places)).cast(kinds[1]))
+
+
+def arg_max_of(df, value: str, payload: str) -> Column:
+    """``arg_max`` over one number that packs both columns of ``df``, if they are whole numbers that fit: an aggregate of
+    fixed width, which hash aggregation can hold. A struct makes Spark sort the fact before it is combined."""
+    packed = _arg(df, F.max, value, payload)
+    return arg_max(value, payload) if packed is None else packed
+
+
+def arg_min_of(df, value: str, payload: str) -> Column:
+    """``arg_min`` over one packed number where the columns of ``df`` allow it."""
+    packed = _arg(df, F.min, value, payload)
+    return arg_min(value, payload) if packed is None else packed
+
+
+# ---- sums of doubles that do not depend on the order of rows ---------------------------
+# A double below 2**90 is a sum of whole multiples of these powers of two, and a rest below the last.
+LIMBS = (40, -10, -60, -110)
+LIMB_RANGE = 2.0 ** 90
+
+
+def with_limbs(df, c, prefix: str):
+    """``df`` with the limbs of ``c`` (a double) as decimals ``<prefix>0`` ..., and what they cannot hold as ``<prefix>odd``.
+
+    Limbs are whole numbers of their power of two, so their sums are exact in any order and any grouping; ``from_limbs``
+    puts the sums together once. Infinities, NaN, values from 2**90 on and parts below 2**-110 are summed as they are.
+    """
+    rest = f"{prefix}odd"
+    df = df.withColumn(rest, _c(c).cast("double"))
+    held = F.abs(F.col(rest)) < LIMB_RANGE                      # false for NaN: it is the largest number
+    for k, e in enumerate(LIMBS):
+        own = F.when(held, (F.col(rest) * 2.0 ** -e).cast("bigint")).when(F.col(rest).isNotNull(), F.lit(0).cast("bigint"))
+        df = df.withColumn(f"{prefix}{k}", own)
+        df = df.withColumn(rest, F.col(rest) - F.col(f"{prefix}{k}").cast("double") * 2.0 ** e)
+    return df.withColumns({**{f"{prefix}{k}": F.col(f"{prefix}{k}").cast("decimal(16,0)") for k in range(len(LIMBS))},
+                           rest: F.when(F.col(rest) != 0, F.col(rest))})
+
+
+def from_limbs(prefix: str) -> Column:
+    """The sum whose limbs' sums are ``<prefix>0`` ... and ``<prefix>odd``; null where nothing was summed."""
+    total = None
+    for k, e in enumerate(LIMBS):
+        part = F.col(f"{prefix}{k}").cast("double") * 2.0 ** e
+        total = part if total is None else total + part
+    return total + F.coalesce(F.col(f"{prefix}odd"), F.lit(0.0))

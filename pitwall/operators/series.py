@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType, NumericType, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
 
+from pitwall.functions.exprs import LIMBS, from_limbs, with_limbs
 from pitwall.operators.scope import BROADCAST_BYTES, row_width
 from pitwall.session import BROADCAST_ROWS, CHUNK_ROWS, HOT_KEY_ROWS, ORDINAL, RANGE_ROWS, conf_int, ensure_checkpoint_dir
 
@@ -84,15 +85,15 @@ def last(col) -> Spec:
 
 
 def whole(fn: str, col) -> Spec:
-    """fn over every row of the key (order-free)."""
+    """fn over every row of the key (order-free; sums and averages of doubles too, see ``running``)."""
     return Spec("whole", fn, col)
 
 
 def running(fn: str, col) -> Spec:
     """fn over rows (unbounded preceding, current].
 
-    On the split route a sum is the chunk's own sum plus that of the chunks before it: sums of doubles may differ
-    from the window route's in rounding (sum decimals where equality is wanted); all else is equal on every route.
+    Sums of doubles are summed as whole-number limbs (``exprs.with_limbs``): exact, so equal bit for bit on every route, in
+    any partitioning and after any shuffle.
     """
     if fn not in ("sum", "count", "min", "max"):
         raise ValueError(f"running {fn} is not supported")
@@ -160,7 +161,7 @@ class Series:
         stages = _stages(df, specs)
         if s.strategy == "window":
             for st in stages:
-                df = _window_path(df, s, st)
+                df = _order_free(_window_path, df, s, st)
             return df
         if s.isolate and 0 < s.profile.hot_groups < s.profile.groups:
             return _isolated(df, s, stages)
@@ -195,10 +196,34 @@ def _stages(df: DataFrame, specs: dict) -> list:
 
 def _split_stages(df: DataFrame, s: "Series", stages: list) -> DataFrame:
     for i, st in enumerate(stages):
-        df = _split_path(df, s, st, keep_rn=i < len(stages) - 1)
+        df = _order_free(_split_path, df, s, st, keep_rn=i < len(stages) - 1)
     return df
 
 
+def _order_free(path, df: DataFrame, s: "Series", specs: dict, **more) -> DataFrame:
+    """A stage in which sums and averages of doubles over unbounded frames are sums of limbs, put together at the end.
+
+    Bounded frames see the same rows in the same order on every route, and stay as they are.
+    """
+    split, plain = {}, {}
+    for name, sp in specs.items():
+        unbounded = sp.kind in ("running", "whole") and sp.fn in ("sum", "avg")
+        floating = unbounded and isinstance(df.select(_col(sp.col).alias("c")).schema["c"].dataType, (DoubleType, FloatType))
+        (split if floating else plain)[name] = sp
+    if not split:
+        return path(df, s, specs, **more)
+    for name, sp in split.items():
+        prefix = f"_x_{name}_"
+        df = with_limbs(df, sp.col, prefix)
+        plain |= {f"_y_{name}_{k}": Spec(sp.kind, "sum", f"{prefix}{k}") for k in (*range(len(LIMBS)), "odd")}
+        if sp.fn == "avg":
+            plain[f"_y_{name}_n"] = Spec(sp.kind, "count", f"{prefix}0")
+    out = path(df, s, plain, **more)
+    total = {n: from_limbs(f"_y_{n}_") for n in split}
+    out = out.withColumns({n: F.when(F.col(f"_y_{n}_n") > 0, e / F.col(f"_y_{n}_n")) if split[n].fn == "avg" else e for n, e in total.items()})
+    return out.drop(*[c for c in out.columns if c.startswith(("_x_", "_y_"))])
+
+
 def _decide(s: "Series", prof: Profile) -> "Series":
     if prof.max_rows > prof.hot_bound:
         return replace(s, strategy="split", profile=prof, isolate=True)
@@ -227,7 +252,7 @@ def _isolated(df: DataFrame, s: "Series", stages: list) -> DataFrame:
     hot_out = _split_stages(hot_rows, replace(s, profile=hot_prof), stages)
     cold = replace(s, strategy="window", profile=cold_prof)
     for st in stages:
-        cold_rows = _window_path(cold_rows, cold, st)
+        cold_rows = _order_free(_window_path, cold_rows, cold, st)
     return cold_rows.unionByName(hot_out)
 
 

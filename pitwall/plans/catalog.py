@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pitwall.functions.exprs import (
-    arg_max, arg_min, bin_floor, drs_open, drs_weight, guarded_pct, half_up, safe_corr, step_change,
+    LIMBS, arg_max_of, arg_min_of, bin_floor, drs_open, drs_weight, guarded_pct, half_up, safe_corr, step_change,
 )
 from pitwall.operators.aggs import avg_if, count_if, dedupe_ordered, negative_sum, positive_sum
 from pitwall.operators.joins import containment_join, join_on_time_bucket, nearest_join, proximity_join
@@ -462,8 +462,8 @@ def arg_extrema(spark, sf):
     """A9 arg-max (ties -> larger lap), A10 arg-min over non-null values (ties -> smaller lap)."""
     t = _t(spark, sf)
     return t["laps"].groupBy(D, "session_key").agg(
-        arg_max("st_speed", "lap_number").alias("lap_best_speed"),
-        arg_min("duration_sector_3", "lap_number").alias("lap_best_s3"))
+        arg_max_of(t["laps"], "st_speed", "lap_number").alias("lap_best_speed"),
+        arg_min_of(t["laps"], "duration_sector_3", "lap_number").alias("lap_best_s3"))
 
 
 @register("safe_corr", W(f"""
@@ -574,6 +574,32 @@ SELECT overtaking_driver_number, session_key, CAST(max(c) AS BIGINT) AS total_ov
 FROM w GROUP BY overtaking_driver_number, session_key"""), _running_total)
 
 
+def _limb_sums(sums: str) -> str:
+    """The order-free sum of doubles v in SQL: ``sums`` is a window or group sum with a place for its argument."""
+    return " + ".join(f"CAST({sums.format(f'l{k}')} AS DOUBLE) * {2.0 ** e!r}::DOUBLE" for k, e in enumerate(LIMBS))
+
+
+def _limb_ctes() -> str:
+    rest, out = "v", []
+    for k, e in enumerate(LIMBS):
+        out.append(f"r{k} AS (SELECT *, CAST(trunc({rest} * {2.0 ** -e!r}::DOUBLE) AS HUGEINT) AS l{k} FROM {f'r{k - 1}' if k else 'r'})")
+        rest = f"({rest} - CAST(l{k} AS DOUBLE) * {2.0 ** e!r}::DOUBLE)"
+    return ", ".join(out)
+
+
+def _running_doubles(spark, sf, strategy):
+    e = read(spark, sf, "events").select("user_id", "ts", "event_id", (F.col("value") / 7).alias("v"))
+    return Series(("user_id",), ("ts", "event_id"), strategy=strategy).apply(
+        e, upto=running("sum", "v"), total=whole("sum", "v"), mean=whole("avg", "v"))
+
+
+_series_query("running_doubles", f"""
+WITH r AS (SELECT user_id, ts, event_id, value / 7 AS v FROM events), {_limb_ctes()}
+SELECT user_id, ts, event_id, v, {_limb_sums('sum({}) OVER w')} AS upto, {_limb_sums('sum({}) OVER (PARTITION BY user_id)')} AS total,
+       ({_limb_sums('sum({}) OVER (PARTITION BY user_id)')}) / count(v) OVER (PARTITION BY user_id) AS mean
+FROM r{len(LIMBS) - 1} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""", _running_doubles, isolate_too=True)
+
+
 def _full_frame(spark, sf, strategy):
     t = _t(spark, sf)
     laps = t["laps"].select("session_key", D, "lap_number", "lap_duration")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pitwall.functions.exprs import (
-    DRS_VALID, arg_max, arg_min, bin_floor, drs_open, drs_weight, corr_of, guarded_pct, half_up, null_as,
+    DRS_VALID, arg_max_of, arg_min_of, bin_floor, drs_open, drs_weight, corr_of, guarded_pct, half_up, null_as,
     step_change,
 )
 from pitwall.operators.aggs import avg_if, count_if, dedupe_ordered, negative_sum, positive_sum
@@ -124,8 +124,8 @@ def max_speed(t: dict, meeting_key: int = 1269, teams=("Ferrari", "Red Bull Raci
         F.min("duration_sector_3").alias("best_s3_time"),
         F.avg("duration_sector_3").alias("avg_s3_time"),
         F.max("lap_number").alias("laps_completed"),
-        arg_max("st_speed", "lap_number").alias("lap_best_speed_trap"),
-        arg_min("duration_sector_3", "lap_number").alias("lap_best_s3_time"))
+        arg_max_of(laps, "st_speed", "lap_number").alias("lap_best_speed_trap"),
+        arg_min_of(laps, "duration_sector_3", "lap_number").alias("lap_best_s3_time"))
     out = sc.stamp(out).withColumns({"avg_speed_trap": half_up("avg_speed_trap", 2),
                                      "avg_s3_time": half_up("avg_s3_time", 3)})
     out = out.select("driver_number", "full_name", "team_name", "best_speed_trap", "avg_speed_trap",

@@ -77,3 +77,20 @@ def test_exact_corr_is_order_free(spark):
     a = spark.createDataFrame(rows, "x int, y int").agg(exact_corr("x", "y")).first()[0]
     b = spark.createDataFrame(list(reversed(rows)), "x int, y int").repartition(7).agg(exact_corr("x", "y")).first()[0]
     assert a == b
+
+
+def test_packed_arg_extrema_equal_structs(spark):
+    import random
+    from pyspark.sql import functions as F
+    from pitwall.functions.exprs import arg_max, arg_max_of, arg_min, arg_min_of
+    rng = random.Random(1)
+    big, small = (1 << 63) - 1, (1 << 31) - 1
+    rows = [(rng.randrange(8), rng.choice([None, big, -big - 1, 0, -1, 1, 5, 5, 5]), rng.choice([None, small, -small - 1, 0, 1, -1, 7])) for _ in range(300)]
+    rows += [(9, None, 1), (10, 3, None)]
+    df = spark.createDataFrame(rows, "k int, v bigint, p int")
+    out = df.groupBy("k").agg(arg_max_of(df, "v", "p").alias("a"), arg_min_of(df, "v", "p").alias("b"), arg_max("v", "p").alias("c"), arg_min("v", "p").alias("d"))
+    assert all(r.a == r.c and r.b == r.d for r in out.collect()) and dict(out.dtypes)["a"] == "int"
+    alone = df.groupBy("k").agg(arg_max_of(df, "v", "p"), arg_min_of(df, "v", "p"))
+    assert "SortAggregate" not in alone._jdf.queryExecution().executedPlan().toString()
+    wide = df.withColumn("p", F.col("p").cast("double"))                # no room or no whole number: the struct
+    assert wide.groupBy("k").agg(arg_max_of(wide, "v", "p").alias("a")).count() == df.select("k").distinct().count()

@@ -44,3 +44,15 @@ def test_no_frame_from_the_row_to_the_end(spark):
     for name in ("nearest_join", "nearest_join_split", "drs_overtakes", "drs_overtakes_split"):
         plan = _plan(catalog.QUERIES[name](spark, SF))
         assert "currentrow$(), unboundedfollowing" not in plan and "specifiedwindowframe(RowFrame, 1, unboundedfollowing" not in plan
+
+
+@pytest.mark.parametrize("name,scans,exchanges", [("lap_time_split", 4, 8), ("drs_overtakes_split", 6, 12), ("stint_length_split", 4, 8),
+                                                  ("pit_intervals", 4, 6), ("proximity_join", 2, 2)])
+def test_facts_are_read_once(spark, name, scans, exchanges):
+    """Chunk summaries are computed first; the plan itself reads every source once (dimensions once a side)."""
+    plan = _plan(catalog.QUERIES[name](spark, SF))
+    assert plan.count("FileScan") <= scans and plan.count("Exchange hashpartitioning") <= exchanges
+
+
+def test_arg_extrema_are_hashed(spark):
+    assert "SortAggregate" not in _plan(catalog.QUERIES["arg_extrema"](spark, SF))

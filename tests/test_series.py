@@ -168,3 +168,40 @@ def test_special_order_values_on_every_route(spark):
 def test_reserved_column_names_are_refused(spark):
     with pytest.raises(ValueError):
         Series(("k",), ("o",), strategy="window").apply(spark.createDataFrame([(1, 1, 1)], "k int, o int, _rn int"), n=row_number())
+
+
+def test_sums_of_doubles_agree_bit_for_bit_on_every_route(spark):
+    import math
+    from fractions import Fraction
+    rng = random.Random(11)
+    rows = [(k % 2, k, rng.choice([None, 1, -1, 1]) and rng.uniform(-1, 1) * 10.0 ** rng.randrange(-12, 15)) for k in range(400)]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    seen = {}
+    for strategy, parts in (("window", 1), ("window", 9), ("split:16", 3), ("split:50", 7), ("auto:10", 5)):
+        got = Series(("k",), ("t",), strategy=strategy).apply(
+            df.repartition(parts), s=running("sum", "v"), w=whole("sum", "v"), m=whole("avg", "v")).collect()
+        got = sorted((r.k, r.t, r.s, r.w, r.m) for r in got)
+        assert seen.setdefault("want", got) == got, strategy
+    for key in (0, 1):
+        own = [v for k, _, v in rows if k == key and v is not None]
+        exact = float(sum(map(Fraction, own)))
+        w = next(r[3] for r in seen["want"] if r[0] == key)
+        assert math.isclose(w, exact, rel_tol=1e-12)
+
+
+def test_odd_doubles_in_sums(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, 1, None), (1, 2, None), (2, 1, inf), (2, 2, 1.0), (3, 1, nan), (3, 2, 1.0), (4, 1, 1e300), (4, 2, 1.0), (5, 1, 1e-300), (5, 2, 2.0), (6, 1, -0.75)]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    for strategy in ("window", "split:2"):
+        got = {r.k: (r.w, r.m) for r in Series(("k",), ("t",), strategy=strategy).apply(df, w=whole("sum", "v"), m=whole("avg", "v")).collect()}
+        assert got[1] == (None, None) and got[2] == (inf, inf) and got[3][0] != got[3][0]
+        assert got[4] == (1e300, 5e299) and got[5] == (2.0, 1.0) and got[6] == (-0.75, -0.75)
+
+
+def test_a_spec_over_another_spec_through_an_expression(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, t, float(t), 100.0) for t in range(4)], "k int, t int, v double, r double")
+    for strategy in ("window", "split:2"):
+        got = Series(("k",), ("t",), strategy=strategy).apply(df, r=rolling("avg", "v", 1), l=last(F.col("r") + 1)).collect()
+        assert {row.l for row in got} == {3.5}
