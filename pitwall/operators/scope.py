@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
-from pitwall.session import BROADCAST_ROWS, conf_int
+from pitwall.session import BROADCAST_ROWS, SCOPE, conf_int
 
 # Session keys of one scope are resolved to a literal list (for Parquet filter
 # pushdown and partition pruning) only up to this many keys.
@@ -55,6 +55,14 @@ def scope_keys(sessions_f: DataFrame, key: str = "session_key") -> list | None:
     return [r[0] for r in rows]
 
 
+def runtime_scope(spark) -> bool:
+    """Does the session ask for scopes as joins (``spark.pitwall.scope`` = ``runtime``) in place of literal keys?"""
+    mode = spark.conf.get(SCOPE, "keys")
+    if mode not in ("keys", "runtime"):
+        raise ValueError(f"{SCOPE} is keys or runtime, not {mode!r}")
+    return mode == "runtime"
+
+
 def scope_to_session(fact: DataFrame, sessions_f: DataFrame, key: str = "session_key",
                      keys: list | None = None) -> DataFrame:
     """Inner join of a fact table with the filtered session dimension.
@@ -63,10 +71,15 @@ def scope_to_session(fact: DataFrame, sessions_f: DataFrame, key: str = "session
     an ``isin`` filter on the fact, which Parquet row groups and ``session_key``
     partitions outside the scope are pruned by; otherwise it is a left-semi
     join with the (size-checked) session keys.
+
+    With ``spark.pitwall.scope`` = ``runtime`` no key comes to the driver: it is
+    always that semi-join, and on a table partitioned by ``key`` Spark prunes
+    the partitions with the dimension's rows while the query runs.
     """
-    keys = keys if keys is not None else scope_keys(sessions_f, key)
-    if keys is not None:       # the literal list is exactly the semi-join
-        return fact.filter(F.col(key).isin(keys))
+    if not runtime_scope(fact.sparkSession):
+        keys = keys if keys is not None else scope_keys(sessions_f, key)
+        if keys is not None:       # the literal list is exactly the semi-join
+            return fact.filter(F.col(key).isin(keys))
     return fact.join(sized_broadcast(sessions_f.select(key).distinct()), key, "left_semi")
 
 

@@ -27,7 +27,7 @@ from pitwall.functions.exprs import (
 from pitwall.operators.aggs import avg_if, count_if, dedupe_ordered, negative_sum, positive_sum
 from pitwall.operators.joins import containment_join, join_on_time_bucket, nearest_join, proximity_join
 from pitwall.operators.scope import (
-    as_role, left_join_renamed, race_sessions, scope_keys, scope_to_session, session_drivers, with_driver,
+    as_role, left_join_renamed, race_sessions, runtime_scope, scope_keys, scope_to_session, session_drivers, with_driver,
 )
 from pitwall.operators.series import (
     Series, first, lag, last, lead, resolve, rolling, row_number, running, whole,
@@ -43,7 +43,7 @@ class Scope:
         self.t = t
         self.meeting_key = meeting_key
         self.sessions = race_sessions(t["sessions"], meeting_key, session_name)
-        self.keys = scope_keys(self.sessions)
+        self.keys = None if runtime_scope(self.sessions.sparkSession) else scope_keys(self.sessions)
         self._dims = {}
 
     def fact(self, name: str) -> DataFrame:

@@ -12,6 +12,7 @@ HOT_KEY_ROWS = "spark.pitwall.series.hotKeyRows"      # group size above which s
 CHUNK_ROWS = "spark.pitwall.series.chunkRows"          # rows per chunk when a key is split
 BROADCAST_ROWS = "spark.pitwall.broadcast.maxRows"     # row bound for explicit broadcasts
 RANGE_ROWS = "spark.pitwall.series.rangeRows"          # rows per range partition of a split key
+SCOPE = "spark.pitwall.scope"                          # keys: literal session keys | runtime: a join that prunes at run time
 ORDINAL = "spark.pitwall.series.ordinal"               # split-key ordinal route: auto | time | range
 
 DEFAULTS = {

@@ -189,3 +189,61 @@ def test_printed_previews(spark, monkeypatch):
     for job in ("sector_loss", "drs_correlation", "lap_time"):
         jobs.run({}, job, fmt="noop", show=True)
     assert len(shown) == 2 and "correlation" in shown[1]
+
+
+def test_scope_prunes_partitions_at_run_time(spark, tmp_dir):
+    """No key comes to the driver: the sessions side prunes the partitioned fact while the query runs; same rows."""
+    from pitwall.operators.scope import race_sessions, scope_to_session
+    from pitwall.session import SCOPE
+    spark.range(2000).select((F.col("id") % 20).cast("int").alias("session_key"), "id").write.partitionBy("session_key").parquet(f"{tmp_dir}/fact")
+    spark.range(20).select(F.col("id").cast("int").alias("session_key"), (F.col("id") % 4 + 1260).alias("meeting_key"),
+                           F.lit("Race").alias("session_name")).write.parquet(f"{tmp_dir}/sessions")
+    fact, sessions = spark.read.parquet(f"{tmp_dir}/fact"), race_sessions(spark.read.parquet(f"{tmp_dir}/sessions"), 1262)
+    want = sorted(r.id for r in scope_to_session(fact, sessions).collect())
+    spark.conf.set(SCOPE, "runtime")
+    try:
+        out = scope_to_session(fact, sessions)
+        assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.id for r in out.collect()) == want and len(want) == 500
+        spark.conf.set(SCOPE, "other")
+        with pytest.raises(ValueError):
+            scope_to_session(fact, sessions)
+    finally:
+        spark.conf.unset(SCOPE)
+
+
+def test_analyses_agree_on_both_scopes(spark):
+    from pitwall.plans import catalog
+    from pitwall.session import SCOPE
+    sf = "/root/testdata/sf0.001"
+    for name in ("lap_time", "pit_intervals"):
+        want = sorted(map(str, catalog.QUERIES[name](spark, sf).collect()))
+        spark.conf.set(SCOPE, "runtime")
+        try:
+            assert sorted(map(str, catalog.QUERIES[name](spark, sf).collect())) == want
+        finally:
+            spark.conf.unset(SCOPE)
+
+
+def test_bucketed_tables_need_no_exchange(spark, tmp_dir):
+    from pitwall.operators.series import Series, rolling
+    from pitwall.sources.lake import write_bucketed
+    rows = spark.range(3000).select((F.col("id") % 3).alias("session_key"), (F.col("id") % 11).alias("driver_number"), F.col("id").alias("date"), (F.col("id") % 7).alias("v"))
+    a = write_bucketed(rows, "bucketed_a", f"{tmp_dir}/a", buckets=4)
+    b = write_bucketed(rows.withColumnRenamed("v", "w"), "bucketed_b", f"{tmp_dir}/b", buckets=4)
+    try:
+        keys = ("driver_number", "session_key")
+        out = Series(keys, ("date",), strategy="window").apply(a, r=rolling("avg", "v", 3))
+        joined = a.join(b, [*keys, "date"])
+        before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        try:
+            for df in (out, joined):
+                assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", before)
+        want = Series(keys, ("date",), strategy="window").apply(rows, r=rolling("avg", "v", 3))
+        assert sorted(map(str, out.collect())) == sorted(map(str, want.collect())) and joined.count() == 3000
+    finally:
+        spark.sql("DROP TABLE IF EXISTS bucketed_a")
+        spark.sql("DROP TABLE IF EXISTS bucketed_b")
