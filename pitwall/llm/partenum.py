@@ -52,7 +52,7 @@ def spare(percent: int) -> float:
     return 0.2 if percent >= 80 else 0.5
 
 #: Signatures that a task packs at a time.
-PACKED = 1 << 21
+PACKED = 1 << 19
 #: Ids that a broadcast may hold (16 bytes each); beyond it texts are shuffled to their ids.
 BROADCAST_IDS = 1 << 21
 _CELLS = 128  # of the feature counts
@@ -382,10 +382,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hubs = hubs.where("size > 1").select("g", "hub")
     first = groups.join(hubs, "g").where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("times"))
     first = first.groupBy("id").agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
-    first = checkpointed(first.select(F.col("hub").alias("a"), F.col("id").alias("b")))
-    judged = first.select(F.col("b").alias("id"), F.col("a").alias("hub"))
+    first = first.select(F.col("hub").alias("a"), F.col("id").alias("b"))
     linked = (100 + percent) * F.col("common") >= percent * (F.col("na") + F.col("nb"))
     first = checkpointed(by_hub(checkpointed(possible(first, reps, percent)), BLOCK))
+    judged = first.select(F.col("b").alias("id"), F.col("a").alias("hub"))  # the others were ruled out, and are again
     tested = checkpointed(verified(first, rows, n))
     links = tested.where(linked).select("a", "b").unionByName(copies)
     whole = checkpointed(components(links))
