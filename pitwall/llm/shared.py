@@ -17,6 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step holds; longer single texts form a step of their own.
 STEP_BYTES = 1 << 20
+#: Bytes of one Arrow batch between Spark and its Python workers, where the session names no bound: 10,000 long texts
+#: would be held several times on both sides.
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,8 +45,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once per application, whatever their path holds."""
+    """Give the executors' Python this package, once per application, whatever their path holds; bound the batches."""
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     if getattr(sc, "_pitwall_shipped", None) == sc.applicationId:
         return
     package = Path(__file__).resolve().parents[1]
