@@ -17,6 +17,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     links, mark = checkpointed(links), None
+    rows = links.count()  # steps move links and make no more of them
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -26,7 +27,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "a")
         links = checkpointed(
             small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-            .where("a <> b").distinct())
+            .where("a <> b").distinct(), rows)
         new = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == mark:
             return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(

@@ -301,8 +301,9 @@ def clustered(edges: DataFrame, block: int) -> DataFrame:
 
 def by_hub(pairs: DataFrame, block: int) -> DataFrame:
     """Pairs (hub a, b, na, nb) with the group (k, i, j) in which their sets meet: many hubs to a group, or a part of a large hub's."""
-    sizes = checkpointed(pairs.groupBy("a").agg(F.count("*").alias("m")))
-    groups = max(1, pairs.count() // block)
+    n = pairs.count()
+    sizes = checkpointed(pairs.groupBy("a").agg(F.count("*").alias("m")), n)
+    groups = max(1, n // block)
     large = sizes.where(F.col("m") > block).select("a", F.ceil(F.col("m") / block).alias("parts"))
     alone, own = F.col("parts").isNull(), F.xxhash64("a")
     return pairs.join(large, "a", "left").select(
@@ -322,7 +323,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
 
     Sets travel once for every group (k, i, j) of pairs they are in, not once a pair.
     """
-    sides = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id"), "k", "i", "j").distinct())
+    sides = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id"), "k", "i", "j").distinct(), 2 * pairs.count())
     wanted = sides.select(F.col("id").alias("wanted")).distinct()
     few = sides.count() <= BROADCAST_IDS
     own = docs.join(F.broadcast(wanted) if few else wanted, F.col("id") == F.col("wanted"), "left_semi")
@@ -371,7 +372,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reps = facts.where("f is not null and id is not null").groupBy("f").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("counts").alias("counts"))
     whose = facts.where("f is not null and id is not null").select("id", "f").join(reps.select("f", F.col("id").alias("rep")), "f").select("id", "rep")
     copies = whose.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    reps = checkpointed(reps.select("id", "n", "counts"))
+    n_rows = facts.count()
+    reps = checkpointed(reps.select("id", "n", "counts"), n_rows)
 
     ranges = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = packed_signatures(named, n, percent, ranges).groupBy("cell").applyInArrow(grouped(shared_groups), "g long, id long").distinct()
@@ -384,11 +386,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = first.groupBy("id").agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
     first = first.select(F.col("hub").alias("a"), F.col("id").alias("b"))
     linked = (100 + percent) * F.col("common") >= percent * (F.col("na") + F.col("nb"))
-    first = checkpointed(by_hub(checkpointed(possible(first, reps, percent)), BLOCK))
+    first = checkpointed(by_hub(checkpointed(possible(first, reps, percent), n_rows), BLOCK), n_rows)
     judged = first.select(F.col("b").alias("id"), F.col("a").alias("hub"))  # the others were ruled out, and are again
-    tested = checkpointed(verified(first, rows, n))
+    tested = checkpointed(verified(first, rows, n), n_rows)
     links = tested.where(linked).select("a", "b").unionByName(copies)
-    whole = checkpointed(components(links))
+    whole = checkpointed(components(links), n_rows)
 
     # in groups that still hold several components, their documents in blocks
     of = groups.join(whole, F.col("id") == F.col("node"), "left").select("g", "id", F.coalesce("component", "id").alias("c"))

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step holds; longer single texts form a step of their own.
 STEP_BYTES = 1 << 20
+#: Rows of one file of a small checkpointed table.
+FILE_ROWS = 1 << 14
 #: Bytes of one Arrow batch between Spark and its Python workers, where the session names no bound: 10,000 long texts
 #: would be held several times on both sides.
 BATCH_BYTES = 4 << 20
@@ -35,12 +37,18 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the shared checkpoint folder; survives lost executors."""
+def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` computed once into the shared checkpoint folder; survives lost executors.
+
+    A table known to have ``rows`` rows at most is written in as many files as that needs, not in one for every
+    shuffle partition: tables of links and ids are small beside their documents, and each file is opened again.
+    """
     spark = df.sparkSession
     folder = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     return df.checkpoint(eager=True)
 
 
