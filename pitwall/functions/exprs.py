@@ -180,3 +180,32 @@ def from_limbs(prefix: str) -> Column:
         part = F.col(f"{prefix}{k}").cast("double") * 2.0 ** e
         total = part if total is None else total + part
     return total + F.coalesce(F.col(f"{prefix}odd"), F.lit(0.0))
+
+
+def order_free_aggs(df, keys, sums: dict, counts: dict | None = None):
+    """``df`` grouped by ``keys`` with order-free sums of doubles (A2): {name: column}, and plain aggregates beside them.
+
+    The limbs are summed by a partial aggregate like any other sum, so a hot group is combined before the shuffle, and
+    the result does not depend on how rows were read, split or shuffled.
+    """
+    aggs = []
+    for name, c in sums.items():
+        df = with_limbs(df, c, f"_x_{name}_")
+        aggs += [F.sum(f"_x_{name}_{k}").alias(f"_x_{name}_{k}") for k in (*range(len(LIMBS)), "odd")]
+    out = df.groupBy(*keys).agg(*aggs, *[e.alias(n) for n, e in (counts or {}).items()])
+    return out.withColumns({n: from_limbs(f"_x_{n}_") for n in sums}).drop(*[c for c in out.columns if c.startswith("_x_")])
+
+
+def order_free_corr(df, keys, a, b, name: str = "corr"):
+    """Pearson correlation of two columns of doubles per group, from order-free moments.
+
+    Pairs with a null on either side are skipped; products are rounded once a row, their sums are exact. Like
+    ``safe_corr`` it is NULL for a constant column or a single pair; unlike it, the same on every plan.
+    """
+    a, b = _c(a).cast("double"), _c(b).cast("double")
+    df = df.withColumns({"_a": F.when(b.isNotNull(), a), "_b": F.when(a.isNotNull(), b)})
+    x, y = F.col("_a"), F.col("_b")
+    m = order_free_aggs(df, keys, {"_sx": x, "_sy": y, "_sxx": x * x, "_syy": y * y, "_sxy": x * y}, {"_n": F.count("_a")})
+    n, sx, sy = F.col("_n"), F.col("_sx"), F.col("_sy")
+    vx, vy = n * F.col("_sxx") - sx * sx, n * F.col("_syy") - sy * sy
+    return m.select(*keys, F.when((vx > 0) & (vy > 0), (n * F.col("_sxy") - sx * sy) / F.sqrt(vx * vy)).alias(name), F.col("_n").alias(f"{name}_n"))

@@ -119,7 +119,8 @@ def proximity_join(left: DataFrame, right: DataFrame, keys, tol_seconds: int, le
 
 
 def containment_join(left: DataFrame, right: DataFrame, keys, x: str, lo: str, hi: str,
-                     right_cols: dict | None = None, bucket_width: int = 32, how: str = "left") -> DataFrame:
+                     right_cols: dict | None = None, bucket_width: int = 32, how: str = "left",
+                     hot_rows: int | None = None) -> DataFrame:
     """Left rows joined to right ranges of the same keys with lo <= x <= hi, inclusive.
 
     A range belongs to one level: the blocks of ``bucket_width * 2**level`` of
@@ -127,43 +128,68 @@ def containment_join(left: DataFrame, right: DataFrame, keys, x: str, lo: str, h
     the longest range; one for ranges of about a bucket) is an equi-join on keys
     and block, so a range is copied twice at most, however long it is. With
     several levels, left rows without a match come from anti-joins.
+
+    One aggregate over the ranges tells the levels and the largest block of
+    each. A level with a block of more than ``hot_rows`` ranges (default: the
+    session's hot-key bound) is dealt over cells by ``skew_join``; its unmatched
+    rows are found against what the block's ranges cover, one range for every
+    distinct start (so at most as many as a block has whole numbers).
     """
     right_cols = dict(right_cols or {})
+    bound = hot_rows or conf_int(left.sparkSession, HOT_KEY_ROWS)
     r = _right_side(right, keys, right_cols, {"_lo": F.col(lo), "_hi": F.col(hi)}).where(F.col("_lo") <= F.col("_hi"))
+    rkeys = [f"_r_{k}" for k in keys]
     span = (F.col("_hi") - F.col("_lo") + 1).cast("double") / float(bucket_width)
     r = r.withColumn("_lv", F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(span, F.lit(1.0))))).cast("int"))
-    levels = sorted(row[0] for row in r.select("_lv").distinct().collect()) or [0]
-    helpers = ["_lb", "_rb", "_lo", "_hi", "_lv", *[f"_r_{k}" for k in keys]]
+    width = float(bucket_width) * F.pow(F.lit(2.0), F.col("_lv"))
+    r = r.withColumn("_rb", F.explode(F.array_distinct(F.array(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width)))))
+    sizes = r.groupBy(*rkeys, "_lv", "_rb").count().groupBy("_lv").agg(F.max("count").alias("most"))
+    levels = {row["_lv"]: row["most"] for row in sizes.collect()} or {0: 0}      # some sixty rows at most
+    helpers = ["_lb", "_rb", "_lo", "_hi", "_lv", *rkeys]
 
     def at(level: int):
-        width = float(bucket_width) * 2.0 ** level
-        lf = left.withColumn("_lb", F.floor(F.col(x) / width))
+        lf = left.withColumn("_lb", F.floor(F.col(x) / (float(bucket_width) * 2.0 ** level)))
         rf = r.filter(F.col("_lv") == level)
-        rf = rf.withColumn("_rb", F.explode(F.array_distinct(F.array(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width)))))
         return lf, rf, _key_match(lf, rf, keys) & (lf["_lb"] == rf["_rb"]) & (lf[x] >= rf["_lo"]) & (lf[x] <= rf["_hi"])
 
-    if len(levels) == 1:
-        lf, rf, cond = at(levels[0])
+    if len(levels) == 1 and max(levels.values()) <= bound:
+        lf, rf, cond = at(min(levels))
         return lf.join(rf, cond, how).drop(*helpers)
     if how not in ("left", "inner"):
-        raise ValueError("containment_join over several levels supports how='left' or 'inner'")
+        raise ValueError("containment_join over several levels or hot blocks supports how='left' or 'inner'")
+    outcols = [*left.columns, *right_cols.values()]
     matched = None
-    for level in levels:
+    for level, most in sorted(levels.items()):
         lf, rf, cond = at(level)
-        part = lf.join(rf, cond, "inner").drop(*helpers)
+        if most <= bound:
+            part = lf.join(rf, cond, "inner").select(*[lf[c] for c in left.columns], *[rf[c] for c in right_cols.values()])
+        else:
+            on = [*[f"_k_{k}" for k in keys], "_b"]
+            lc = lf.withColumns({**{f"_k_{k}": F.col(k) for k in keys}, "_b": F.col("_lb")}).drop("_lb")
+            rc = rf.select(*[F.col(f"_r_{k}").alias(f"_k_{k}") for k in keys], F.col("_rb").alias("_b"), "_lo", "_hi", *right_cols.values())
+            part = skew_join(lc, rc, on, "inner", bound).filter((F.col(x) >= F.col("_lo")) & (F.col(x) <= F.col("_hi"))).select(*outcols)
         matched = part if matched is None else matched.unionByName(part)
     if how == "inner":
         return matched
     alone = left
-    for level in levels:
+    for level, most in sorted(levels.items()):
         left = alone
         lf, rf, cond = at(level)
+        if most > bound:
+            rf = _covered(rf, [*rkeys, "_rb"])
+            cond = _key_match(lf, rf, keys) & (lf["_lb"] == rf["_rb"]) & (lf[x] >= rf["_lo"]) & (lf[x] <= rf["_hi"])
         alone = lf.join(rf, cond, "left_anti").drop("_lb")
     for src, dst in right_cols.items():
         alone = alone.withColumn(dst, F.lit(None).cast(right.schema[src].dataType))
     return matched.unionByName(alone)
 
 
+def _covered(ranges: DataFrame, keys) -> DataFrame:
+    """Ranges that cover together what ``ranges`` do: of equal starts the longest, of equal ends the longest of those."""
+    longest = ranges.groupBy(*keys, "_lo").agg(F.max("_hi").alias("_hi"))
+    return longest.groupBy(*keys, "_hi").agg(F.min("_lo").alias("_lo"))
+
+
 def nearest_join(left: DataFrame, right: DataFrame, keys, left_ts: str = "date", right_ts: str = "date",
                  right_cols: dict | None = None, strategy: str = "auto", delta_col: str | None = None) -> DataFrame:
     """As-of join in both directions: each left row takes the right row of the same

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pitwall.functions.exprs import (
-    LIMBS, arg_max_of, arg_min_of, bin_floor, drs_open, drs_weight, guarded_pct, half_up, safe_corr, step_change,
+    LIMBS, arg_max_of, arg_min_of, bin_floor, order_free_corr, drs_open, drs_weight, guarded_pct, half_up, safe_corr, step_change,
 )
 from pitwall.operators.aggs import avg_if, count_if, dedupe_ordered, negative_sum, positive_sum
 from pitwall.operators.joins import containment_join, join_on_time_bucket, nearest_join, proximity_join
@@ -315,6 +315,20 @@ def containment_join_q(spark, sf):
                             right_cols={"stint_number": "stint_number", "compound": "compound"})
 
 
+@register("containment_join_hot", W("""
+s AS (SELECT 0 AS k, lap_start + driver_number % 7 AS lo, lap_end + driver_number % 90 AS hi, driver_number, stint_number FROM stints WHERE session_key = 1),
+l AS (SELECT driver_number % 2 AS k, lap_number * 2 AS at, lap_duration FROM laps WHERE session_key = 2 AND lap_number % 5 = 0)
+SELECT l.k, l.at, l.lap_duration, s.driver_number AS stint_driver, s.stint_number FROM l LEFT JOIN s ON l.k = s.k AND l.at >= s.lo AND l.at <= s.hi"""))
+def containment_join_hot(spark, sf):
+    """J8 with all ranges on one key and few blocks, over several levels: hot blocks are dealt over cells."""
+    t = _t(spark, sf)
+    s = t["stints"].filter(F.col("session_key") == 1).select(
+        F.lit(0).cast("bigint").alias("k"), (F.col("lap_start") + F.col(D) % 7).alias("lo"), (F.col("lap_end") + F.col(D) % 90).alias("hi"), D, "stint_number")
+    laps = t["laps"].filter((F.col("session_key") == 2) & (F.col("lap_number") % 5 == 0)).select(
+        (F.col(D) % 2).alias("k"), (F.col("lap_number") * 2).alias("at"), "lap_duration")
+    return containment_join(laps, s, ["k"], "at", "lo", "hi", right_cols={D: "stint_driver", "stint_number": "stint_number"}, hot_rows=8)
+
+
 NEAREST_SQL = W(f"""
 j AS (SELECT o.session_key, o.overtaking_driver_number, o.date, c.date AS car_date, c.speed AS car_speed,
              c.drs AS car_drs,
@@ -600,6 +614,36 @@ SELECT user_id, ts, event_id, v, {_limb_sums('sum({}) OVER w')} AS upto, {_limb_
 FROM r{len(LIMBS) - 1} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""", _running_doubles, isolate_too=True)
 
 
+MOMENTS = {"sx": "x", "sy": "y", "sxx": "x * x", "syy": "y * y", "sxy": "x * y"}
+
+
+def _moment_sql() -> str:
+    """Limb sums of every moment, one CTE each, joined by group."""
+    ctes, cols = [], []
+    for name, e in MOMENTS.items():
+        rest, last = "v", f"{name}_"
+        ctes.append(f"{last} AS (SELECT g, {e} AS v FROM pairs)")
+        for k, p in enumerate(LIMBS):
+            ctes.append(f"{name}_{k} AS (SELECT *, CAST(trunc({rest} * {2.0 ** -p!r}::DOUBLE) AS HUGEINT) AS l{k} FROM {last})")
+            rest, last = f"({rest} - CAST(l{k} AS DOUBLE) * {2.0 ** p!r}::DOUBLE)", f"{name}_{k}"
+        ctes.append(f"{name}_sum AS (SELECT g, {_limb_sums('sum({})')} AS {name} FROM {last} GROUP BY g)")
+        cols.append(f"{name}_sum")
+    joins = cols[0] + "".join(f" JOIN {c} USING (g)" for c in cols[1:])
+    return ", ".join(ctes) + f", moments AS (SELECT * FROM {joins} JOIN (SELECT g, count(*) AS n FROM pairs GROUP BY g) USING (g))"
+
+
+@register("order_free_corr", f"""
+WITH pairs AS (SELECT l_returnflag || l_linestatus AS g, l_extendedprice / 3 AS x, l_tax / 7 + l_quantity AS y FROM lineitem),
+{_moment_sql()},
+v AS (SELECT *, n * sxx - sx * sx AS vx, n * syy - sy * sy AS vy FROM moments)
+SELECT g, CASE WHEN vx > 0 AND vy > 0 THEN (n * sxy - sx * sy) / sqrt(vx * vy) END AS corr, n AS corr_n FROM v""")
+def order_free_corr_q(spark, sf):
+    """Correlation of doubles from moments that do not depend on the order of rows."""
+    li = read(spark, sf, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("g"), (F.col("l_extendedprice") / 3).alias("x"),
+                                            (F.col("l_tax") / 7 + F.col("l_quantity")).alias("y"))
+    return order_free_corr(li, ["g"], "x", "y")
+
+
 def _full_frame(spark, sf, strategy):
     t = _t(spark, sf)
     laps = t["laps"].select("session_key", D, "lap_number", "lap_duration")

@@ -94,3 +94,23 @@ def test_packed_arg_extrema_equal_structs(spark):
     assert "SortAggregate" not in alone._jdf.queryExecution().executedPlan().toString()
     wide = df.withColumn("p", F.col("p").cast("double"))                # no room or no whole number: the struct
     assert wide.groupBy("k").agg(arg_max_of(wide, "v", "p").alias("a")).count() == df.select("k").distinct().count()
+
+
+def test_order_free_moments(spark):
+    import math
+    import random
+    from pyspark.sql import functions as F
+    from pitwall.functions.exprs import order_free_aggs, order_free_corr, safe_corr
+    rng = random.Random(4)
+    rows = [(k % 3, rng.choice([None, rng.uniform(200, 340)]), rng.choice([None, rng.uniform(1e4, 1.2e4)]), 5.0) for k in range(300)] + [(7, 1.0, 2.0, 5.0)]
+    df = spark.createDataFrame(rows, "k int, a double, b double, c double")
+    seen = None
+    for parts in (1, 4, 9):
+        own = df.repartition(parts)
+        got = sorted(map(tuple, order_free_corr(own, ["k"], "a", "b").collect()))
+        sums = sorted(map(tuple, order_free_aggs(own, ["k"], {"s": F.col("a")}, {"n": F.count("a")}).collect()))
+        assert seen in (None, (got, sums))
+        seen = got, sums
+    want = {r[0]: r[1] for r in df.groupBy("k").agg(safe_corr("a", "b")).collect()}
+    assert all((v is None and want[k] is None) or math.isclose(v, want[k], rel_tol=1e-8) for k, v, _ in seen[0]) and want[7] is None
+    assert {r[1] for r in order_free_corr(df, ["k"], "a", "c").collect()} == {None}

@@ -92,3 +92,20 @@ def test_proximity_join_reads_each_side_once(spark, tmp_path):
     out = proximity_join(spark.read.parquet(f"{tmp_path}/l"), spark.read.parquet(f"{tmp_path}/r"), ("k",), 30, right_cols={"id": "r"})
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 2 and plan.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("bound", [2, 30, 100_000])
+@pytest.mark.parametrize("longest", [20, 3000])
+def test_containment_join_with_hot_blocks(spark, how, bound, longest):
+    from pitwall.operators.joins import containment_join
+    rng = random.Random(longest)
+    left = [(rng.choice([None, 1, 1, 2, 3]), rng.choice([None, rng.randrange(0, 300), rng.randrange(100, 110)]), k) for k in range(150)] + [(1, 5, 5)] * 3
+    right = [(rng.choice([None, 1, 1, 2, 4]), lo, lo + rng.choice([-1, 0, 3, rng.randrange(longest)]), k)
+             for k in range(120) for lo in [rng.choice([rng.randrange(300), 100])]] + [(1, 100, 105, 3)] * 4
+    l = spark.createDataFrame(left, "k int, x int, l int")
+    r = spark.createDataFrame(right, "k int, lo int, hi int, r int")
+    got = containment_join(l, r, ("k",), "x", "lo", "hi", right_cols={"r": "r"}, bucket_width=8, how=how, hot_rows=bound)
+    p, q = l.alias("p"), r.alias("q")
+    want = p.join(q, (F.col("p.k") == F.col("q.k")) & F.col("p.x").between(F.col("q.lo"), F.col("q.hi")), how).select("p.k", "p.x", "p.l", "q.r")
+    assert rows(got) == rows(want)
