@@ -7,9 +7,11 @@ wins; the score is its posterior under the mean evidence of a word, so that long
 
 Learning: languages, words and n-grams come from rows with a language and a text, outside the held-out fold
 (crc32 of the id as text modulo ``folds`` equal to ``held``). At most about ``sample_rows`` such rows are learned
-from, chosen by a hash of the id (the documented bound of the classifier's sample), counted in Spark, and the
-``max_words`` and ``max_grams`` most frequent entries of each language and length are kept; that bounds the model
-that is broadcast. Prediction covers every row and whole texts and reads the text only.
+from (the documented bound of the classifier's sample), chosen by a hash of the id, an equal share of every language
+that has so many, so a rare language is learned beside frequent ones. They are counted in Spark, and of each language and
+length the most frequent entries are kept, cut at a power of two of the count so that at most ``max_words`` or
+``max_grams`` are; that bounds the model that is broadcast. Prediction covers every row and whole texts and reads the
+text only.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; a null id is neither learned from nor
 held out; without a learnable row every text is ``und``; ties go to the language that sorts first.
@@ -27,7 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_map, steps
+from .shared import arrow_map, checkpointed, cut, steps
 
 LETTERS = regex.compile(r"\p{L}+")
 ORDERS = (4, 3, 2, 1)
@@ -71,12 +73,16 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int
     """Languages; (length, 0 for words; entry; language; count) of the entries kept; totals by (length, language)."""
     usable = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
                         & ~in_fold(F.col(id_col), folds, held))
-    n = usable.select(id_col).count()
-    if not n:
+    lang = F.col(lang_col).cast("string")
+    numbers = {r[0]: r[1] for r in usable.groupBy(lang.alias("lang")).count().collect()}  # a row for each language of the model
+    if not numbers:
         return [], [], {}
-    rate = min(1.0, sample_rows / n)
+    spark = docs.sparkSession
+    share = sample_rows / len(numbers)
+    rates = spark.createDataFrame([(k, int(min(1.0, share / n) * (1 << 20) + 0.999)) for k, n in numbers.items()], "lang string, rate int")
     at = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20))
-    sample = usable.where(at < int(rate * (1 << 20) + 0.999)).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    sample = usable.select(lang.alias("lang"), F.col(text_col).alias("text"), at.alias("at")) \
+        .join(F.broadcast(rates), "lang").where(F.col("at") < F.col("rate")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[int, str], Counter] = {}
@@ -107,16 +113,17 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int
 
     totals = arrow_map(sample, count, "length int, entry string, lang string, n long") \
         .groupBy("length", "entry", "lang").agg(F.sum("n").alias("n"))
-    from pyspark.sql import Window
-
-    from .shared import checkpointed
     totals = checkpointed(totals)
-    sums = {(r[0], r[1]): (r[2], r[3]) for r in totals.groupBy("length", "lang").agg(F.sum("n"), F.count("*")).collect()}
-    best = Window.partitionBy("length", "lang").orderBy(F.desc("n"), "entry")
-    kept = totals.withColumn("place", F.row_number().over(best)) \
-        .where(F.col("place") <= F.when(F.col("length") == 0, max_words).otherwise(max_grams))
+    power = F.floor(F.log2(F.col("n").cast("double") + 0.25))
+    sizes: dict[tuple[int, str], dict[int, tuple[int, int]]] = {}
+    for k, own, p, entries, n in totals.groupBy("length", "lang", power.alias("p")).agg(F.count("*"), F.sum("n")).collect():
+        sizes.setdefault((k, own), {})[p] = entries, n
+    cuts = spark.createDataFrame([(k, own, 1 << cut(by, max_grams if k else max_words)) for (k, own), by in sizes.items()],
+                                 "length int, lang string, least long")
+    kept = totals.join(F.broadcast(cuts), ["length", "lang"]).where(F.col("n") >= F.col("least"))
     rows = [tuple(r) for r in kept.select("length", "entry", "lang", "n").collect()]
-    return sorted({lang for _, lang in sums}), rows, sums
+    sums = {key: (sum(n for _, n in by.values()), sum(c for c, _ in by.values())) for key, by in sizes.items()}
+    return sorted({own for _, own in sums}), rows, sums
 
 
 class Model:

@@ -125,3 +125,13 @@ def steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTE
             stop = max(start + 1, int(np.searchsorted(total, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+
+
+def cut(sizes: dict[int, tuple[int, int]], most: int) -> int:
+    """The least power of two such that at most ``most`` entries have that count or more; ``sizes`` (entries and their sum)
+    by floor of the count's log2."""
+    at, inside = max(sizes, default=0) + 1, 0
+    while sizes and at > 0 and inside + sizes.get(at - 1, (0, 0))[0] <= most:
+        at -= 1
+        inside += sizes.get(at, (0, 0))[0]
+    return at

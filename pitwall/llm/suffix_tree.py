@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .langid import in_fold
-from .shared import arrow_map, checkpointed, steps
+from .shared import arrow_map, checkpointed, cut, steps
 from .words import SPACED, raw, words
 
 DEPTH = 5
@@ -290,15 +290,6 @@ def deep_scores(grams: DataFrame, top: list[tuple[np.ndarray, ...]], min_count:
     return arrow_map(dealt.select("kind", "key", "n"), run, "key long, met long, log float")
 
 
-def _cut(sizes: dict[int, tuple[int, int]], most: int) -> int:
-    """The least power of two such that at most ``most`` entries have that count or more; ``sizes`` by floor of log2."""
-    cut, inside = max(sizes, default=0) + 1, 0
-    while sizes and cut > 0 and inside + sizes.get(cut - 1, (0, 0))[0] <= most:
-        cut -= 1
-        inside += sizes.get(cut, (0, 0))[0]
-    return cut
-
-
 def _sizes(counted: DataFrame, n: str) -> dict[int, tuple[int, int]]:
     """Entries and sum of ``n`` by the floor of its log2."""
     return {r[0]: (r[1], r[2]) for r in counted.groupBy(F.floor(F.log2(F.col(n).cast("double") + 0.25)).alias("p"))
@@ -316,7 +307,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     vocabulary = counts.where(F.col("kind") == WORD).select("key", "n")
     sizes = _sizes(vocabulary, "n")
     n_all, n_types = sum(s for _, s in sizes.values()), sum(c for c, _ in sizes.values())
-    cut = _cut(sizes, head_words)
+    word_cut = cut(sizes, head_words)
     short = F.col("key").bitwiseAND(F.lit((1 << 8 * (TOP + 1)) - 1))
     t = counts.where(F.col("kind") == GRAM).groupBy(short.alias("key")).agg(F.sum("n").alias("n")).toArrow()
     top, keep = _candidates(t.column("key").to_numpy().view(np.uint64), t.column("n").to_numpy().astype(np.float64), [], TOP,
@@ -326,13 +317,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     endings = t.column("ending").to_numpy().view(np.uint64)
     deep = np.zeros(1 << 8 * (TOP + 1), np.uint8)
     deep[endings] = 1
-    gram_cut = _cut(_sizes(grams, "met"), head_grams)
+    gram_cut = cut(_sizes(grams, "met"), head_grams)
     t = grams.where(F.col("met") >= 1 << gram_cut).select("key", "log").toArrow()
     keys, logs = t.column("key").to_numpy().view(np.uint64), t.column("log").to_numpy()
     order = np.argsort(keys)
     scores = (_close(top, keep, endings), smoothing, np.packbits(deep), keys[order], logs[order])
     # by counts of at least 2 ** cut; the end is looked up like a word
-    t = vocabulary.where((F.col("n") >= 1 << cut) | (F.col("key") == END)).toArrow()
+    t = vocabulary.where((F.col("n") >= 1 << word_cut) | (F.col("key") == END)).toArrow()
     keys, n = t.column("key").to_numpy().view(np.uint64), t.column("n").to_numpy()
     order = np.argsort(keys)
     head = (keys[order], n[order].astype(np.int64))
@@ -371,7 +362,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
         rows.withColumn("row", F.monotonically_increasing_id()), run,
         f"id {id_type}, row long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>, "
         "grams array<long>"))
-    rest = vocabulary.where(F.col("n") < 1 << cut)
+    rest = vocabulary.where(F.col("n") < 1 << word_cut)
     tail = scored.select("row", F.explode("rare").alias("key")).join(rest, "key", "left").groupBy("row").agg(
         F.sum(F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(below)))).alias("more"), F.count("n").alias("known"))
     deeper = scored.select("row", F.explode("grams").alias("key")).join(grams.where(F.col("met") < 1 << gram_cut), "key") \
