@@ -789,15 +789,25 @@ register("lap_time_all_drivers", _lap_time_sql(
     "WHERE f.session_key IN (SELECT session_key FROM sess) AND f.lap_duration IS NOT NULL"))(
     _race(race.lap_time, team=TEAM, driver_scope="raw"))
 
-register("max_speed", W(f"""
-l AS ({_dim_join('laps', extra=f"AND d.team_name IN ({_in(TEAMS)})")})
-SELECT driver_number, full_name, team_name, max(st_speed) AS best_speed_trap, {R('avg(st_speed)', 2)} AS avg_speed_trap,
-       min(duration_sector_3) AS best_s3_time, {R('avg(duration_sector_3)', 3)} AS avg_s3_time,
+MAX_SPEED_SQL = """
+l AS ({src})
+SELECT driver_number, full_name, team_name, max(st_speed) AS best_speed_trap, {avg_speed} AS avg_speed_trap,
+       min(duration_sector_3) AS best_s3_time, {avg_s3} AS avg_s3_time,
        max(lap_number) AS laps_completed,
        struct_extract(max(CASE WHEN st_speed IS NOT NULL THEN {{'v': st_speed, 'p': lap_number}} END), 'p') AS lap_best_speed_trap,
        struct_extract(min(CASE WHEN duration_sector_3 IS NOT NULL THEN {{'v': duration_sector_3, 'p': lap_number}} END), 'p') AS lap_best_s3_time,
-       {MEETING} AS meeting_key
-FROM l GROUP BY driver_number, full_name, team_name"""))(_race(race.max_speed, teams=TEAMS))
+       {m} AS meeting_key
+FROM l GROUP BY driver_number, full_name, team_name"""
+
+
+def _max_speed_sql(dim: str) -> str:
+    return W(MAX_SPEED_SQL.format(src=_dim_join("laps", dim, extra=f"AND d.team_name IN ({_in(TEAMS)})"), avg_speed=R("avg(st_speed)", 2),
+                                  avg_s3=R("avg(duration_sector_3)", 3), m=MEETING))
+
+
+register("max_speed", _max_speed_sql("dim"))(_race(race.max_speed, teams=TEAMS))
+# the literal join: every row of the drivers table, a session each (H2)
+register("max_speed_all_drivers", _max_speed_sql("drivers"))(_race(race.max_speed, teams=TEAMS, driver_scope="raw"))
 
 PIT_SQL = W(f"""
 iv AS (SELECT f.*, lag(gap_to_leader, 5) OVER w AS b, lead(gap_to_leader, 5) OVER w AS a
@@ -909,8 +919,11 @@ SELECT driver_number, full_name, CAST(sum(CASE WHEN pc > 0 THEN pc ELSE 0 END) A
        CAST(sum(CASE WHEN pc < 0 THEN pc ELSE 0 END) AS BIGINT) AS total_positions_lost, {MEETING} AS meeting_key
 FROM w GROUP BY driver_number, full_name"""))(_race(race.position_change, drivers=DRIVERS))
 
-SECTOR_SQL = W(f"""
-l AS ({_dim_join('laps', extra=f"AND d.team_name = '{TEAM}'")}),
+def _sector_sql(dim: str) -> str:
+    return W(f"""
+dimall AS (SELECT driver_number, full_name, team_name FROM drivers
+           QUALIFY row_number() OVER (PARTITION BY driver_number ORDER BY full_name, team_name) = 1),
+l AS ({_dim_join('laps', dim, extra=f"AND d.team_name = '{TEAM}'")}),
 w AS (SELECT *, avg(duration_sector_1) OVER wr AS r1, avg(duration_sector_2) OVER wr AS r2,
              avg(duration_sector_3) OVER wr AS r3, min(duration_sector_1) OVER wp AS b1,
              min(duration_sector_2) OVER wp AS b2, min(duration_sector_3) OVER wp AS b3,
@@ -925,8 +938,12 @@ SELECT driver_number, full_name, lap_number, lap_duration, best_lap, {R('duratio
        {R(R('r1 - b1', 3) + ' + ' + R('r2 - b2', 3) + ' + ' + R('r3 - b3', 3), 3)} AS total_loss,
        {MEETING} AS meeting_key
 FROM w""")
-register("sector_loss", SECTOR_SQL)(_race(race.sector_loss, team=TEAM))
-register("sector_loss_split", SECTOR_SQL)(_race(race.sector_loss, team=TEAM, strategy=SPLIT))
+
+
+register("sector_loss", _sector_sql("dim"))(_race(race.sector_loss, team=TEAM))
+register("sector_loss_split", _sector_sql("dim"))(_race(race.sector_loss, team=TEAM, strategy=SPLIT))
+# the literal join: one row per driver of all sessions (H6)
+register("sector_loss_all_drivers", _sector_sql("dimall"))(_race(race.sector_loss, team=TEAM, driver_scope="all"))
 
 register("drs_correlation", W(f"""
 c AS ({_dim_join('car_data', extra=f"AND d.team_name = '{TEAM}' AND f.speed > 0")}),
