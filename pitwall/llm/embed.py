@@ -13,7 +13,9 @@ forest where they are found, so no pair leaves its task. A crowded cell is cut i
 each pair of tiles is a group of its own; no task holds more than two tiles.
 
 Defined cases: null labels, null ids, null or zero vectors and vectors with null or non-finite components link with
-nothing; vectors of different lengths do not link; repeated rows are copies and link; other columns are ignored.
+nothing; vectors of different lengths do not link; repeated rows are copies and link; several vectors of one id count
+their links each and share a component; components are whatever size a double has; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ length the most frequent entries are kept, cut at a power of two of the count so
 text only.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; a null id is neither learned from nor
-held out; without a learnable row every text is ``und``; ties go to the language that sorts first.
+held out; without a learnable row every text is ``und``; ties go to the language that sorts first; repeated rows are
+learned from and judged each; an empty table gives an empty result; texts of any length are read whole, in lists of
+bounded size; the input's columns travel in a struct, so none can clash.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ length, then start; one whose interval lies within the interval of a detection k
 The base phrases are found apart from the rules at all their places and their labels always stay.
 
 Defined cases: null and empty texts have no words, no labels (empty strings), null places and score 0; equal
-detections count once; repeated rows are each scanned; a text is scanned whole, whatever its length.
+detections count once; repeated rows are each scanned; a text is scanned whole, whatever its length; an empty table
+gives an empty result; other columns are ignored, and none can clash.
 """
 
 from __future__ import annotations

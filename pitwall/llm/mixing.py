@@ -7,7 +7,8 @@ table, and rows are only ordered within their range of about ``range_rows`` rows
 all rows is spread over as many tasks as its share.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order; null ids share one
-key; repeated rows count each; an empty table gives an empty result; other columns are ignored.
+key; equal keys are ordered by id and size; repeated rows count each; an empty table gives an empty result; texts of any
+length are counted whole; other columns are ignored.
 """
 
 from __future__ import annotations

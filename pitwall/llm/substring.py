@@ -25,7 +25,9 @@ Word identity is a 32-bit hash, window identity a 64-bit one: two windows that d
 chance of 2^-32.
 
 Defined cases: null and empty texts have no words; texts shorter than a window lose nothing; rows with a null id lose
-nothing and are no reference; rows that share an id are no earlier document to each other; other columns travel along.
+nothing and are no reference; rows that share an id are no earlier document to each other, in whatever chunks they are;
+an empty table gives an empty result; a text is taken whole (its words' hashes are held at once, about 40 bytes a byte
+of a single text); ids are whole numbers (others do not cast); other columns travel along.
 """
 
 from __future__ import annotations

@@ -23,7 +23,9 @@ The base needs the training count of every word. Counts of the ``head_words`` mo
 two of the count, so at most that many) are broadcast; the rest are joined on the word's hash.
 
 Defined cases: null and empty texts are the end token alone; a null id is learned from and not held out; without any
-training row every count is 0 and the base of a token is 0 (log10 of (0.5 / 0.5)); repeated rows are learned and scored each.
+training row every count is 0 and the base of a token is 0 (log10 of (0.5 / 0.5)); repeated rows are learned and scored
+each; an empty table gives an empty result; a text is scored whole (its symbols' keys are held at once, about 40 bytes a
+byte of a single text); equal counts need no order; other columns are ignored, and none can clash.
 """
 
 from __future__ import annotations
@@ -240,17 +242,6 @@ def _close(levels: list[tuple[np.ndarray, ...]], keep: list[np.ndarray], longer:
     return out[::-1]
 
 
-def grow(grams: DataFrame, min_count: int, min_share: float, divergence: float, smoothing: float) -> list[tuple[np.ndarray, ...]]:
-    """All retained levels at once, from gram counts (key, n) that fit on the driver. ``min_share`` is a least share of
-    all symbols for a candidate; ``score`` has none."""
-    t = grams.toArrow()
-    keys, n = t.column("key").to_numpy().view(np.uint64), t.column("n").to_numpy().astype(np.float64)
-    if not n.sum():
-        return []
-    levels, keep = _candidates(keys, n, [], DEPTH, max(min_count, min_share * n.sum()), divergence, smoothing)
-    return _close(levels, keep, np.zeros(0, np.uint64))
-
-
 def deep_scores(grams: DataFrame, top: list[tuple[np.ndarray, ...]], min_count: int, divergence: float, smoothing: float) -> DataFrame:
     """key, met and log of every gram (kind, key, n) that ends in a retained context of more than TOP bytes; ``top``
     has all shorter candidates."""

@@ -9,7 +9,8 @@ count of every prefix of the piece. Whole texts are sums over pieces, and as pie
 ``Prefixes`` answers how many tokens any prefix has and which prefix fits a budget, without encoding again.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens; special strings inside texts count as their one
-token; texts may be of any length (pieces stream, only token ends are kept); other columns are ignored.
+token; texts may be of any length (pieces stream, only token ends are kept); repeated rows count each; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ Files go through ``pyarrow.fs``, which opens local, HDFS and object-store addres
 
 Defined cases: a null payload is empty; a null id sorts first, counts as the smallest and shares a range; equal rows
 of one id are a response and revisits of the same id; null addresses become the record's own name; an empty table
-gives an empty manifest and no file; other columns are ignored.
+gives an empty manifest and no file; a page of any length is one record (held whole); other columns are ignored.
 """
 
 from __future__ import annotations

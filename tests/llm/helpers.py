@@ -1,5 +1,6 @@
 """Brute-force forms that the operators are held against."""
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -89,3 +90,48 @@ def unigram(docs, folds=5, held=1):
             counts[None] += 1
             total += len(w) + 1
     return total, len(counts), counts
+
+
+def spelled(text, depth=5):
+    t = " ".join(spaced(lower(text))).encode()
+    return b" " * depth + t + (b" \n" if t else b"\n")
+
+
+def suffix_tree_scores(train, texts, min_count=8, divergence=2.0, smoothing=8.0, depth=5):
+    """log10 probability of every text under contexts retained by count and divergence, from the definition, by dictionaries."""
+    counts = [{} for _ in range(depth + 1)]
+    for t in train:
+        s = spelled(t, depth)
+        for j in range(depth, len(s)):
+            for d in range(depth + 1):
+                counts[d].setdefault(s[j - d:j], Counter())[s[j]] += 1
+    totals = {c: sum(n.values()) for level in counts for c, n in level.items()}
+    count = {c: n for level in counts for c, n in level.items()}
+    candidates = {c for c, n in totals.items() if n >= min_count}
+
+    def probability(states, context, symbol, upto=None):
+        p = 1 / 256
+        for d in range((len(context) if upto is None else upto) + 1):
+            c = context[len(context) - d:]
+            if c in states:
+                p = (count[c][symbol] + smoothing * p) / (totals[c] + smoothing)
+        return p
+
+    kept = set()
+    for c in candidates:
+        gain = sum(n * math.log(n / totals[c] / probability(candidates, c, s, len(c) - 1)) for s, n in count[c].items()) if c else math.inf
+        if gain >= divergence:
+            kept |= {c[k:] for k in range(len(c) + 1)} & candidates
+    known = {}
+
+    def log(context, symbol):
+        key = context, symbol
+        if key not in known:
+            known[key] = math.log10(probability(kept, context, symbol))
+        return known[key]
+
+    out = []
+    for t in texts:
+        s = spelled(t, depth)
+        out.append(sum(log(s[j - depth:j], s[j]) for j in range(depth, len(s))))
+    return out

@@ -48,3 +48,32 @@ def test_run_is_the_stages_in_order(spark):
     assert {"doc_id", "size", "source_size", "target", "taken"} <= set(got.columns) and got.count() > 100
     again = corpus_pipeline.run(spark, SMALL)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, again.collect()), key=str)
+
+
+def stages_of(spark, docs):
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        path = fresh_path(spark, "test-odd-stage")
+        stage(spark, docs, SMALL).write.parquet(path)
+        docs = spark.read.parquet(path)
+        out.append((name, docs))
+    return out
+
+
+def test_empty_and_null_only_tables(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for rows in ([], [(1, None, "en", "a", 0), (2, None, None, None, None), (None, None, "en", "a", 0), (3, "", "en", "a", 0)]):
+        for name, docs in stages_of(spark, spark.createDataFrame(rows, schema)):
+            assert docs.count() == 0, name
+
+
+def test_null_ids_and_columns_whose_names_clash(spark):
+    text = "the cat and the dog went to the house by the river and then they came back home again"
+    rows = [(k, f"{text} number {k} " + " ".join(f"w{k}x{j}" for j in range(60)), "en", "s", 1, "r", 2, "c", 0.5, "t") for k in (1, 2, 3)]
+    rows += [(None, rows[0][1], "en", "s", 1, "r", 2, "c", 0.5, "t")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, chunk int, id string, score double, lang_pred string"
+    stages = stages_of(spark, spark.createDataFrame(rows, schema))
+    for name, docs in stages[:-1]:
+        assert docs.columns == [c.split()[0] for c in schema.split(", ")] and docs.count() == 4, name
+        assert {r.row for r in docs.collect()} == {"r"}
+    assert stages[-1][1].count() == 4

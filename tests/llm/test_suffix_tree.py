@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import fold, lower, spaced, unigram
+from helpers import fold, lower, spaced, suffix_tree_scores, unigram
 
 from pitwall.llm import suffix_tree
 
@@ -65,9 +65,14 @@ def test_tree_equals_brute_force():
 
 
 def test_retained_contexts(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
-    grams = suffix_tree.count(docs).where("kind = 1").select("key", "n")
-    few, many = (suffix_tree.grow(grams, 64, 2e-6, d, 8.0) for d in (1e5, 2.0))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").toPandas().text
+    keys, n = np.unique(suffix_tree.spelled(pa.array(docs, pa.string()))[0], return_counts=True)
+
+    def grown(divergence):
+        levels, keep = suffix_tree._candidates(keys, n, [], suffix_tree.DEPTH, 64, divergence, 8.0)
+        return suffix_tree._close(levels, keep, np.zeros(0, np.uint64))
+
+    few, many = grown(1e5), grown(2.0)
     for levels in (few, many):
         for depth in range(1, suffix_tree.DEPTH + 1):  # every state's suffix is a state
             shorter = levels[depth][0] & np.uint64((1 << 8 * (depth - 1)) - 1)
@@ -88,13 +93,10 @@ def test_empty_table(frame):
 @pytest.mark.parametrize("head_grams", [1 << 20, 500, 0])
 def test_scores_are_those_of_the_whole_tree(frame, odd, small, head_grams):
     docs = [*odd, (None, "one two"), *((1000 + i, t) for i, t in small)]
-    train = pa.array([t for i, t in docs if i is None or fold(i, 5) != 1], pa.string())
-    keys, n = np.unique(suffix_tree.spelled(train)[0], return_counts=True)
-    grams = frame([]).sparkSession.createDataFrame(pa.table({"key": keys.view(np.int64), "n": n}))
-    tree = suffix_tree.Tree(suffix_tree.grow(grams, 8, 0.0, 2.0, 8.0), 8.0)
+    want = suffix_tree_scores([t for i, t in docs if i is None or fold(i, 5) != 1], [t for _, t in docs])
     got = {r.doc_id: r.score for r in suffix_tree.score(frame(docs), head_grams=head_grams).collect()}
-    for i, t in docs:
-        assert got[i] == pytest.approx(tree.logs(suffix_tree.spelled(pa.array([t], pa.string()))[0]).sum(), rel=1e-5), i
+    for (i, _), score in zip(docs, want):
+        assert got[i] == pytest.approx(score, rel=1e-5), i
 
 
 def test_the_bar_does_not_rise_with_the_table(frame):
