@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet into the shared folder and
 read again as the next stage's documents. All but the last return the columns of the documents.
+
+Defined cases are those of the stages' operators. Documents without a text or a letter go in the first stage; a null id
+stays through all stages (it is no copy of and no reference for another); rows that share an id stay or go together as near
+copies; an empty table, or one that a stage empties, passes through; texts of any length are taken whole; other
+columns travel along, whatever their names.
 """
 
 from __future__ import annotations
