@@ -124,10 +124,12 @@ def containment_join(left: DataFrame, right: DataFrame, keys, x: str, lo: str, h
     """Left rows joined to right ranges of the same keys with lo <= x <= hi, inclusive.
 
     A range belongs to one level: the blocks of ``bucket_width * 2**level`` of
-    which it covers at most two. Each level in use (at most one per doubling of
-    the longest range; one for ranges of about a bucket) is an equi-join on keys
-    and block, so a range is copied twice at most, however long it is. With
-    several levels, left rows without a match come from anti-joins.
+    which it covers at most two, so a range is copied twice at most, however
+    long it is. Levels in use are at most one per doubling of the longest range;
+    one for ranges of about a bucket, which is then a single outer join on keys
+    and block. With several, a left row is copied to its block on each of them
+    and one inner join makes all matches; left rows without a match come from
+    anti-joins, one after the other.
 
     One aggregate over the ranges tells the levels and the largest block of
     each. A level with a block of more than ``hot_rows`` ranges (default: the
@@ -158,17 +160,23 @@ def containment_join(left: DataFrame, right: DataFrame, keys, x: str, lo: str, h
     if how not in ("left", "inner"):
         raise ValueError("containment_join over several levels or hot blocks supports how='left' or 'inner'")
     outcols = [*left.columns, *right_cols.values()]
-    matched = None
-    for level, most in sorted(levels.items()):
-        lf, rf, cond = at(level)
-        if most <= bound:
-            part = lf.join(rf, cond, "inner").select(*[lf[c] for c in left.columns], *[rf[c] for c in right_cols.values()])
-        else:
-            on = [*[f"_k_{k}" for k in keys], "_b"]
-            lc = lf.withColumns({**{f"_k_{k}": F.col(k) for k in keys}, "_b": F.col("_lb")}).drop("_lb")
-            rc = rf.select(*[F.col(f"_r_{k}").alias(f"_k_{k}") for k in keys], F.col("_rb").alias("_b"), "_lo", "_hi", *right_cols.values())
-            part = skew_join(lc, rc, on, "inner", bound).filter((F.col(x) >= F.col("_lo")) & (F.col(x) <= F.col("_hi"))).select(*outcols)
-        matched = part if matched is None else matched.unionByName(part)
+    calm, crowded = ([lv for lv, most in sorted(levels.items()) if (most > bound) == hot] for hot in (False, True))
+    parts = []
+    if calm:        # all levels in one join: a left row is copied to its block on each
+        lf = left.withColumn("_llv", F.explode(F.array(*[F.lit(lv) for lv in calm])))
+        lf = lf.withColumn("_lb", F.floor(F.col(x) / (float(bucket_width) * F.pow(F.lit(2.0), F.col("_llv")))))
+        rf = r.filter(F.col("_lv").isin(calm))
+        cond = _key_match(lf, rf, keys) & (lf["_llv"] == rf["_lv"]) & (lf["_lb"] == rf["_rb"]) & (lf[x] >= rf["_lo"]) & (lf[x] <= rf["_hi"])
+        parts.append(lf.join(rf, cond, "inner").select(*[lf[c] for c in left.columns], *[rf[c] for c in right_cols.values()]))
+    for level in crowded:
+        lf, rf, _ = at(level)
+        on = [*[f"_k_{k}" for k in keys], "_b"]
+        lc = lf.withColumns({**{f"_k_{k}": F.col(k) for k in keys}, "_b": F.col("_lb")}).drop("_lb")
+        rc = rf.select(*[F.col(f"_r_{k}").alias(f"_k_{k}") for k in keys], F.col("_rb").alias("_b"), "_lo", "_hi", *right_cols.values())
+        parts.append(skew_join(lc, rc, on, "inner", bound).filter((F.col(x) >= F.col("_lo")) & (F.col(x) <= F.col("_hi"))).select(*outcols))
+    matched = parts[0]
+    for part in parts[1:]:
+        matched = matched.unionByName(part)
     if how == "inner":
         return matched
     alone = left

@@ -240,8 +240,10 @@ def gap_enriched(t: dict, meeting_key: int = 1274, teams=("Ferrari", "Red Bull R
     sc = Scope(t, meeting_key)
     fact = sc.fact("intervals")
     (series,) = resolve(fact, Series(DRIVER_SESSION, ("date",), strategy=strategy))
+    # before the join, where a gap alone is compared: the dimension has one row per driver
+    needed = ("driver_number", "session_key", "date", "gap_to_leader", "gap_to_leader_marker")
+    fact = dedupe_ordered(fact.select(*[c for c in needed if c in fact.columns]), ("driver_number", "session_key", "date"), ("gap_to_leader",))
     iv = with_driver(fact, sc.drivers("session")).filter(F.col("team_name").isin(*teams))
-    iv = dedupe_ordered(iv, ("driver_number", "session_key", "date"), ("gap_to_leader",))
     # A null gap is the leader (H9) unless the feed marked the sample (a lapped car),
     # which keeps a null gap: averages skip it and it does not count as leading.
     leader = F.col("gap_to_leader_marker").isNull() if "gap_to_leader_marker" in iv.columns else F.lit(True)

@@ -114,3 +114,13 @@ def test_order_free_moments(spark):
     want = {r[0]: r[1] for r in df.groupBy("k").agg(safe_corr("a", "b")).collect()}
     assert all((v is None and want[k] is None) or math.isclose(v, want[k], rel_tol=1e-8) for k, v, _ in seen[0]) and want[7] is None
     assert {r[1] for r in order_free_corr(df, ["k"], "a", "c").collect()} == {None}
+
+
+def test_one_fixed_column_is_deduplicated_by_hashing(spark):
+    from pitwall.operators.aggs import dedupe_ordered
+    rows = [(1, 5, 2.5), (1, 5, None), (1, 6, 3.0), (1, 6, float("nan")), (2, 1, -1.0), (2, 1, -2.0), (None, 1, 7.0), (None, 1, 7.0)]
+    df = spark.createDataFrame(rows, "a int, b int, v double")
+    out = dedupe_ordered(df, ("a", "b"), ("v",))
+    wide = dedupe_ordered(df.selectExpr("*", "cast(v as string) w"), ("a", "b"), ("v", "w")).drop("w")
+    assert sorted(map(str, out.collect())) == sorted(map(str, wide.collect())) and out.count() == 4
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
