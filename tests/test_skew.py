@@ -109,3 +109,35 @@ def test_containment_join_with_hot_blocks(spark, how, bound, longest):
     p, q = l.alias("p"), r.alias("q")
     want = p.join(q, (F.col("p.k") == F.col("q.k")) & F.col("p.x").between(F.col("q.lo"), F.col("q.hi")), how).select("p.k", "p.x", "p.l", "q.r")
     assert rows(got) == rows(want)
+
+
+def shuffled_rows(spark, df):
+    """Rows that all exchanges of ``df`` write, once it has run."""
+    def walk(node):
+        own = node.metrics().apply("shuffleRecordsWritten").value() if node.nodeName() == "Exchange" else 0
+        return own + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.collect()
+        return walk(df._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_copies_of_hot_rows_grow_with_the_rows(spark):
+    """Four times the rows of one block, about four times the rows moved, not sixteen times."""
+    from pitwall.operators.joins import containment_join
+    moved = []
+    for n in (500, 2000):
+        l = spark.range(n).select(F.lit(1).alias("k"), (F.col("id") % 8).alias("x"), "id")
+        r = spark.range(n).select(F.lit(1).alias("k"), (8 + F.col("id") % 8).alias("lo"), (9 + F.col("id") % 8).alias("hi"), F.col("id").alias("r"))
+        moved.append(shuffled_rows(spark, containment_join(l, r, ("k",), "x", "lo", "hi", right_cols={"r": "r"}, how="inner", hot_rows=2)))
+    assert 2 * 2000 < moved[1] < 5 * moved[0]
+
+
+def test_a_hot_left_key_without_partners_is_spread(spark):
+    from pitwall.operators.skew import _with_parts
+    hot = spark.createDataFrame([(None, 4000, 0), (1, 4000, 4000), (2, 3, 90), (3, 40, 0)], "k int, _ln long, _rn long")
+    parts = {r.k: (r._lp, r._rp) for r in _with_parts(hot, 20).collect()}
+    assert parts[None][0] > 4 and parts[None][1] == 1 and parts[1][0] > 4 and parts[1][1] > 4
+    assert all(a * b <= 32 + a + b for a, b in parts.values())
