@@ -135,6 +135,15 @@ def test_copies_of_hot_rows_grow_with_the_rows(spark):
     assert 2 * 2000 < moved[1] < 5 * moved[0]
 
 
+def test_copies_of_a_crowded_time_bucket_grow_with_the_rows(spark):
+    moved = []
+    for n in (500, 2000):
+        l = spark.range(n).select(F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") % 8).alias("date"), "id")
+        r = spark.range(n).select(F.lit(1).alias("k"), F.timestamp_seconds(30 + F.col("id") % 8).alias("date"), F.col("id").alias("r"))
+        moved.append(shuffled_rows(spark, proximity_join(l, r, ("k",), 20, right_cols={"r": "r"}, hot_rows=2)))
+    assert 2 * 2000 < moved[1] < 5 * moved[0]
+
+
 def test_a_hot_left_key_without_partners_is_spread(spark):
     from pitwall.operators.skew import _with_parts
     hot = spark.createDataFrame([(None, 4000, 0), (1, 4000, 4000), (2, 3, 90), (3, 40, 0)], "k int, _ln long, _rn long")
