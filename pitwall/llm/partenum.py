@@ -17,7 +17,8 @@ not pairs. Links are then found in two rounds: every document against one hub of
 documents of groups that still hold several components, the pairs across components that neither sizes nor feature
 counts (a lower bound of the difference) rule out, compared group by group in blocks of bounded size. So a group of near copies costs
 about one comparison a member, and no link between components is missed. Every link is verified on the whole sets,
-which travel once to every group of blocks they are needed in, not once a pair.
+which travel once to every task they are needed in, not once a pair: the second round's pairs are made and judged inside
+its tasks, of which only documents with partners and the links that join components come out.
 
 Sets are compared as 64-bit hashes (48 bits of them in verification): n documents meet about n^2 / 2^65 false equalities.
 
@@ -61,7 +62,9 @@ _CELLS = 128  # of the feature counts
 #: Documents of a block; two blocks are compared at a time.
 BLOCK = 1024
 #: Rows of groups that one task of the second round compares.
-TASK_ROWS = 1 << 14
+TASK_ROWS = 1 << 13
+#: What the second round keeps of them.
+MARKED = ["g", "low", "high", "i", "id", "n", "c", "hub", "task"]
 
 
 def sets(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -260,45 +263,91 @@ def possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return arrow_map(pairs.select("a", "b", "na", "nb", "ca", "cb"), run, "a long, b long, na long, nb long")
 
 
-def apart(percent: int):
-    """Groups (g, or two blocks of a large one) -> pairs of different components that sizes and feature counts do not rule out
-    and that are not a document and its hub, which the first round has judged."""
+def sorted_units(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """Rows of groups (g, or two blocks of a large one: low, high) by size, and where each unit begins, then their number."""
+    table = table.sort_by([(x, "ascending") for x in ("g", "low", "high", "n", "id")])
+    g, low, high = (table.column(x).to_numpy() for x in ("g", "low", "high"))
+    return table, np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]), [True])))
+
+
+def partners(table: pa.Table, new: np.ndarray, counts: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, rows of its unit) of different components that sizes and feature counts do not rule out and that are not a
+    document and its hub, which the first round has judged."""
+    low, high, i, n, c, ids, hub = (table.column(x).to_numpy() for x in ("low", "high", "i", "n", "c", "id", "hub"))
+    reach = 100 * n // percent
+    for a, b in zip(new[:-1].tolist(), new[1:].tolist()):
+        for x in range(a, b - 1):  # partners that are as large or larger, within reach
+            some = np.arange(x + 1, a + np.searchsorted(n[a:b], reach[x], side="right"))
+            some = some[(c[some] != c[x]) & ((low[x] == high[x]) | (i[some] != i[x])) & (ids[some] != hub[x]) & (hub[some] != ids[x])]
+            if len(some):
+                near = np.abs(counts[some] - counts[x]).sum(axis=1, dtype=np.int32) * (100 + percent) <= (100 - percent) * (n[some] + n[x])
+                if near.any():
+                    yield x, some[near]
+
+
+def with_partners(percent: int):
+    """Groups -> of each, the documents that have partners in it; of a task's groups with the same ones left, the first."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("g", "ascending"), ("low", "ascending"), ("high", "ascending"), ("n", "ascending")])
-        g, low, high, i, n, c, ids, hub = (table.column(x).to_numpy() for x in ("g", "low", "high", "i", "n", "c", "id", "hub"))
+        table, new = sorted_units(table)
         counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, _CELLS).astype(np.int16)
-        new = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]), [True])))
-        reach = 100 * n // percent
-        found: list[np.ndarray] = []
+        used = np.zeros(len(counts), bool)
+        for x, some in partners(table, new, counts, percent):
+            used[x] = used[some] = True
+        low, high, i, n, ids = (table.column(x).to_numpy() for x in ("low", "high", "i", "n", "id"))
+        seen, kept = set(), [new[:0]]
         for a, b in zip(new[:-1].tolist(), new[1:].tolist()):
-            for x in range(a, b - 1):  # partners that are as large or larger, within reach
-                some = np.arange(x + 1, a + np.searchsorted(n[a:b], reach[x], side="right"))
-                some = some[(c[some] != c[x]) & ((low[x] == high[x]) | (i[some] != i[x])) & (ids[some] != hub[x]) & (hub[some] != ids[x])]
-                if len(some):
-                    near = np.abs(counts[some] - counts[x]).sum(axis=1, dtype=np.int32) * (100 + percent) <= (100 - percent) * (n[some] + n[x])
-                    if near.any():
-                        found.append(np.stack((np.full(near.sum(), x), some[near])))
-        x, y = np.unique(np.concatenate(found, axis=1), axis=1) if found else (np.zeros(0, np.int64),) * 2
-        swap = ids[x] > ids[y]
-        x, y = np.where(swap, y, x), np.where(swap, x, y)
-        return pa.table({"a": ids[x], "b": ids[y], "na": n[x], "nb": n[y]})
+            own = a + np.flatnonzero(used[a:b])
+            key = ids[own].tobytes(), n[own].tobytes(), i[own].tobytes() if low[a] != high[a] else None
+            if len(own) and key not in seen:
+                seen.add(key)
+                kept.append(own)
+        return table.take(pa.array(np.concatenate(kept))).select(MARKED)
 
     return run
 
 
-def clustered(edges: DataFrame, block: int) -> DataFrame:
-    """(node, k, i, blocks): the clusters that edges (a, b) form are dealt by a hash, many to a group k; a cluster of more than
-    ``block`` nodes is a group of its own, in blocks i of about that many."""
-    clusters = components(edges)
-    members = clusters.groupBy("component").agg(F.count("*").alias("m"))
-    groups = max(1, clusters.count() // block)
-    large = members.where(F.col("m") > block).select("component", F.ceil(F.col("m") / block).alias("blocks"))
-    alone = F.col("blocks").isNull()
-    return checkpointed(clusters.join(large, "component", "left").select(
-        "node", F.when(alone, F.pmod(F.xxhash64("component"), F.lit(groups))).otherwise(-1 - F.pmod(F.xxhash64("component"), F.lit(1 << 60))).alias("k"),
-        F.when(alone, 0).otherwise(F.pmod(F.xxhash64("node"), F.col("blocks"))).cast("int").alias("i"),
-        F.coalesce("blocks", F.lit(1)).cast("int").alias("blocks")))
+def tested(percent: int):
+    """Groups of documents with partners, and the documents' sets -> links (a, b) of different components, verified.
+
+    Every pair is compared once a task at most, and not at all once links of the task have joined its components: at most
+    one link fewer comes out than there are components.
+    """
+
+    def run(table: pa.Table, held: pa.Table) -> pa.Table:
+        own: list[np.ndarray] = []
+        of: dict[tuple[int, int], list[int]] = {}  # rows that share an id: each of them
+        for k, blob in dict.fromkeys(zip(held.column("id").to_pylist(), held.column("s").to_pylist())):
+            of.setdefault((k, len(blob) // 6), []).append(len(own))
+            own.append(restore(blob))
+        sides = [(row, e) for row, key in enumerate(zip(table.column("id").to_pylist(), table.column("n").to_pylist())) for e in of[key]]
+        table = table.take(pa.array([row for row, _ in sides], pa.int64())).append_column("e", pa.array([e for _, e in sides], pa.int64()))
+        found: list[tuple[int, int]] = []
+        if len(sides):
+            table, new = sorted_units(table)
+            c, ids, e = (table.column(x).to_pylist() for x in ("c", "id", "e"))
+            counts = np.stack([np.bincount((s >> np.uint64(41)).astype(np.int64), minlength=_CELLS) for s in own]).astype(np.int32)
+            done = np.zeros((len(own), len(own) // 8 + 1), np.uint8)  # a bit for every pair
+            root: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while (up := root.get(x, x)) != x:
+                    root[x] = x = root.get(up, up)
+                return x
+
+            for x, some in partners(table, new, counts[e], percent):
+                for y in some.tolist():
+                    p, q, (one, two) = top(c[x]), top(c[y]), sorted((e[x], e[y]))
+                    if p == q or done[one, two >> 3] >> (two & 7) & 1:
+                        continue
+                    done[one, two >> 3] |= 1 << (two & 7)
+                    common = len(np.intersect1d(own[one], own[two], assume_unique=True))
+                    if (100 + percent) * common >= percent * (len(own[one]) + len(own[two])):
+                        root[q] = p
+                        found.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return run
 
 
 def by_hub(pairs: DataFrame, block: int) -> DataFrame:
@@ -313,19 +362,13 @@ def by_hub(pairs: DataFrame, block: int) -> DataFrame:
         F.lit(0).alias("i"), F.when(alone, 0).otherwise(F.pmod(F.xxhash64("b"), F.col("parts"))).cast("int").alias("j"))
 
 
-def by_cluster(pairs: DataFrame, block: int) -> DataFrame:
-    """Pairs (a, b, na, nb) with the group (k, i, j) in which their sets meet: two blocks of a cluster of the pairs' graph."""
-    of = clustered(pairs.select("a", "b"), block).drop("blocks")
-    dealt = pairs.join(of.withColumnRenamed("node", "a"), "a").join(of.select(F.col("node").alias("b"), F.col("i").alias("j")), "b")
-    return dealt.select("a", "b", "na", "nb", "k", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
+def restore(blob: bytes) -> np.ndarray:
+    k = len(blob) // 6
+    return np.frombuffer(blob, np.uint32, k).astype(np.uint64) | np.frombuffer(blob, np.uint16, k, 4 * k).astype(np.uint64) << np.uint64(32)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """(a, b, na, nb) with ``common``, the number of elements that both sets hold; ``pairs`` (a, b, na, nb, k, i, j) is computed already.
-
-    Sets travel once for every group (k, i, j) of pairs they are in, not once a pair.
-    """
-    sides = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id"), "k", "i", "j").distinct(), 2 * pairs.count())
+def placed(sides: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """The sets (id, s: 48 bits an element) of the ids of ``sides``, once for each of its rows; ``sides`` is computed already."""
     wanted = sides.select(F.col("id").alias("wanted")).distinct()
     few = sides.count() <= BROADCAST_IDS
     own = docs.join(F.broadcast(wanted) if few else wanted, F.col("id") == F.col("wanted"), "left_semi")
@@ -339,11 +382,16 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([step.column("id"), pa.array(blobs, pa.binary())], names=["id", "s"])
 
     held = arrow_map(own.select("id", "text"), run, "id long, s binary")
-    placed = held.join(F.broadcast(sides) if few else sides, "id").select("k", "i", "j", "id", "s")
+    return held.join(F.broadcast(sides) if few else sides, "id")
+
 
-    def restore(blob: bytes) -> np.ndarray:
-        k = len(blob) // 6
-        return np.frombuffer(blob, np.uint32, k).astype(np.uint64) | np.frombuffer(blob, np.uint16, k, 4 * k).astype(np.uint64) << np.uint64(32)
+def verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(a, b, na, nb) with ``common``, the number of elements that both sets hold; ``pairs`` (a, b, na, nb, k, i, j) is computed already.
+
+    Sets travel once for every group (k, i, j) of pairs they are in, not once a pair.
+    """
+    sides = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id"), "k", "i", "j").distinct(), 2 * pairs.count())
+    held = placed(sides, docs, n).select("k", "i", "j", "id", "s")
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         own: dict[int, list[bytes]] = {}  # rows that share an id: each of them
@@ -360,7 +408,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
         return left.select(["a", "b", "na", "nb"]).append_column("common", pa.array(common, pa.int64()))
 
     keys = ("k", "i", "j")
-    return pairs.groupBy(*keys).cogroup(placed.groupBy(*keys)).applyInArrow(grouped(compare), "a long, b long, na long, nb long, common long")
+    return pairs.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(grouped(compare), "a long, b long, na long, nb long, common long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -390,27 +438,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked = (100 + percent) * F.col("common") >= percent * (F.col("na") + F.col("nb"))
     first = checkpointed(by_hub(checkpointed(possible(first, reps, percent), n_rows), BLOCK), n_rows)
     judged = first.select(F.col("b").alias("id"), F.col("a").alias("hub"))  # the others were ruled out, and are again
-    tested = checkpointed(verified(first, rows, n), n_rows)
-    links = tested.where(linked).select("a", "b").unionByName(copies)
+    judgements = checkpointed(verified(first, rows, n), n_rows)
+    links = judgements.where(linked).select("a", "b").unionByName(copies)
     whole = checkpointed(components(links), n_rows)
 
-    # in groups that still hold several components, their documents in blocks
+    # in groups that still hold several components, their documents in blocks; a task has groups of the same least component
     of = groups.join(whole, F.col("id") == F.col("node"), "left").select("g", "id", F.coalesce("component", "id").alias("c"))
-    still = of.groupBy("g").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("c0 <> c1")
-    of = checkpointed(of.join(still.select("g", "blocks"), "g").join(reps, "id").join(judged, "id", "left")
-                      .withColumn("hub", F.coalesce("hub", "id")))
-    tasks = max(1, of.count() // TASK_ROWS)
-    nodes = of.withColumn("i", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
+    still = of.groupBy("g").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("m")).where("c0 <> c1")
+    still = checkpointed(still.select("g", "c0", "m", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
+    tasks = max(1, (still.agg(F.sum(F.col("m") * F.col("blocks"))).first()[0] or 0) // TASK_ROWS)
+    parts = still.groupBy("c0", "blocks").agg(F.ceil(2 * F.sum("m") / ((F.col("blocks") + 1) * TASK_ROWS)).alias("parts"))
+    nodes = of.join(still.join(parts, ["c0", "blocks"]).select("g", "c0", "blocks", "parts"), "g").join(reps, "id") \
+        .join(judged, "id", "left").withColumn("hub", F.coalesce("hub", "id")) \
+        .withColumn("i", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("g", F.least("i", "other").alias("low"), F.greatest("i", "other").alias("high"), "i", "id", "n", "c", "counts", "hub")
-    nodes = nodes.withColumn("task", F.pmod(F.xxhash64("g", "low", "high"), F.lit(tasks)))
-    pairs = nodes.groupBy("task").applyInArrow(grouped(apart(percent)), "a long, b long, na long, nb long").distinct()
-    more = checkpointed(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-                        .join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
-    if more.head(1):  # rows, if any, of the second round
-        more = checkpointed(by_cluster(more, BLOCK))
-        links = links.unionByName(verified(more, rows, n).where(linked).select("a", "b"))
-        whole = components(links)
+        .withColumns({"low": F.least("i", "other"), "high": F.greatest("i", "other")})
+    place = F.xxhash64("c0", "blocks", "low", "high", F.pmod(F.xxhash64("g"), F.col("parts")))
+    nodes = nodes.withColumn("task", F.pmod(place, F.lit(tasks))).select(*MARKED, "counts")
+    marked = checkpointed(nodes.groupBy("task").applyInArrow(
+        grouped(with_partners(percent)), "g long, low int, high int, i int, id long, n long, c long, hub long, task long"))
+    if marked.head(1):  # rows, if any, of the second round
+        sides = checkpointed(marked.select("id", "task").distinct())
+        held = placed(sides, rows, n).select("task", "id", "s")
+        more = marked.groupBy("task").cogroup(held.groupBy("task")).applyInArrow(grouped(tested(percent)), "a long, b long")
+        whole = components(links.unionByName(more))
     return facts.join(whole, F.col("id") == F.col("node"), "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 

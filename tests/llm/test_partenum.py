@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import jaccard_components as brute
 
@@ -54,3 +55,35 @@ def test_packing_round_trip():
         values = rng.integers(0, 1 << 40, 1000, np.uint64)
         got = partenum.unpack(partenum.pack(ids, values))
         assert (got[0] == ids).all() and (got[1] == values).all()
+
+
+def family(n, seed=3):
+    """Texts of 60 words that share a part of 45 to 58 of them at the start: many near the threshold, on both sides of it."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(60)]
+    return [(k, " ".join(base[:cut] + [f"x{k}_{j}" for j in range(60 - cut)])) for k in range(n) for cut in [rng.randrange(45, 59)]]
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_second_round_in_small_blocks_equals_brute_force(frame, monkeypatch, block):
+    monkeypatch.setattr(partenum, "BLOCK", block)
+    monkeypatch.setattr(partenum, "TASK_ROWS", 16)
+    rows = family(40) + [(k + 100, t.replace("w", "v")) for k, t in family(25, seed=4)]
+    assert result(partenum.jaccard_components(frame(rows))) == brute(rows)
+
+
+def test_rows_of_the_second_round_grow_with_the_documents():
+    """Documents that are all candidates of each other, in three groups: no row a pair, and of the links only those that join components."""
+    made = []
+    for m in (20, 80):
+        common = np.arange(300, dtype=np.uint64) << np.uint64(55)
+        sets = [np.unique(np.concatenate((common, np.arange(1, 31 if k % 2 else 91, dtype=np.uint64) * np.uint64(1 << 20) + np.uint64(k << 40)))) for k in range(m)]
+        counts = [np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=128).astype(np.uint8).tobytes() for s in sets]
+        zero, ids, n = np.zeros(m, np.int32), np.arange(m), np.array([len(s) for s in sets])
+        group = lambda g: pa.table({"g": np.full(m, g), "low": zero, "high": zero, "i": zero, "id": ids, "n": n, "c": ids, "hub": ids, "task": np.zeros(m, np.int64), "counts": counts})
+        marked = partenum.with_partners(80)(pa.concat_tables([group(g) for g in range(3)]))
+        held = pa.table({"id": ids, "s": [(v := s >> np.uint64(16)).astype(np.uint32).tobytes() + (v >> np.uint64(32)).astype(np.uint16).tobytes() for s in sets]})
+        links = partenum.tested(80)(marked, held)
+        assert set(links.column("a").to_pylist()) <= set(ids.tolist()) and links.num_rows < m
+        made.append(marked.num_rows)
+    assert made[0] == 20 and made[1] == 80
