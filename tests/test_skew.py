@@ -1,4 +1,5 @@
 """Outer joins with hot keys on either side."""
+import itertools
 import random
 
 import pytest
@@ -150,3 +151,27 @@ def test_a_hot_left_key_without_partners_is_spread(spark):
     parts = {r.k: (r._lp, r._rp) for r in _with_parts(hot, 20).collect()}
     assert parts[None][0] > 4 and parts[None][1] == 1 and parts[1][0] > 4 and parts[1][1] > 4
     assert all(a * b <= 32 + a + b for a, b in parts.values())
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_pairs_of_a_crowded_time_bucket_come_in_runs(spark, adaptive):
+    """The side with more rows streams: its rows come once each, with the other side's matches in order of time."""
+    l = spark.range(40).select(F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") * 7 % 40).alias("date"), "id").repartition(3)
+    r = spark.range(2000).select(F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") % 30).alias("date"), F.col("id").alias("r"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        got = proximity_join(l, r, ("k",), 20, right_cols={"date": "rdate", "r": "r"}, hot_rows=2).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    runs = [(key, [x.date for x in run]) for key, run in itertools.groupby(got, lambda x: x.r)]
+    assert len(got) == sum(abs(a * 7 % 40 - b % 30) < 20 for a in range(40) for b in range(2000)) and len(runs) < 2 * 2000
+    assert all(dates in (sorted(dates), sorted(dates, reverse=True)) for _, dates in runs)
+
+
+def test_ranges_with_more_rows_come_in_runs(spark):
+    from pitwall.operators.joins import containment_join
+    l = spark.range(40).select(F.lit(1).alias("k"), (F.col("id") % 8).alias("x"), "id")
+    r = spark.range(2000).select(F.lit(1).alias("k"), F.lit(0).alias("lo"), (F.col("id") % 8).alias("hi"), F.col("id").alias("r"))
+    got = containment_join(l, r, ("k",), "x", "lo", "hi", right_cols={"r": "r"}, hot_rows=2).collect()
+    assert len(got) == 5 * 2000 // 8 * 36 and len(list(itertools.groupby(got, lambda x: x.r))) < 2 * 2000
